@@ -50,3 +50,23 @@ def max_key(df: DataFrame, name: str) -> int:
     """Largest existing key (0 for an empty table): one scalar to the driver."""
     v = df.agg(F.max(name)).first()[0]
     return int(v or 0)
+
+
+def number_scan(df: DataFrame, name: str, start: int = 0) -> DataFrame:
+    """Dense unique keys in scan order, without a shuffle or a checkpoint.
+
+    Precondition: ``df`` is a file scan followed only by narrow operators
+    (filter, project), so each partition holds the same rows in the same
+    order every time it is computed: one pass counts rows per partition,
+    the second numbers them.  Use it for large tables that are rebuilt in
+    full (facts); the keys follow storage order, not key order.
+    """
+    tagged = df.withColumn("_sk_mid", F.monotonically_increasing_id())
+    pid = F.shiftright("_sk_mid", _POS_BITS)
+    counts = tagged.groupBy(pid.alias("_sk_pid")).agg(F.count(F.lit(1)).alias("_sk_n"))
+    before = Window.orderBy("_sk_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_sk_pid", F.coalesce(F.sum("_sk_n").over(before), F.lit(0)).alias("_sk_off"))
+    pos = F.col("_sk_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
+    out = (tagged.join(F.broadcast(offsets), pid == F.col("_sk_pid"))
+                 .withColumn(name, (F.lit(start).cast("long") + F.col("_sk_off") + pos + 1).cast("long")))
+    return out.drop("_sk_mid", "_sk_pid", "_sk_off")

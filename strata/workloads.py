@@ -393,3 +393,194 @@ def flagship(spark, sf):
 
 
 workload("flagship", FLAGSHIP_SQL)(flagship)
+
+
+# --------------------------------------------------------------------------
+# Files and tables: the landing -> bronze -> silver -> gold loads themselves,
+# run over a landing zone staged from ``events`` under the shared scratch
+# folder (a new folder per call).
+
+def event_entities():
+    """Two entities fed by the ``events`` landing: a user dimension, an event fact."""
+    from strata.plans.entities import EntitySpec
+    from pyspark.sql.types import StructType
+    schema = StructType.fromDDL("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+                                "value DOUBLE, props STRING, event_date DATE")
+    from pyspark.sql.types import TimestampNTZType
+    user = EntitySpec(name="user", keys=("user_id",), schema=schema, kind="dimension", scd_type=2,
+                      sk="user_sk", gold_table="dim_user", change_time="ts",
+                      carried=("user_id", "event_type"), landing_name="events", ts_type=TimestampNTZType())
+    event = EntitySpec(name="event", keys=("event_id",), schema=schema, kind="fact", sk="event_sk",
+                       gold_table="fact_event", change_time="ts", event_date="event_date",
+                       dimension="user", link_key="user_id", gold_drop=(), landing_name="events",
+                       ts_type=TimestampNTZType())
+    return [user, event]
+
+
+def _stage_events(spark, sf, layout, upto: str | None = None, after: str | None = None):
+    from strata.sources.landing import write_landing
+    ev = table(spark, sf, "events").withColumn("event_date", F.to_date("ts"))
+    if upto:
+        ev = ev.where(F.col("event_date") <= F.lit(upto).cast("date"))
+    if after:
+        ev = ev.where(F.col("event_date") > F.lit(after).cast("date"))
+    write_landing(ev, f"{layout.landing}/events", "event_date")
+
+
+def _layout(spark, tag: str):
+    import uuid
+    from strata.plans.entities import Layout
+    from strata.session import fresh_dir
+    u = uuid.uuid4().hex[:8]
+    return Layout(root=fresh_dir(spark, tag), bronze_db=f"bronze_{u}", silver_db=f"silver_{u}",
+                  gold_db=f"gold_{u}")
+
+
+def _three_cycles(spark, sf):
+    """Landing arrives in three waves; one full load cycle after each."""
+    from strata.plans import runner
+    layout = _layout(spark, "cycles")
+    specs = event_entities()
+    runner.declare(spark, layout, specs)
+    prev = None
+    report = None
+    for cut, load_ts in CUTS:
+        _stage_events(spark, sf, layout, upto=cut, after=prev)
+        report = runner.run(spark, layout, specs, load_ts)
+        prev = cut
+    return layout, specs, report
+
+
+_LAST_CUT_PREV = CUTS[-2][0]
+
+@workload("load_report", _SCD2_USERS_CTE + f""",
+facts AS (SELECT e.event_id, e.user_id, CAST(e.ts AS DATE) AS d FROM events e
+          WHERE CAST(e.ts AS DATE) <= DATE '{CUTS[-1][0]}'),
+orph AS (SELECT count(*) AS o FROM facts f LEFT JOIN k ON f.user_id = k.user_id
+         AND f.d >= k.start_effective_date AND (f.d < k.end_effective_date OR k.end_effective_date IS NULL)
+         WHERE k.user_sk IS NULL),
+last AS (SELECT h.user_id, h.hash_diff, p.hash_diff AS prev_hash FROM h
+         LEFT JOIN h p ON p.user_id = h.user_id AND p.n = h.n - 1 WHERE h.n = 3),
+dates AS (SELECT count(DISTINCT CAST(ts AS DATE)) AS nd, count(*) AS nr FROM events
+          WHERE CAST(ts AS DATE) > DATE '{_LAST_CUT_PREV}' AND CAST(ts AS DATE) <= DATE '{CUTS[-1][0]}')
+SELECT 'user' AS entity, 'dimension' AS kind, CAST((SELECT nd FROM dates) AS INTEGER) AS bronze_dates_loaded,
+       (SELECT nr FROM dates) AS bronze_rows_loaded,
+       (SELECT count(DISTINCT user_id) FROM e WHERE CAST(ts AS DATE) <= DATE '{CUTS[-1][0]}') AS silver_rows,
+       CAST(0 AS BIGINT) AS silver_rejected,
+       (SELECT count(*) FROM k) AS gold_rows, (SELECT count(*) FROM k WHERE is_active) AS gold_active,
+       (SELECT count(*) FROM last WHERE prev_hash IS NULL) AS inserted,
+       (SELECT count(*) FROM last WHERE prev_hash <> hash_diff) AS updated,
+       (SELECT count(*) FROM k WHERE is_active) - (SELECT count(*) FROM last WHERE prev_hash IS NULL
+          OR prev_hash <> hash_diff) AS unchanged,
+       CAST(NULL AS BIGINT) AS orphans
+UNION ALL
+SELECT 'event', 'fact', CAST((SELECT nd FROM dates) AS INTEGER), (SELECT nr FROM dates),
+       (SELECT count(*) FROM facts), CAST(0 AS BIGINT), (SELECT count(*) FROM facts), NULL, NULL, NULL, NULL,
+       (SELECT o FROM orph)
+""")
+def load_report(spark, sf):
+    _, _, report = _three_cycles(spark, sf)
+    return report
+
+
+def _staged_bronze(spark, sf, tag):
+    from strata.plans import runner
+    layout = _layout(spark, tag)
+    specs = event_entities()
+    fact = specs[1]
+    runner.declare(spark, layout, [specs[0], fact])
+    _stage_events(spark, sf, layout)
+    return layout, fact
+
+
+LOADED_UPTO = "2024-01-20"
+
+
+@workload("bronze_pending_dates", f"""
+SELECT DISTINCT CAST(ts AS DATE) AS bronze_ingest_date FROM events
+EXCEPT
+SELECT DISTINCT CAST(ts AS DATE) FROM events WHERE CAST(ts AS DATE) <= DATE '{LOADED_UPTO}'
+""")
+def bronze_pending_dates(spark, sf):
+    from strata.plans import bronze
+    from strata.sources import landing
+    layout, fact = _staged_bronze(spark, sf, "pending")
+    root = layout.landing_dir(fact)
+    first = [d for d in landing.landing_dates(spark, root) if d <= LOADED_UPTO]
+    bronze.load(spark, fact, layout, dates=first)
+    found = landing.dates_frame(spark, landing.landing_dates(spark, root), silver.BRONZE_DATE)
+    return bronze.pending_dates(found, bronze.loaded_dates(spark, layout.bronze(fact)))
+
+
+RELOAD_DAYS = ["2024-01-05", "2024-01-06"]
+
+
+@workload("bronze_replace_dates", f"""
+WITH b AS (
+  SELECT CAST(ts AS DATE) AS bronze_ingest_date, user_id,
+         CASE WHEN CAST(ts AS DATE) IN ({', '.join(f"DATE '{d}'" for d in RELOAD_DAYS)})
+              THEN value * 2 ELSE value END AS value,
+         CASE WHEN CAST(ts AS DATE) IN ({', '.join(f"DATE '{d}'" for d in RELOAD_DAYS)})
+              THEN TRUE END AS corrected
+  FROM events)
+SELECT bronze_ingest_date, count(*) AS n_rows, count(DISTINCT user_id) AS n_users,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total_value,
+       count(corrected) AS n_corrected
+FROM b GROUP BY bronze_ingest_date
+""")
+def bronze_replace_dates(spark, sf):
+    """Load every date, then re-deliver two days with corrected values and a
+    new column, and reload just those two days."""
+    from strata.plans import bronze
+    from strata.sources.landing import write_landing
+    layout, fact = _staged_bronze(spark, sf, "replace")
+    bronze.load(spark, fact, layout)
+    ev = table(spark, sf, "events").withColumn("event_date", F.to_date("ts"))
+    fixed = (ev.where(F.col("event_date").isin([F.lit(d).cast("date") for d in RELOAD_DAYS]))
+               .withColumn("value", F.col("value") * 2).withColumn("corrected", F.lit(True)))
+    write_landing(fixed, layout.landing_dir(fact), "event_date", overwrite_dates=True)
+    bronze.load(spark, fact, layout, dates=RELOAD_DAYS)
+    b = spark.table(layout.bronze(fact))
+    return (b.groupBy(silver.BRONZE_DATE)
+             .agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("user_id").alias("n_users"),
+                  F.sum(F.col("value").cast(DecimalType(18, 2))).cast(DecimalType(28, 2)).alias("total_value"),
+                  F.count("corrected").alias("n_corrected")))
+
+
+@workload("schema_drift_union", """
+SELECT s_suppkey AS party_key, s_name AS party_name, s_nationkey AS nationkey,
+       CAST(s_acctbal AS DECIMAL(12,2)) AS acctbal, CAST(NULL AS VARCHAR) AS segment,
+       DATE '2024-01-01' AS bronze_ingest_date FROM supplier
+UNION ALL BY NAME
+SELECT c_custkey AS party_key, c_name AS party_name, c_nationkey AS nationkey,
+       CAST(c_acctbal AS DECIMAL(12,2)) AS acctbal, c_mktsegment AS segment,
+       DATE '2024-01-02' AS bronze_ingest_date FROM customer
+""")
+def schema_drift_union(spark, sf):
+    """Day 1 delivers suppliers; day 2 customers with one more column.  Bronze
+    absorbs the new column; day-1 rows read it as NULL."""
+    from strata.plans import bronze
+    from strata.plans.entities import EntitySpec
+    from strata.sources import tables
+    from strata.sources.landing import write_landing
+    layout = _layout(spark, "drift")
+    sup = (table(spark, sf, "supplier")
+           .select(F.col("s_suppkey").alias("party_key"), F.col("s_name").alias("party_name"),
+                   F.col("s_nationkey").alias("nationkey"),
+                   F.col("s_acctbal").cast(DecimalType(12, 2)).alias("acctbal")))
+    cus = (table(spark, sf, "customer")
+           .select(F.col("c_custkey").alias("party_key"), F.col("c_name").alias("party_name"),
+                   F.col("c_nationkey").alias("nationkey"),
+                   F.col("c_acctbal").cast(DecimalType(12, 2)).alias("acctbal"),
+                   F.col("c_mktsegment").alias("segment")))
+    spec = EntitySpec(name="party", keys=("party_key",), schema=sup.schema, kind="dimension",
+                      scd_type=1, sk="party_sk", gold_table="dim_party", change_time=None)
+    tables.declare_database(spark, layout.bronze_db, f"{layout.root}/bronze/_db")
+    tables.declare_table(spark, layout.bronze(spec), spec.bronze_schema(), layout.storage("bronze", "party"),
+                         partition_by=[silver.BRONZE_DATE])
+    root = layout.landing_dir(spec)
+    write_landing(sup, root, F.lit("2024-01-01").cast("date"))
+    bronze.load(spark, spec, layout)
+    write_landing(cus, root, F.lit("2024-01-02").cast("date"))
+    bronze.load(spark, spec, layout)
+    return spark.table(layout.bronze(spec))
