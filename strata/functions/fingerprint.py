@@ -37,9 +37,7 @@ def hash_diff(attrs: Sequence[str], encoding: str = "length_prefixed") -> Column
     if encoding == "plain":
         pieces = [F.coalesce(_text(c), F.lit(PLAIN_NULL)) for c in attrs]
         return F.sha2(F.concat_ws(PLAIN_SEPARATOR, *pieces), 256)
-    pieces = [
-        F.when(_text(c).isNull(), F.lit("#"))
-         .otherwise(F.concat(F.length(_text(c)).cast("string"), F.lit(":"), _text(c)))
-        for c in attrs
-    ]
+    # concat() is NULL when its input is, so coalesce() marks NULL as "#".
+    pieces = [F.coalesce(F.concat(F.length(_text(c)).cast("string"), F.lit(":"), _text(c)), F.lit("#"))
+              for c in attrs]
     return F.sha2(F.concat_ws("|", *pieces), 256)

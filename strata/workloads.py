@@ -184,6 +184,26 @@ def hash_diff_customer(spark, sf):
                     hash_diff(CUSTOMER_ATTRS).alias("hash_diff"))
 
 
+LINEITEM_ATTRS = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                  "l_returnflag", "l_linestatus", "l_shipdate"]
+_LINEITEM_MONEY = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@workload("hash_diff_lineitem", f"""
+WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                  {', '.join(f'CAST({c} AS DECIMAL(18,2)) AS {c}' for c in _LINEITEM_MONEY)},
+                  l_returnflag, l_linestatus, CAST(l_shipdate AS DATE) AS l_shipdate FROM lineitem)
+SELECT l_orderkey, l_linenumber, {_lp(LINEITEM_ATTRS)} AS hash_diff FROM t
+""")
+def hash_diff_lineitem(spark, sf):
+    """Fingerprint of every non-key attribute of the largest table."""
+    t = table(spark, sf, "lineitem")
+    t = t.select(*[F.col(c).cast(DecimalType(18, 2)).alias(c) if c in _LINEITEM_MONEY
+                   else F.col(c).cast("date").alias(c) if c == "l_shipdate" else F.col(c)
+                   for c in t.columns])
+    return t.select(*LINEITEM_KEY, hash_diff(LINEITEM_ATTRS).alias("hash_diff"))
+
+
 @workload("surrogate_key_customer", """
 SELECT *, row_number() OVER (ORDER BY c_custkey) AS customer_sk FROM customer
 """)
@@ -436,8 +456,22 @@ def _layout(spark, tag: str):
                   gold_db=f"gold_{u}")
 
 
+_CYCLES: dict = {}
+
+
 def _three_cycles(spark, sf):
-    """Landing arrives in three waves; one full load cycle after each."""
+    """Landing arrives in three waves; one full load cycle after each.
+
+    Memoised per session and scale factor: the tables stay in the catalog, so
+    ``load_report`` and ``inventory`` share one set of loads.
+    """
+    key = (id(spark), spark.sparkContext.applicationId, sf)
+    if key not in _CYCLES:
+        _CYCLES[key] = _run_three_cycles(spark, sf)
+    return _CYCLES[key]
+
+
+def _run_three_cycles(spark, sf):
     from strata.plans import runner
     layout = _layout(spark, "cycles")
     specs = event_entities()
@@ -584,3 +618,31 @@ def schema_drift_union(spark, sf):
     write_landing(cus, root, F.lit("2024-01-02").cast("date"))
     bronze.load(spark, spec, layout)
     return spark.table(layout.bronze(spec))
+
+
+@workload("inventory", _SCD2_USERS_CTE + f"""
+SELECT * FROM (VALUES
+  ('bronze', 'event', 'EXTERNAL', 8, (SELECT count(*) FROM events WHERE CAST(ts AS DATE) <= DATE '{CUTS[-1][0]}')),
+  ('bronze', 'user', 'EXTERNAL', 8, (SELECT count(*) FROM events WHERE CAST(ts AS DATE) <= DATE '{CUTS[-1][0]}')),
+  ('silver', 'event', 'EXTERNAL', 8, (SELECT count(*) FROM events WHERE CAST(ts AS DATE) <= DATE '{CUTS[-1][0]}')),
+  ('silver', 'user', 'EXTERNAL', 8, (SELECT count(DISTINCT user_id) FROM e WHERE CAST(ts AS DATE) <= DATE '{CUTS[-1][0]}')),
+  ('gold', 'dim_user', 'EXTERNAL', 9, (SELECT count(*) FROM k)),
+  ('gold', 'fact_event', 'EXTERNAL', 10, (SELECT count(*) FROM events WHERE CAST(ts AS DATE) <= DATE '{CUTS[-1][0]}'))
+) AS t(layer, table_name, table_type, n_columns, n_rows)
+""")
+def inventory(spark, sf):
+    """Declared tables of the three layers after the load cycles, with row counts."""
+    from strata.sources import tables
+    layout, _, _ = _three_cycles(spark, sf)
+    dbs = {layout.bronze_db: "bronze", layout.silver_db: "silver", layout.gold_db: "gold"}
+    inv = tables.inventory(spark, list(dbs))
+    counts = None
+    for db in dbs:
+        for t in spark.catalog.listTables(db):
+            c = spark.table(f"{db}.{t.name}").agg(F.count(F.lit(1)).alias("n_rows")).select(
+                F.lit(db).alias("database"), F.lit(t.name).alias("table_name"), "n_rows")
+            counts = c if counts is None else counts.unionByName(c)
+    layer = F.element_at(F.create_map(*[x for db, l in dbs.items() for x in (F.lit(db), F.lit(l))]),
+                         F.col("database"))
+    return (inv.join(counts, ["database", "table_name"])
+               .select(layer.alias("layer"), "table_name", "table_type", "n_columns", "n_rows"))
