@@ -33,10 +33,14 @@ def declare(spark: SparkSession, layout: Layout, specs: Sequence[EntitySpec]) ->
         tables.declare_database(spark, db, f"{layout.root.rstrip('/')}/{layer}/_db", LAYER_COMMENTS[layer])
     for s in specs:
         tables.declare_table(spark, layout.bronze(s), s.bronze_schema(),
-                             layout.storage("bronze", s.name), partition_by=[BRONZE_DATE])
-        tables.declare_table(spark, layout.silver(s), s.silver_schema(), layout.storage("silver", s.name))
+                             layout.storage("bronze", s.name), partition_by=[BRONZE_DATE],
+                             comment=f"Raw history of {s.name}, one partition per ingest date")
+        tables.declare_table(spark, layout.silver(s), s.silver_schema(), layout.storage("silver", s.name),
+                             comment=f"Current state of {s.name}, one row per {', '.join(s.keys)}")
         fk = by_name[s.dimension].sk if s.kind == "fact" and s.dimension in by_name else None
-        tables.declare_table(spark, layout.gold(s), s.gold_schema(fk), layout.storage("gold", s.gold_table))
+        what = f"SCD type {s.scd_type} dimension" if s.kind == "dimension" else f"fact, grain {', '.join(s.keys)}"
+        tables.declare_table(spark, layout.gold(s), s.gold_schema(fk), layout.storage("gold", s.gold_table),
+                             comment=f"{what} from {s.name}")
 
 
 def _order(specs: Sequence[EntitySpec]) -> list[EntitySpec]:

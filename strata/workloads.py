@@ -381,6 +381,25 @@ r AS (SELECT f.*, k.user_sk, k.user_state, k.record_version FROM f LEFT JOIN k
      AND (f.event_date < k.end_effective_date OR k.end_effective_date IS NULL))"""
 
 
+@workload("scd2_daily_users", f"""
+WITH e AS ({_EVENTS_CLEAN}),
+st AS (SELECT CAST(ts AS DATE) AS n, e.* FROM e
+       QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY {_EVENTS_ORDER}) = 1),
+h AS (SELECT *, {_lp(USER_ATTRS)} AS hash_diff FROM st),
+ch AS (SELECT *, lag(hash_diff) OVER (PARTITION BY user_id ORDER BY n) AS p FROM h),
+v AS (SELECT *, coalesce(ts, CAST(n + 1 AS TIMESTAMP)) AS s FROM ch WHERE p IS NULL OR p <> hash_diff)
+SELECT row_number() OVER (ORDER BY n, user_id) AS user_sk, user_id, event_type, hash_diff,
+       s AS start_effective_date, lead(s) OVER (PARTITION BY user_id ORDER BY n) AS end_effective_date,
+       lead(n) OVER (PARTITION BY user_id ORDER BY n) IS NULL AS is_active,
+       CAST(row_number() OVER (PARTITION BY user_id ORDER BY n) AS INTEGER) AS record_version,
+       CAST(n + 1 AS TIMESTAMP) AS gold_load_ts
+FROM v
+""")
+def scd2_daily_users(spark, sf):
+    """The user dimension after one SCD2 load per day (30 loads), in one pass."""
+    return _daily_user_dim(spark, sf)
+
+
 @workload("fact_asof_events", _DAILY_DIM_CTE + """
 SELECT event_id, user_id, event_date, event_type, user_sk, record_version FROM r
 """)
