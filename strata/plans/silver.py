@@ -6,6 +6,7 @@ table and a changed cleansing rule applies to every row.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation
@@ -56,7 +57,7 @@ def load(spark, spec, layout, load_ts, verify: bool = True) -> dict:
 
     bronze = spark.table(layout.bronze(spec))
     cleansed = cleanse_strings(bronze)
-    obs = Observation(f"silver_{spec.name}")
+    obs = Observation(f"silver_{spec.name}_{uuid.uuid4().hex[:8]}")
     cleansed = cleansed.observe(obs, F.count_if(any_null(spec.keys)).alias("rejected"))
     keyed = cleansed.where(~any_null(spec.keys))
     order = [c for c in [spec.change_time, BRONZE_DATE] if c]

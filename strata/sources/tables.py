@@ -20,7 +20,6 @@ There is no multi-table transaction: a load is safe to re-run, not ACID.
 from __future__ import annotations
 
 import uuid
-from contextlib import contextmanager
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -122,16 +121,23 @@ def replace_partitions(spark: SparkSession, name: str, df: DataFrame, part_col:
                        values: Sequence) -> int:
     """Replace the partitions ``values`` with the batch's rows; returns rows written.
 
-    Partitions listed in ``values`` that receive no row are dropped.
+    The rows go to the table's location with the writer's own
+    ``partitionOverwriteMode=dynamic`` option, so only the dates present in the
+    batch are rewritten and no session setting changes (loads may run
+    concurrently).  New dates are then registered in the catalog; dates listed
+    in ``values`` that receive no row are dropped from it.
     """
     batch = evolve(spark, name, df)
     obs = Observation(f"replace_{uuid.uuid4().hex[:8]}")
     batch = batch.observe(obs, F.count(F.lit(1)).alias("rows"),
                           F.collect_set(F.col(part_col).cast("string")).alias("parts"))
-    with _conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        batch.write.insertInto(name, overwrite=True)
+    (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy(part_col).parquet(location(spark, name)))
     m = obs.get
-    written = set(m["parts"] or [])
+    written = sorted(set(m["parts"] or []))
+    if written:
+        specs = " ".join(f"PARTITION (`{part_col}` = '{v}')" for v in written)
+        spark.sql(f"ALTER TABLE {_q(name)} ADD IF NOT EXISTS {specs}")
     for v in values:
         if str(v) not in written:
             spark.sql(f"ALTER TABLE {_q(name)} DROP IF EXISTS PARTITION (`{part_col}` = '{v}')")
@@ -166,20 +172,6 @@ def replace(spark: SparkSession, name: str, df: DataFrame, observe=None) -> dict
     return metrics
 
 
-@contextmanager
-def _conf(spark: SparkSession, key: str, value: str):
-    """Set a session setting for one statement (insertInto ignores the writer option)."""
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
-
-
 def partitions(spark: SparkSession, name: str) -> list[str]:
     """Values of the single partition column, from the catalog (no data scan)."""
     rows = spark.sql(f"SHOW PARTITIONS {_q(name)}").collect()
