@@ -6,10 +6,12 @@ single partition.  Instead:
 1. range-partition by the ordering columns and sort inside each partition;
 2. tag rows with ``monotonically_increasing_id`` (partition index in the high
    bits, position in the low 33 bits) and materialise that once with a
-   reliable ``checkpoint`` so every later pass sees identical partitions even
-   after an executor is lost;
-3. count rows per partition (one tiny row per partition) and prefix-sum the
-   counts;
+   reliable ``checkpoint`` (shared storage).  This must come *after* the range
+   exchange: the range partitioner seeds its sample with the RDD id, so two
+   evaluations of the same exchange may choose different bounds.  After the
+   checkpoint every pass, and every retry after an executor loss, sees the
+   same partitions;
+3. count rows per partition (one tiny row per partition) and prefix-sum;
 4. key = start + offset of the partition + position + 1.
 
 The offsets table has exactly one row per range partition, so broadcasting
@@ -26,24 +28,28 @@ from pyspark.sql import functions as F
 _POS_BITS = 33
 
 
+def _with_offsets(tagged: DataFrame, name: str, start) -> DataFrame:
+    pid = F.shiftright("_sk_mid", _POS_BITS)
+    counts = tagged.groupBy(pid.alias("_sk_pid")).agg(F.count(F.lit(1)).alias("_sk_n"))
+    before = Window.orderBy("_sk_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_sk_pid", F.coalesce(F.sum("_sk_n").over(before), F.lit(0)).alias("_sk_off"))
+    pos = F.col("_sk_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
+    base = start if isinstance(start, Column) else F.lit(start)
+    out = (tagged.join(F.broadcast(offsets), pid == F.col("_sk_pid"))
+                 .withColumn(name, (base.cast("long") + F.col("_sk_off") + pos + 1).cast("long")))
+    return out.drop("_sk_mid", "_sk_pid", "_sk_off")
+
+
 def assign_surrogate(df: DataFrame, order: Sequence[str], name: str,
                      start: int | Column = 0, num_partitions: int | None = None) -> DataFrame:
     """Add ``name`` = start + 1, start + 2, ... in ``order`` (dense, unique)."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order)
+    tagged = (df.repartitionByRange(n, *order)
                 .sortWithinPartitions(*order)
                 .withColumn("_sk_mid", F.monotonically_increasing_id())
                 .checkpoint(eager=True))
-    pid = F.shiftright("_sk_mid", _POS_BITS).alias("_sk_pid")
-    counts = ranged.groupBy(pid).agg(F.count(F.lit(1)).alias("_sk_n"))
-    before = Window.orderBy("_sk_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_sk_pid", F.coalesce(F.sum("_sk_n").over(before), F.lit(0)).alias("_sk_off"))
-    pos = F.col("_sk_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    base = start if isinstance(start, Column) else F.lit(start)
-    out = (ranged.join(F.broadcast(offsets), F.shiftright("_sk_mid", _POS_BITS) == F.col("_sk_pid"))
-                 .withColumn(name, (base.cast("long") + F.col("_sk_off") + pos + 1).cast("long")))
-    return out.drop("_sk_mid", "_sk_pid", "_sk_off")
+    return _with_offsets(tagged, name, start)
 
 
 def max_key(df: DataFrame, name: str) -> int:
@@ -61,12 +67,4 @@ def number_scan(df: DataFrame, name: str, start: int = 0) -> DataFrame:
     the second numbers them.  Use it for large tables that are rebuilt in
     full (facts); the keys follow storage order, not key order.
     """
-    tagged = df.withColumn("_sk_mid", F.monotonically_increasing_id())
-    pid = F.shiftright("_sk_mid", _POS_BITS)
-    counts = tagged.groupBy(pid.alias("_sk_pid")).agg(F.count(F.lit(1)).alias("_sk_n"))
-    before = Window.orderBy("_sk_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_sk_pid", F.coalesce(F.sum("_sk_n").over(before), F.lit(0)).alias("_sk_off"))
-    pos = F.col("_sk_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    out = (tagged.join(F.broadcast(offsets), pid == F.col("_sk_pid"))
-                 .withColumn(name, (F.lit(start).cast("long") + F.col("_sk_off") + pos + 1).cast("long")))
-    return out.drop("_sk_mid", "_sk_pid", "_sk_off")
+    return _with_offsets(df.withColumn("_sk_mid", F.monotonically_increasing_id()), name, start)
