@@ -84,11 +84,17 @@ def test_number_scan_dense_and_unique(spark):
 
 
 def test_assign_surrogate_stable_bounds_on_shuffled_input(spark):
-    """Input coming out of a shuffle, two-column order, enough rows that the
-    range partitioner samples: keys must still be dense in (a, b) order."""
+    """Input out of a shuffle, two-column order, a payload column the consumer
+    reads, consumed through a broadcast join.  Column pruning then makes the
+    row-count branch and the numbering branch two different range exchanges;
+    keys stay dense only if the ranged rows were materialised once (a version
+    that checkpointed before the range exchange failed here)."""
     from pyspark.sql import functions as F
-    df = (spark.range(120_000).repartition(7, F.col("id") % 11)
-               .select((F.col("id") % 97).alias("a"), F.col("id").alias("b")))
-    out = assign_surrogate(df, ["a", "b"], "sk", num_partitions=6)
-    got = [r.sk for r in out.orderBy("a", "b").select("sk").collect()]
+    src = (spark.range(120_000).repartition(7, F.col("id") % 11)
+                .select((F.col("id") % 97).alias("a"), F.col("id").alias("b"),
+                        (F.col("id") * 3).cast("string").alias("payload")))
+    keyed = assign_surrogate(src, ["a", "b"], "sk", num_partitions=6)
+    probe = spark.range(120_000).select((F.col("id") % 97).alias("a"), F.col("id").alias("b"))
+    j = probe.join(F.broadcast(keyed.select("a", "b", "sk", "payload")), ["a", "b"], "left")
+    got = [r.sk for r in j.orderBy("a", "b").select("sk", "payload").collect()]
     assert got == list(range(1, 120_001))
