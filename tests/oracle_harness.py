@@ -89,7 +89,14 @@ if __name__ == "__main__":
     import __spark_entry__ as E
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(E.queries())
-    spark = build_session()
+    import os
+    if os.environ.get("PLAIN_SESSION"):
+        # What a caller with no settings of ours gets (Spark defaults).
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]")
+                 .config("spark.ui.enabled", "false").getOrCreate())
+    else:
+        spark = build_session()
     con = duck(sf)
     bad = 0
     for n in names:
