@@ -10,19 +10,24 @@ be compared including ``gold_load_ts``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, StructType, TimestampNTZType
 
 from strata.functions.fingerprint import hash_diff
 from strata.operators import checks
 from strata.operators.cleanse import cleanse_strings
+from strata.operators.dedup import latest_per_key
 from strata.operators.effective_join import resolve
-from strata.operators.scd import empty_scd1, empty_scd2, scd1, scd2, scd2_replay, ACTION
+from strata.operators.scd import ACTION, empty_scd1, empty_scd2, scd1, scd2, scd2_replay
 from strata.operators.surrogate import assign_surrogate
-from strata.plans import silver
+from strata.plans import bronze, runner, silver
+from strata.plans.entities import EntitySpec, Layout
+from strata.session import fresh_dir
+from strata.sources import landing, tables
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -231,7 +236,8 @@ def _scd1_part(spark, sf, with_action=False):
                  .withColumn("p_retailprice", F.when(k % 3 == 0, F.col("p_retailprice") + 1)
                              .otherwise(F.col("p_retailprice")).cast(DecimalType(12, 2))))
     dim0 = empty_scd1(typed, PART_KEY, PART_ATTRS, "part_sk")
-    dim1 = scd1(dim0, prev, PART_KEY, PART_ATTRS, "part_sk", T_PREV)
+    # The first load's state is materialised, as a load writes its table.
+    dim1 = scd1(dim0, prev, PART_KEY, PART_ATTRS, "part_sk", T_PREV).checkpoint(eager=True)
     return scd1(dim1, typed, PART_KEY, PART_ATTRS, "part_sk", T_NEXT, with_action=with_action)
 
 
@@ -347,7 +353,6 @@ def _daily_user_dim(spark, sf):
     d = silver.BRONZE_DATE
     cleansed = cleanse_strings(bronze).where(F.col("user_id").isNotNull())
     # State of day d for the users seen that day = their newest row so far.
-    from strata.operators.dedup import latest_per_key
     states = latest_per_key(cleansed, ["user_id", d], ["ts"])
     states = states.withColumn("_load_ts", F.date_add(F.col(d), 1).cast("timestamp_ntz"))
     return scd2_replay(states, USER_KEY, USER_ATTRS, "ts", d, "_load_ts", "user_sk")
@@ -441,11 +446,8 @@ workload("flagship", FLAGSHIP_SQL)(flagship)
 
 def event_entities():
     """Two entities fed by the ``events`` landing: a user dimension, an event fact."""
-    from strata.plans.entities import EntitySpec
-    from pyspark.sql.types import StructType
     schema = StructType.fromDDL("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
                                 "value DOUBLE, props STRING, event_date DATE")
-    from pyspark.sql.types import TimestampNTZType
     user = EntitySpec(name="user", keys=("user_id",), schema=schema, kind="dimension", scd_type=2,
                       sk="user_sk", gold_table="dim_user", change_time="ts",
                       carried=("user_id", "event_type"), landing_name="events", ts_type=TimestampNTZType())
@@ -457,19 +459,15 @@ def event_entities():
 
 
 def _stage_events(spark, sf, layout, upto: str | None = None, after: str | None = None):
-    from strata.sources.landing import write_landing
     ev = table(spark, sf, "events").withColumn("event_date", F.to_date("ts"))
     if upto:
         ev = ev.where(F.col("event_date") <= F.lit(upto).cast("date"))
     if after:
         ev = ev.where(F.col("event_date") > F.lit(after).cast("date"))
-    write_landing(ev, f"{layout.landing}/events", "event_date")
+    landing.write_landing(ev, f"{layout.landing}/events", "event_date")
 
 
 def _layout(spark, tag: str):
-    import uuid
-    from strata.plans.entities import Layout
-    from strata.session import fresh_dir
     u = uuid.uuid4().hex[:8]
     return Layout(root=fresh_dir(spark, tag), bronze_db=f"bronze_{u}", silver_db=f"silver_{u}",
                   gold_db=f"gold_{u}")
@@ -491,7 +489,6 @@ def _three_cycles(spark, sf):
 
 
 def _run_three_cycles(spark, sf):
-    from strata.plans import runner
     layout = _layout(spark, "cycles")
     specs = event_entities()
     runner.declare(spark, layout, specs)
@@ -537,7 +534,6 @@ def load_report(spark, sf):
 
 
 def _staged_bronze(spark, sf, tag):
-    from strata.plans import runner
     layout = _layout(spark, tag)
     specs = event_entities()
     fact = specs[1]
@@ -555,8 +551,6 @@ EXCEPT
 SELECT DISTINCT CAST(ts AS DATE) FROM events WHERE CAST(ts AS DATE) <= DATE '{LOADED_UPTO}'
 """)
 def bronze_pending_dates(spark, sf):
-    from strata.plans import bronze
-    from strata.sources import landing
     layout, fact = _staged_bronze(spark, sf, "pending")
     root = layout.landing_dir(fact)
     first = [d for d in landing.landing_dates(spark, root) if d <= LOADED_UPTO]
@@ -584,14 +578,12 @@ FROM b GROUP BY bronze_ingest_date
 def bronze_replace_dates(spark, sf):
     """Load every date, then re-deliver two days with corrected values and a
     new column, and reload just those two days."""
-    from strata.plans import bronze
-    from strata.sources.landing import write_landing
     layout, fact = _staged_bronze(spark, sf, "replace")
     bronze.load(spark, fact, layout)
     ev = table(spark, sf, "events").withColumn("event_date", F.to_date("ts"))
     fixed = (ev.where(F.col("event_date").isin([F.lit(d).cast("date") for d in RELOAD_DAYS]))
                .withColumn("value", F.col("value") * 2).withColumn("corrected", F.lit(True)))
-    write_landing(fixed, layout.landing_dir(fact), "event_date", overwrite_dates=True)
+    landing.write_landing(fixed, layout.landing_dir(fact), "event_date", overwrite_dates=True)
     bronze.load(spark, fact, layout, dates=RELOAD_DAYS)
     b = spark.table(layout.bronze(fact))
     return (b.groupBy(silver.BRONZE_DATE)
@@ -612,10 +604,6 @@ SELECT c_custkey AS party_key, c_name AS party_name, c_nationkey AS nationkey,
 def schema_drift_union(spark, sf):
     """Day 1 delivers suppliers; day 2 customers with one more column.  Bronze
     absorbs the new column; day-1 rows read it as NULL."""
-    from strata.plans import bronze
-    from strata.plans.entities import EntitySpec
-    from strata.sources import tables
-    from strata.sources.landing import write_landing
     layout = _layout(spark, "drift")
     sup = (table(spark, sf, "supplier")
            .select(F.col("s_suppkey").alias("party_key"), F.col("s_name").alias("party_name"),
@@ -632,9 +620,9 @@ def schema_drift_union(spark, sf):
     tables.declare_table(spark, layout.bronze(spec), spec.bronze_schema(), layout.storage("bronze", "party"),
                          partition_by=[silver.BRONZE_DATE])
     root = layout.landing_dir(spec)
-    write_landing(sup, root, F.lit("2024-01-01").cast("date"))
+    landing.write_landing(sup, root, F.lit("2024-01-01").cast("date"))
     bronze.load(spark, spec, layout)
-    write_landing(cus, root, F.lit("2024-01-02").cast("date"))
+    landing.write_landing(cus, root, F.lit("2024-01-02").cast("date"))
     bronze.load(spark, spec, layout)
     return spark.table(layout.bronze(spec))
 
@@ -651,7 +639,6 @@ SELECT * FROM (VALUES
 """)
 def inventory(spark, sf):
     """Declared tables of the three layers after the load cycles, with row counts."""
-    from strata.sources import tables
     layout, _, _ = _three_cycles(spark, sf)
     dbs = {layout.bronze_db: "bronze", layout.silver_db: "silver", layout.gold_db: "gold"}
     inv = tables.inventory(spark, list(dbs))
