@@ -19,6 +19,7 @@ There is no multi-table transaction: a load is safe to re-run, not ACID.
 
 from __future__ import annotations
 
+import datetime as _dt
 import uuid
 from collections.abc import Iterable, Sequence
 
@@ -47,11 +48,40 @@ def declare_database(spark: SparkSession, name: str, location: str | None = None
     spark.sql(sql)
 
 
+def _new_version(root: str) -> str:
+    """A fresh state directory; names sort by creation time (UTC)."""
+    stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    return f"{root.rstrip('/')}/v-{stamp}-{uuid.uuid4().hex[:8]}"
+
+
+def _fs(spark: SparkSession, path: str):
+    sc = spark.sparkContext
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath, jpath.getFileSystem(sc._jsc.hadoopConfiguration())
+
+
+def latest_version(spark: SparkSession, root: str) -> str | None:
+    """Newest committed state directory under ``root`` (one listing call)."""
+    jpath, fs = _fs(spark, root)
+    if not fs.exists(jpath):
+        return None
+    done = []
+    for st in fs.listStatus(jpath):
+        p = st.getPath()
+        if st.isDirectory() and p.getName().startswith("v-"):
+            if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")):
+                done.append(p.toString())
+    return max(done, key=lambda x: x.rsplit("/", 1)[1]) if done else None
+
+
 def declare_table(spark: SparkSession, name: str, schema: StructType, root: str,
                   partition_by: Sequence[str] = (), comment: str | None = None) -> None:
     """``CREATE TABLE IF NOT EXISTS ... USING PARQUET ... LOCATION`` (idempotent).
 
-    Partition columns go last, as Spark stores them.
+    Partition columns go last, as Spark stores them.  A table missing from
+    the catalog (a new session on an in-memory catalog, a dropped external
+    table) re-attaches to what is on storage: the newest committed state
+    directory, or, for a partitioned table, its partition directories.
     """
     part = [schema[c] for c in partition_by]
     data = [f for f in schema.fields if f.name not in partition_by]
@@ -60,9 +90,15 @@ def declare_table(spark: SparkSession, name: str, schema: StructType, root: str,
         sql += f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})"
     if comment:
         sql += f" COMMENT '{comment}'"
-    location = root if partition_by else f"{root.rstrip('/')}/v-{uuid.uuid4().hex[:12]}"
+    if exists(spark, name):
+        return
+    location = root if partition_by else (latest_version(spark, root) or _new_version(root))
     sql += f" LOCATION '{location}' TBLPROPERTIES ('{ROOT_PROPERTY}' = '{root}')"
     spark.sql(sql)
+    if partition_by:
+        jpath, fs = _fs(spark, root)
+        if fs.exists(jpath):
+            spark.sql(f"ALTER TABLE {_q(name)} RECOVER PARTITIONS")
 
 
 def read(spark: SparkSession, name: str) -> DataFrame:
@@ -163,7 +199,7 @@ def replace(spark: SparkSession, name: str, df: DataFrame, observe=None) -> dict
         obs = Observation(f"replace_{uuid.uuid4().hex[:8]}")
         df = df.observe(obs, *observe)
     out = align(df, schema)
-    target = f"{_root(spark, name).rstrip('/')}/v-{uuid.uuid4().hex[:12]}"
+    target = _new_version(_root(spark, name))
     out.write.mode("errorifexists").parquet(target)
     spark.sql(f"ALTER TABLE {_q(name)} SET LOCATION '{target}'")
     spark.catalog.refreshTable(name)

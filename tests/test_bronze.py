@@ -110,3 +110,21 @@ def test_replace_keeps_table_external_and_old_files(spark, layout):
     assert tables.location(spark, name) != before
     assert tables.describe(spark, name)["Type"] == "EXTERNAL"
     assert spark.table(name).count() == 1
+
+
+def test_tables_reattach_after_catalog_loss(spark, layout):
+    """A new session on an in-memory catalog re-declares the tables: silver
+    points at its newest committed state again, bronze recovers its dates."""
+    s = setup(spark, layout)
+    deliver(spark, layout, s, "2024-07-08", [(1, "a")])
+    deliver(spark, layout, s, "2024-07-09", [(2, "b")])
+    bronze.load(spark, s, layout)
+    df = spark.createDataFrame([(1, "first", None)], "id int, v string, silver_load_ts timestamp")
+    tables.replace(spark, layout.silver(s), df)
+    tables.replace(spark, layout.silver(s), df.withColumn("v", F.lit("second")))
+    for t in (layout.bronze(s), layout.silver(s)):
+        spark.sql(f"DROP TABLE {t}")          # external: files stay
+    runner.declare(spark, layout, [s])
+    assert [r.v for r in spark.table(layout.silver(s)).collect()] == ["second"]
+    assert sorted(per_day(spark, layout, s)) == ["2024-07-08", "2024-07-09"]
+    assert bronze.load(spark, s, layout) == {"dates": [], "rows": 0}
