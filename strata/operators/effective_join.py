@@ -49,11 +49,13 @@ def resolve(facts: DataFrame, dim: DataFrame, key: str, event_col: str,
             end: str = "end_effective_date", dim_key: str | None = None,
             strategy: str = "auto", broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
             hot_fraction: int = 64, salt_buckets: int | None = None,
-            dim_cols: list[str] | dict[str, str] | None = None) -> DataFrame:
+            dim_cols: list[str] | dict[str, str] | None = None,
+            salt_cols: list[str] | None = None) -> DataFrame:
     """Facts with ``sk`` of the dimension version valid at ``event_col``.
 
     ``dim_cols`` brings further version attributes along (a dict renames
-    them); they are NULL for orphan facts.
+    them); they are NULL for orphan facts.  ``salt_cols`` (default: every
+    fact column) feed the hot-key salt; the fact's grain key is enough.
 
     ``strategy``: ``auto`` (measure, then broadcast or shuffle), ``broadcast``,
     ``shuffle`` (plain shuffle join) or ``salted`` (shuffle with hot-key split).
@@ -80,7 +82,8 @@ def resolve(facts: DataFrame, dim: DataFrame, key: str, event_col: str,
         else:
             n = salt_buckets or max(2, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
             is_hot_f = F.col(key).isin(hot)
-            f2 = facts.withColumn("_salt", F.when(is_hot_f, F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(n)))
+            salted_by = [F.col(c) for c in (salt_cols or cols)]
+            f2 = facts.withColumn("_salt", F.when(is_hot_f, F.pmod(F.xxhash64(*salted_by), F.lit(n)))
                                             .otherwise(F.lit(0)).cast("int"))
             d2 = d.withColumn("_d_salt", F.explode(
                 F.when(F.col("_d_key").isin(hot), F.sequence(F.lit(0), F.lit(n - 1)))

@@ -48,9 +48,12 @@ def _carried(keys: Sequence[str], attrs: Sequence[str]) -> list[str]:
 
 
 def _key_cond(keys: Sequence[str]) -> Column:
+    """Null-safe key equality: a NULL key matches itself, so a NULL-key row is
+    updated in place instead of being inserted again on every run.  Spark
+    still plans ``<=>`` as an equi-join key."""
     cond = None
     for k in keys:
-        c = F.col(f"t.{k}") == F.col(f"s.{k}")
+        c = F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}"))
         cond = c if cond is None else cond & c
     return cond
 
@@ -78,6 +81,9 @@ def scd1(current: DataFrame, incoming: DataFrame, keys: Sequence[str], attrs: Se
          ts_type: DataType = TimestampNTZType(), with_action: bool = False) -> DataFrame:
     """Upsert: insert new keys, overwrite changed ones, leave the rest as they are.
 
+    ``incoming`` must hold one row per key (``checks.grain``); the loads in
+    ``strata.plans.dimensions`` assert it first.
+
     Unchanged and absent keys keep their row *and* their old ``gold_load_ts``;
     inserted keys get fresh dense surrogate keys above the current maximum.
     With ``with_action`` the result carries ``_action`` in
@@ -106,6 +112,8 @@ def scd2(current: DataFrame, incoming: DataFrame, keys: Sequence[str], attrs: Se
          ts_type: DataType = TimestampNTZType(), with_action: bool = False) -> DataFrame:
     """History: expire the active row of each changed key, add its next version.
 
+    ``incoming`` must hold one row per key, like ``scd1``.
+
     Per key the full outer join of active rows with the incoming snapshot
     yields one row for unchanged, new or absent keys and two (expired old +
     new version) for changed keys.  New version = old + 1, start = the row's

@@ -30,6 +30,9 @@ def next_state(spark: SparkSession, spec: EntitySpec, layout: Layout, load_ts):
 def load(spark: SparkSession, spec: EntitySpec, layout: Layout, load_ts, verify: bool = True) -> dict:
     if spec.kind != "dimension":
         raise ValueError(f"{spec.name} is not a dimension")
+    if verify:
+        # A duplicated incoming key would multiply rows in the join: fail first.
+        checks.enforce(checks.grain(spark.table(layout.silver(spec)), spec.keys), f"incoming {spec.name}")
     a = F.col(ACTION)
     m = tables.replace(spark, layout.gold(spec), next_state(spark, spec, layout, load_ts), observe=[
         F.count(F.lit(1)).alias("rows"),

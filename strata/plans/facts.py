@@ -28,7 +28,7 @@ def load(spark: SparkSession, spec: EntitySpec, dim: EntitySpec, layout: Layout,
     facts = number_scan(facts, spec.sk)
     link = spec.link_key or dim.keys[0]
     out = resolve(facts, spark.table(layout.gold(dim)), link, spec.event_date, sk=dim.sk,
-                  dim_key=link, strategy=strategy)
+                  dim_key=link, strategy=strategy, salt_cols=list(spec.keys))
     out = out.withColumn(LOAD_TS, ts_literal(load_ts, spec.ts_type))
     m = tables.replace(spark, layout.gold(spec), out, observe=[
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col(dim.sk).isNull()).alias("orphans")])

@@ -172,3 +172,26 @@ def test_fold_equals_replay_on_events(spark):
     a, b = sorted(dim.collect()), sorted(replay.select(*dim.columns).collect())
     assert len(a) == 314
     assert a == b
+
+
+def test_null_key_matches_itself(spark):
+    b = inc(spark, [(None, "1", 1, None), ("x", "1", 1, None)])
+    d1 = scd1(empty_scd1(b, KEYS, ATTRS, "sk", TS), b, KEYS, ATTRS, "sk", T1, ts_type=TS).checkpoint()
+    d2 = scd1(d1, b, KEYS, ATTRS, "sk", T2, ts_type=TS)
+    assert d2.count() == 2
+    e1 = load2(empty_scd2(b, KEYS, ATTRS, "sk", TS), b, T1)
+    e2 = load2(e1, inc(spark, [(None, "2", 1, None), ("x", "1", 1, None)]), T2)
+    assert checks.active_unique(e2, KEYS).first().ok and e2.count() == 3
+
+
+def test_duplicate_incoming_keys_fail_the_load(spark, layout):
+    from strata.plans import dimensions, runner
+    from strata.plans.entities import EntitySpec
+    from strata.sources import tables
+    spec = EntitySpec(name="d", keys=("k",), schema=inc(spark, []).schema, kind="dimension", scd_type=1,
+                      sk="d_sk", gold_table="dim_d", change_time="m")
+    runner.declare(spark, layout, [spec])
+    dup = inc(spark, [("x", "1", 1, None), ("x", "2", 1, None)]).withColumn("silver_load_ts", F.lit(None).cast("timestamp"))
+    tables.replace(spark, layout.silver(spec), dup)
+    with pytest.raises(checks.ContractError):
+        dimensions.load(spark, spec, layout, T1)
