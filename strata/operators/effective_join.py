@@ -24,15 +24,24 @@ from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 _ROW_OVERHEAD = 32
+# Bytes per value of fixed-width types (Spark's in-memory sizes).
+_WIDTH = {"long": 8, "integer": 4, "short": 2, "byte": 1, "double": 8, "float": 4, "boolean": 1,
+          "date": 4, "timestamp": 8, "timestamp_ntz": 8, "decimal": 16}
 
 
 def measure(dim: DataFrame, key: str) -> tuple[int, int]:
-    """(rows, estimated bytes) of a narrowed dimension, in one aggregate pass."""
+    """(rows, estimated bytes) of a narrowed dimension, in one aggregate pass.
+
+    Fixed-width columns count their width, string-like ones their measured
+    length, plus a per-row overhead.
+    """
+    var = [f.name for f in dim.schema.fields if f.name == key or f.dataType.typeName() in ("string", "binary")]
+    fixed = sum(_WIDTH.get(f.dataType.typeName(), 16) for f in dim.schema.fields if f.name not in var)
     r = dim.agg(F.count(F.lit(1)).alias("n"),
-                F.coalesce(F.sum(F.length(F.col(key).cast("string"))), F.lit(0)).alias("kb")).first()
-    n, kb = int(r["n"]), int(r["kb"])
-    width = sum(8 for f in dim.schema.fields if f.name != key) + _ROW_OVERHEAD
-    return n, n * width + kb
+                *[F.coalesce(F.sum(F.length(F.col(c).cast("string"))), F.lit(0)).alias(f"v{i}")
+                  for i, c in enumerate(var)]).first()
+    n = int(r["n"])
+    return n, n * (fixed + _ROW_OVERHEAD) + sum(int(r[f"v{i}"]) for i in range(len(var)))
 
 
 def hot_keys(facts: DataFrame, key: str, hot_fraction: int = 64) -> tuple[list, int]:
@@ -71,6 +80,16 @@ def resolve(facts: DataFrame, dim: DataFrame, key: str, event_col: str,
     ev = F.col(event_col)
     in_range = (ev >= F.col("_d_start")) & (F.col("_d_end").isNull() | (ev < F.col("_d_end")))
     cols = facts.columns
+    out_cols = [*[F.col(c) for c in cols], F.col("_d_sk").alias(sk),
+                *[F.col(f"_d_x{i}").alias(a) for i, a in enumerate(extra.values())]]
+    no_key = None
+    if strategy in ("shuffle", "salted"):
+        # A NULL key matches nothing; such rows skip the shuffle (they would
+        # all land in one task) and come back as orphans.
+        no_key = facts.where(F.col(key).isNull()).select(
+            *[F.col(c) for c in cols], F.lit(None).cast(d.schema["_d_sk"].dataType).alias(sk),
+            *[F.lit(None).cast(d.schema[f"_d_x{i}"].dataType).alias(a) for i, a in enumerate(extra.values())])
+        facts = facts.where(F.col(key).isNotNull())
     if strategy == "broadcast":
         j = facts.join(F.broadcast(d), (F.col(key) == F.col("_d_key")) & in_range, "left")
     elif strategy == "shuffle":
@@ -92,5 +111,5 @@ def resolve(facts: DataFrame, dim: DataFrame, key: str, event_col: str,
             j = f2.join(d2, cond, "left")
     else:
         raise ValueError(f"unknown join strategy {strategy!r}")
-    return j.select(*[F.col(c) for c in cols], F.col("_d_sk").alias(sk),
-                    *[F.col(f"_d_x{i}").alias(a) for i, a in enumerate(extra.values())])
+    out = j.select(*out_cols)
+    return out if no_key is None else out.unionByName(no_key)
