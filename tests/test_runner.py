@@ -88,3 +88,13 @@ def test_clinical_model_two_cycles(spark, layout):
 
     inv = tables.inventory(spark, [layout.bronze_db, layout.silver_db, layout.gold_db]).collect()
     assert len(inv) == 30 and {r.table_type for r in inv} == {"EXTERNAL"}
+
+    # A cycle with nothing new changes nothing: same versions, keys and load times.
+    before = {n: sorted(spark.table(layout.gold(s)).drop("gold_load_ts" if s.kind == "fact" else "_").collect())
+              for n, s in ((s.name, s) for s in specs)}
+    r3 = {r.entity: r for r in runner.run(spark, layout, specs, dt.datetime(2024, 1, 7, 12)).collect()}
+    assert all(r.bronze_dates_loaded == 0 for r in r3.values())
+    assert (r3["dm"].inserted, r3["dm"].updated) == (0, 0)
+    after = {n: sorted(spark.table(layout.gold(s)).drop("gold_load_ts" if s.kind == "fact" else "_").collect())
+             for n, s in ((s.name, s) for s in specs)}
+    assert before == after
