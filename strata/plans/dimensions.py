@@ -27,10 +27,14 @@ def next_state(spark: SparkSession, spec: EntitySpec, layout: Layout, load_ts):
                 spec.encoding, spec.ts_type, with_action=True)
 
 
-def load(spark: SparkSession, spec: EntitySpec, layout: Layout, load_ts, verify: bool = True) -> dict:
+def load(spark: SparkSession, spec: EntitySpec, layout: Layout, load_ts, verify: bool = True,
+         verify_incoming: bool = True) -> dict:
+    """``verify``: one active version per key afterwards (SCD2).
+    ``verify_incoming``: one silver row per key first (skip only when the
+    silver table was just checked, as ``runner.run`` does)."""
     if spec.kind != "dimension":
         raise ValueError(f"{spec.name} is not a dimension")
-    if verify:
+    if verify_incoming:
         # A duplicated incoming key would multiply rows in the join: fail first.
         checks.enforce(checks.grain(spark.table(layout.silver(spec)), spec.keys), f"incoming {spec.name}")
     a = F.col(ACTION)
