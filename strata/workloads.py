@@ -363,10 +363,10 @@ def _event_facts(spark, sf):
     return facts.withColumn("event_date", F.to_date("ts"))
 
 
-def _resolved_events(spark, sf, extra=None):
+def _resolved_events(spark, sf, extra=None, **join):
     dim = _daily_user_dim(spark, sf)
     return resolve(_event_facts(spark, sf), dim, "user_id", "event_date", sk="user_sk",
-                   dim_cols=extra)
+                   dim_cols=extra, **join)
 
 
 _DAILY_DIM_CTE = f"""
@@ -413,6 +413,17 @@ def fact_asof_events(spark, sf):
     return out.select("event_id", "user_id", "event_date", "event_type", "user_sk", "record_version")
 
 
+@workload("fact_asof_events_salted", _DAILY_DIM_CTE + """
+SELECT event_id, user_id, event_date, event_type, user_sk, record_version FROM r
+""")
+def fact_asof_events_salted(spark, sf):
+    """The same facts through the skew path: shuffle join on (key, salt), with
+    every user above 1/256 of the events treated as hot and split in 4."""
+    out = _resolved_events(spark, sf, extra=["record_version"], strategy="salted",
+                           hot_fraction=256, salt_buckets=4, salt_cols=["event_id"])
+    return out.select("event_id", "user_id", "event_date", "event_type", "user_sk", "record_version")
+
+
 @workload("fact_orphans_events", _DAILY_DIM_CTE + """
 SELECT count(*) AS total_rows, count(*) FILTER (WHERE user_sk IS NULL) AS orphan_rows, TRUE AS ok FROM r
 """)
