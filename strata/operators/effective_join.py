@@ -8,17 +8,23 @@ bounds the work; the interval is a residual condition.  Strategy:
 * the dimension is first narrowed to (key, start, end, surrogate key);
 * if its measured size is under ``broadcast_limit`` it is broadcast and the
   facts never shuffle;
-* otherwise both sides shuffle on the key.  Keys holding more than
-  ``1 / hot_fraction`` of the fact rows are split: their fact rows get a
-  deterministic salt in ``[0, buckets)`` and the (few) matching dimension rows
-  are replicated once per salt value, so no task receives a whole hot key.
-  Every fact row still meets every version of its key exactly once, so the
-  result is the same as the unsalted join.  AQE's skew-join split stays on as
-  a second line of defence.
+* otherwise both sides shuffle on the key.  A key is *hot* when it alone
+  holds more than ``hot_factor`` times the average rows of a shuffle
+  partition; fewer than ``partitions / hot_factor`` keys can qualify, so the
+  hot list is bounded by the partition count, not the data.  A hot key with
+  ``c`` rows gets ``ceil(c / average)`` salt buckets: its fact rows get a
+  deterministic salt in that range and its (few) dimension versions are
+  replicated once per bucket, so no task receives more than about one average
+  partition of it.  Every fact row still meets every version of its key
+  exactly once, so the result equals the unsalted join.  NULL keys never
+  match and skip the shuffle.  AQE's skew-join split stays on as a second
+  line of defence.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,20 +50,27 @@ def measure(dim: DataFrame, key: str) -> tuple[int, int]:
     return n, n * (fixed + _ROW_OVERHEAD) + sum(int(r[f"v{i}"]) for i in range(len(var)))
 
 
-def hot_keys(facts: DataFrame, key: str, hot_fraction: int = 64) -> tuple[list, int]:
-    """Keys with more than total / hot_fraction rows (at most hot_fraction keys)."""
-    counts = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.orderBy(F.desc("_n")).limit(hot_fraction).collect()
+def hot_keys(facts: DataFrame, key: str, hot_factor: float = 4.0,
+             partitions: int | None = None) -> tuple[dict, int]:
+    """{hot key: salt buckets} and the total row count.
+
+    Two aggregate passes (total, then per-key counts above the threshold);
+    only the hot keys (fewer than ``partitions / hot_factor``) reach the driver.
+    """
+    p = partitions or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = facts.count()
-    limit = max(1, total // hot_fraction)
-    return [r[key] for r in top if r["_n"] > limit and r[key] is not None], total
+    avg = max(1.0, total / p)
+    limit = hot_factor * avg
+    counts = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") > F.lit(limit)).collect()
+    return {r[key]: max(2, min(p, math.ceil(r["_n"] / avg))) for r in hot}, total
 
 
 def resolve(facts: DataFrame, dim: DataFrame, key: str, event_col: str,
             sk: str = "subject_sk", start: str = "start_effective_date",
             end: str = "end_effective_date", dim_key: str | None = None,
             strategy: str = "auto", broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
-            hot_fraction: int = 64, salt_buckets: int | None = None,
+            hot_factor: float = 4.0, salt_buckets: int | None = None,
             dim_cols: list[str] | dict[str, str] | None = None,
             salt_cols: list[str] | None = None) -> DataFrame:
     """Facts with ``sk`` of the dimension version valid at ``event_col``.
@@ -65,6 +78,7 @@ def resolve(facts: DataFrame, dim: DataFrame, key: str, event_col: str,
     ``dim_cols`` brings further version attributes along (a dict renames
     them); they are NULL for orphan facts.  ``salt_cols`` (default: every
     fact column) feed the hot-key salt; the fact's grain key is enough.
+    ``salt_buckets`` fixes the bucket count of every hot key (tests).
 
     ``strategy``: ``auto`` (measure, then broadcast or shuffle), ``broadcast``,
     ``shuffle`` (plain shuffle join) or ``salted`` (shuffle with hot-key split).
@@ -95,18 +109,27 @@ def resolve(facts: DataFrame, dim: DataFrame, key: str, event_col: str,
     elif strategy == "shuffle":
         j = facts.join(d.hint("shuffle_hash"), (F.col(key) == F.col("_d_key")) & in_range, "left")
     elif strategy == "salted":
-        hot, total = hot_keys(facts, key, hot_fraction)
+        hot, _ = hot_keys(facts, key, hot_factor)
         if not hot:
             j = facts.join(d, (F.col(key) == F.col("_d_key")) & in_range, "left")
         else:
-            n = salt_buckets or max(2, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-            is_hot_f = F.col(key).isin(hot)
+            spark = facts.sparkSession
+            key_type = facts.schema[key].dataType
+            buckets = spark.createDataFrame(
+                [(k, salt_buckets or n) for k, n in hot.items()],
+                f"_h_key {key_type.simpleString()}, _h_n int")
+            # One row per hot key: bounded by the partition count, safe to broadcast.
+            b = F.broadcast(buckets)
             salted_by = [F.col(c) for c in (salt_cols or cols)]
-            f2 = facts.withColumn("_salt", F.when(is_hot_f, F.pmod(F.xxhash64(*salted_by), F.lit(n)))
-                                            .otherwise(F.lit(0)).cast("int"))
-            d2 = d.withColumn("_d_salt", F.explode(
-                F.when(F.col("_d_key").isin(hot), F.sequence(F.lit(0), F.lit(n - 1)))
-                 .otherwise(F.array(F.lit(0)))))
+            f2 = (facts.join(b, F.col(key) == F.col("_h_key"), "left")
+                       .withColumn("_salt", F.when(F.col("_h_n").isNull(), F.lit(0))
+                                   .otherwise(F.pmod(F.xxhash64(*salted_by), F.col("_h_n"))).cast("int"))
+                       .drop("_h_key", "_h_n"))
+            d2 = (d.join(b, F.col("_d_key") == F.col("_h_key"), "left")
+                   .withColumn("_d_salt", F.explode(
+                       F.when(F.col("_h_n").isNull(), F.array(F.lit(0)))
+                        .otherwise(F.sequence(F.lit(0), F.col("_h_n") - 1))))
+                   .drop("_h_key", "_h_n"))
             cond = (F.col(key) == F.col("_d_key")) & (F.col("_salt") == F.col("_d_salt")) & in_range
             j = f2.join(d2, cond, "left")
     else:

@@ -43,7 +43,7 @@ def test_small_dimension_is_broadcast_and_facts_do_not_shuffle(spark):
 def test_salted_join_shuffles_on_key_and_salt(spark):
     facts, dim = facts_and_dim(spark)
     hot = facts.withColumn("k", F.when(F.col("seq") % 2 == 0, F.lit(3)).otherwise(F.col("k")))
-    p = plan_of(resolve(hot, dim, "k", "d", sk="sk", start="s", end="e", strategy="salted", hot_fraction=8))
+    p = plan_of(resolve(hot, dim, "k", "d", sk="sk", start="s", end="e", strategy="salted", hot_factor=2))
     assert "_salt" in p and ("SortMergeJoin" in p or "ShuffledHashJoin" in p)
 
 
