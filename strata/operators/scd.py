@@ -178,7 +178,12 @@ def scd2_replay(states: DataFrame, keys: Sequence[str], attrs: Sequence[str],
     that load and its run timestamp in ``load_ts_col``.  A version is opened
     whenever the fingerprint differs from the key's previous load; it ends
     where the next version starts.  Surrogate keys follow (load, key) order,
-    which is the order the fold hands them out in.
+    which is the order the fold hands them out in.  ``states`` must hold one
+    row per (key, load), as a silver snapshot does.
+
+    The window is partitioned by the business key, but each key has at most
+    one row per load, so a key's partition is bounded by the number of loads,
+    however hot the key is in the underlying data.
     """
     keys, cols = list(keys), _carried(keys, attrs)
     ct = F.col(change_time).cast(ts_type) if change_time else F.lit(None).cast(ts_type)
