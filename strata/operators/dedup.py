@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from strata.functions.keys import any_null
 
@@ -21,13 +22,24 @@ def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Data
     return df.where(~bad), df.where(bad)
 
 
+def _orderable(t) -> bool:
+    if isinstance(t, MapType):
+        return False
+    if isinstance(t, ArrayType):
+        return _orderable(t.elementType)
+    if isinstance(t, StructType):
+        return all(_orderable(f.dataType) for f in t.fields)
+    return True
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    tiebreak: Sequence[str] | None = None) -> DataFrame:
     """Keep one row per key: the greatest by ``order`` (each DESC NULLS LAST).
 
-    ``tiebreak`` (default: every other column, in schema order, also DESC NULLS
-    LAST) makes the winner independent of file order and partitioning when the
-    ordering columns tie.  Comparisons only reach those columns on a tie.
+    ``tiebreak`` (default: every other orderable column, in schema order, also
+    DESC NULLS LAST; maps are skipped) makes the winner independent of file
+    order and partitioning when the ordering columns tie.  Comparisons only
+    reach those columns on a tie.
 
     Plan: ``row_number() = 1`` lets Catalyst insert a partial WindowGroupLimit
     before the shuffle, so each map task forwards at most one row per key: a
@@ -35,7 +47,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """
     keys, order = list(keys), list(order)
     if tiebreak is None:
-        tiebreak = [c for c in df.columns if c not in keys and c not in order]
+        tiebreak = [f.name for f in df.schema.fields
+                    if f.name not in keys and f.name not in order and _orderable(f.dataType)]
     w = Window.partitionBy(*keys).orderBy(
         *[F.col(c).desc_nulls_last() for c in [*order, *tiebreak]])
     return (df.withColumn("_rn", F.row_number().over(w))

@@ -84,3 +84,9 @@ def test_partial_window_limit_before_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"))
     plan = latest_per_key(df, ["k"], ["t"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_tiebreak_skips_unorderable_columns(spark):
+    df = spark.createDataFrame([("a", 1, {"x": 1}), ("a", 2, {"y": 2})], "k string, t int, m map<string,int>")
+    (r,) = latest_per_key(df, ["k"], ["t"]).collect()
+    assert r.t == 2 and r.m == {"y": 2}
