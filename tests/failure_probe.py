@@ -45,6 +45,20 @@ def main():
     numbered = number_scan(spark.read.parquet(path), "sk")
     got = sorted(r.sk for r in numbered.where(flaky(F.col("sk"))).collect())
     out["number_scan"] = got == list(range(1, 10_001))
+
+    # A whole SCD2 next state: the retried final stage must equal a clean run.
+    from strata.operators.scd import empty_scd2, scd2
+    from pyspark.sql.types import TimestampType
+    ts = TimestampType()
+    first = spark.range(3000).select((F.col("id") % 500).alias("k"), (F.col("id") % 7).cast("string").alias("a"),
+                                     F.lit(None).cast("timestamp").alias("m")).dropDuplicates(["k"])
+    second = first.withColumn("a", F.when(F.col("k") % 3 == 0, F.lit("changed")).otherwise(F.col("a")))
+    d1 = scd2(empty_scd2(first, ["k"], ["a"], "sk", ts), first, ["k"], ["a"], "m", "sk",
+              "2024-01-01 00:00:00", ts_type=ts).checkpoint()
+    d2 = scd2(d1, second, ["k"], ["a"], "m", "sk", "2024-01-02 00:00:00", ts_type=ts)
+    clean = sorted(tuple(r) for r in d2.collect())
+    retried = sorted(tuple(r) for r in d2.where(flaky(F.col("sk"))).collect())
+    out["scd2"] = clean == retried and len(clean) == 500 + 500 // 3 + 1
     print(json.dumps(out))
     spark.stop()
 

@@ -11,4 +11,4 @@ def test_keys_survive_task_retries():
     res = subprocess.run([sys.executable, str(probe)], capture_output=True, text=True, timeout=600)
     lines = [l for l in res.stdout.splitlines() if l.startswith("{")]
     assert lines, res.stderr[-2000:]
-    assert json.loads(lines[-1]) == {"assign_surrogate": True, "number_scan": True}
+    assert json.loads(lines[-1]) == {"assign_surrogate": True, "number_scan": True, "scd2": True}
