@@ -2,14 +2,22 @@
 
 A fact is current-state and rebuilt in full each run (deterministic, so
 re-runnable).  The fact's own key is numbered in scan order of the silver
-table; the dimension key comes from the effective-dated join.  Grain (one
-row per business key) is asserted on the written table; orphans are counted
-during the write and reported, not dropped.
+table; the dimension key comes from the effective-dated join.  Orphans are
+counted during the write and reported, not dropped.
+
+Grain (one row per business key).  Silver already holds one row per key
+(asserted by the silver load) and a left join never drops a row, so the
+written facts keep the grain exactly when rows written = rows read: a fact
+can only be duplicated by matching two overlapping versions.  Both counts
+are observed during the one write job, so the default check costs nothing;
+``verify="full"`` also groups the written table by business key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import checks
@@ -21,10 +29,12 @@ from strata.sources import tables
 
 
 def load(spark: SparkSession, spec: EntitySpec, dim: EntitySpec, layout: Layout, load_ts,
-         strategy: str = "auto", verify: bool = True) -> dict:
+         strategy: str = "auto", verify: str | bool = "counts") -> dict:
     if spec.kind != "fact" or dim.kind != "dimension" or dim.scd_type != 2:
         raise ValueError(f"{spec.name}: facts resolve against an SCD2 dimension")
     facts = spark.table(layout.silver(spec)).select(*spec.gold_carried)
+    seen = Observation(f"facts_in_{spec.name}_{uuid.uuid4().hex[:8]}")
+    facts = facts.observe(seen, F.count(F.lit(1)).alias("rows_in"))
     facts = number_scan(facts, spec.sk)
     link = spec.link_key or dim.keys[0]
     out = resolve(facts, spark.table(layout.gold(dim)), link, spec.event_date, sk=dim.sk,
@@ -34,5 +44,11 @@ def load(spark: SparkSession, spec: EntitySpec, dim: EntitySpec, layout: Layout,
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col(dim.sk).isNull()).alias("orphans")])
     res = {k: int(v) for k, v in m.items()}
     if verify:
+        rows_in = int(seen.get["rows_in"])
+        if res["rows"] != rows_in:
+            raise checks.ContractError(
+                f"gold {spec.name}: {res['rows'] - rows_in} fact rows matched more than one "
+                f"version of {dim.name} (overlapping validity intervals); grain broken")
+    if verify == "full":
         checks.enforce(checks.grain(spark.table(layout.gold(spec)), spec.keys), f"gold {spec.name}")
     return res

@@ -98,3 +98,31 @@ def test_assign_surrogate_stable_bounds_on_shuffled_input(spark):
     j = probe.join(F.broadcast(keyed.select("a", "b", "sk", "payload")), ["a", "b"], "left")
     got = [r.sk for r in j.orderBy("a", "b").select("sk", "payload").collect()]
     assert got == list(range(1, 120_001))
+
+
+def test_fact_load_fails_on_overlapping_versions(spark, layout):
+    """Two versions of one subject overlap: a fact matches both, rows out >
+    rows in, and the load fails without a group-by over the facts."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import StructType
+    from strata.plans import facts as facts_plan, runner
+    from strata.plans.entities import EntitySpec
+    from strata.sources import tables
+    dschema = StructType.fromDDL("USUBJID STRING, ARM STRING, MODIFIED_TS TIMESTAMP")
+    fschema = StructType.fromDDL("USUBJID STRING, SEQ INT, D DATE, MODIFIED_TS TIMESTAMP")
+    d = EntitySpec(name="subj", keys=("USUBJID",), schema=dschema, kind="dimension", scd_type=2,
+                   sk="subject_sk", gold_table="dim_subj")
+    f = EntitySpec(name="obs", keys=("USUBJID", "SEQ"), schema=fschema, kind="fact", sk="obs_sk",
+                   gold_table="fact_obs", event_date="D", dimension="subj", link_key="USUBJID")
+    runner.declare(spark, layout, [d, f])
+    dim = spark.createDataFrame([(1, "S", "A", dt.datetime(2024, 1, 1), None, True, 1, None, "h1"),
+                                 (2, "S", "B", dt.datetime(2024, 1, 5), None, True, 2, None, "h2")],
+                                "subject_sk long, USUBJID string, ARM string, start_effective_date timestamp, "
+                                "end_effective_date timestamp, is_active boolean, record_version int, "
+                                "gold_load_ts timestamp, hash_diff string")
+    tables.replace(spark, layout.gold(d), dim)
+    rows = spark.createDataFrame([("S", 1, dt.date(2024, 1, 2), None), ("S", 2, dt.date(2024, 1, 9), None)],
+                                 fschema).withColumn("silver_load_ts", F.lit(None).cast("timestamp"))
+    tables.replace(spark, layout.silver(f), rows)
+    with pytest.raises(checks.ContractError, match=r": 1 fact rows matched more than one version"):
+        facts_plan.load(spark, f, d, layout, "2024-02-01 00:00:00")
