@@ -39,17 +39,24 @@ def current_state(bronze: DataFrame, keys: Sequence[str], change_time: str | Non
     return latest, rejected
 
 
+def rejected_table(layout, spec) -> str:
+    return f"{layout.silver(spec)}__rejected"
+
+
 def stamp(df: DataFrame, load_ts) -> DataFrame:
     from strata.operators.scd import ts_literal
     from pyspark.sql.types import TimestampType
     return df.withColumn(SILVER_LOAD_TS, ts_literal(load_ts, TimestampType()))
 
 
-def load(spark, spec, layout, load_ts, verify: bool = True) -> dict:
+def load(spark, spec, layout, load_ts, verify: bool = True, quarantine: bool = True) -> dict:
     """Full recompute of silver from all of bronze; one write, counts observed.
 
     Returns {rows, rejected}.  ``verify`` asserts one row per business key
-    on the written table.
+    on the written table.  Rows whose business key is NULL or blank cannot
+    enter silver; with ``quarantine`` they are written (cleansed) to
+    ``<silver table>__rejected``, with an extra pass over bronze only when the
+    observed count says there are any.
     """
     from strata.functions.keys import any_null
     from strata.operators import checks
@@ -65,6 +72,13 @@ def load(spark, spec, layout, load_ts, verify: bool = True) -> dict:
     m = tables.replace(spark, layout.silver(spec), stamp(state, load_ts),
                        observe=[F.count(F.lit(1)).alias("rows")])
     out = {"rows": int(m["rows"]), "rejected": int(obs.get["rejected"])}
+    if quarantine and out["rejected"]:
+        name = rejected_table(layout, spec)
+        tables.declare_table(spark, name, spec.silver_schema(),
+                             f"{layout.storage('silver', spec.name)}__rejected",
+                             comment=f"Rows of {spec.name} without a business key")
+        bad = cleanse_strings(spark.table(layout.bronze(spec))).where(any_null(spec.keys))
+        tables.replace(spark, name, stamp(bad.drop(BRONZE_DATE), load_ts))
     if verify:
         checks.enforce(checks.grain(spark.table(layout.silver(spec)), spec.keys), f"silver {spec.name}")
     return out

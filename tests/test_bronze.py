@@ -151,3 +151,14 @@ def test_delivery_order_does_not_change_silver(spark):
         silver.load(spark, s, lay, "2024-07-11 00:00:00")
         states.append(sorted(tuple(r) for r in spark.table(lay.silver(s)).drop("silver_load_ts").collect()))
     assert states[0] == states[1] == [(1, "B"), (2, "C"), (3, "C")]
+
+
+def test_rows_without_key_are_quarantined_not_lost(spark, layout):
+    from strata.plans import silver
+    s = setup(spark, layout)
+    deliver(spark, layout, s, "2024-07-08", [(1, "a"), (None, "lost?"), (2, "b")])
+    bronze.load(spark, s, layout)
+    rep = silver.load(spark, s, layout, "2024-07-09 00:00:00")
+    assert rep == {"rows": 2, "rejected": 1}
+    q = spark.table(silver.rejected_table(layout, s)).collect()
+    assert [(r.id, r.v) for r in q] == [(None, "LOST?")]
