@@ -12,18 +12,20 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import checks
-from strata.operators.scd import ACTION, ACTIVE, scd1, scd2
-from strata.plans.entities import EntitySpec, Layout
+from strata.operators.scd import ACTION, ACTIVE, SCD1_MANAGED, SCD2_MANAGED, scd1, scd2
+from strata.plans.entities import EntitySpec, Layout, target_carried
 from strata.sources import tables
 
 
 def next_state(spark: SparkSession, spec: EntitySpec, layout: Layout, load_ts):
     current = spark.table(layout.gold(spec))
     incoming = spark.table(layout.silver(spec))
+    managed = SCD1_MANAGED if spec.scd_type == 1 else SCD2_MANAGED
+    attrs = [c for c in target_carried(spark, layout.gold(spec), managed) if c not in spec.keys]
     if spec.scd_type == 1:
-        return scd1(current, incoming, spec.keys, spec.attrs, spec.sk, load_ts,
+        return scd1(current, incoming, spec.keys, attrs, spec.sk, load_ts,
                     spec.encoding, spec.ts_type, with_action=True)
-    return scd2(current, incoming, spec.keys, spec.attrs, spec.change_time, spec.sk, load_ts,
+    return scd2(current, incoming, spec.keys, attrs, spec.change_time, spec.sk, load_ts,
                 spec.encoding, spec.ts_type, with_action=True)
 
 

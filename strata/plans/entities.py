@@ -127,3 +127,11 @@ class Layout:
 
 def schema_of(ddl: str) -> StructType:
     return StructType.fromDDL(ddl)
+
+
+def target_carried(spark, table: str, managed: tuple[str, ...]) -> list[str]:
+    """Columns a load carries into ``table``: its current columns minus the
+    ones the load fills itself (managed columns and every ``*_sk`` key).
+    Reading them from the target means a column added to the gold table is
+    carried on the next load without touching the entity description."""
+    return [c for c in spark.table(table).columns if c not in managed and not c.endswith("_sk")]

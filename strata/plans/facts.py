@@ -24,7 +24,7 @@ from strata.operators import checks
 from strata.operators.effective_join import resolve
 from strata.operators.scd import LOAD_TS, ts_literal
 from strata.operators.surrogate import number_scan
-from strata.plans.entities import EntitySpec, Layout
+from strata.plans.entities import EntitySpec, Layout, target_carried
 from strata.sources import tables
 
 
@@ -32,7 +32,8 @@ def load(spark: SparkSession, spec: EntitySpec, dim: EntitySpec, layout: Layout,
          strategy: str = "auto", verify: str | bool = "counts") -> dict:
     if spec.kind != "fact" or dim.kind != "dimension" or dim.scd_type != 2:
         raise ValueError(f"{spec.name}: facts resolve against an SCD2 dimension")
-    facts = spark.table(layout.silver(spec)).select(*spec.gold_carried)
+    carried = target_carried(spark, layout.gold(spec), (LOAD_TS,))
+    facts = spark.table(layout.silver(spec)).select(*carried)
     seen = Observation(f"facts_in_{spec.name}_{uuid.uuid4().hex[:8]}")
     facts = facts.observe(seen, F.count(F.lit(1)).alias("rows_in"))
     facts = number_scan(facts, spec.sk)

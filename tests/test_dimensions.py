@@ -195,3 +195,22 @@ def test_duplicate_incoming_keys_fail_the_load(spark, layout):
     tables.replace(spark, layout.silver(spec), dup)
     with pytest.raises(checks.ContractError):
         dimensions.load(spark, spec, layout, T1)
+
+
+def test_column_added_to_gold_is_carried_next_load(spark, layout):
+    """Target-driven projection: ALTER the gold table, the next load fills it."""
+    from strata.plans import dimensions, runner
+    from strata.plans.entities import EntitySpec
+    from strata.sources import tables
+    schema = inc(spark, []).schema
+    spec = EntitySpec(name="t", keys=("k",), schema=schema, kind="dimension", scd_type=1, sk="t_sk",
+                      gold_table="dim_t", change_time="m", carried=("k", "a"))
+    runner.declare(spark, layout, [spec])
+    rows = inc(spark, [("x", "1", 7, None)]).withColumn("silver_load_ts", F.lit(None).cast("timestamp"))
+    tables.replace(spark, layout.silver(spec), rows)
+    dimensions.load(spark, spec, layout, T1)
+    assert "b" not in spark.table(layout.gold(spec)).columns
+    spark.sql(f"ALTER TABLE {layout.gold(spec)} ADD COLUMNS (b int)")
+    dimensions.load(spark, spec, layout, T2)
+    (r,) = spark.table(layout.gold(spec)).collect()
+    assert r.b == 7 and r.t_sk == 1
