@@ -137,8 +137,9 @@ def evolve(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     columns are cast to the table's type.
     """
     table_schema = spark.table(name).schema
-    have = {f.name for f in table_schema.fields}
-    new = [f for f in df.schema.fields if f.name not in have]
+    norm = _normaliser(spark)
+    have = {norm(f.name) for f in table_schema.fields}
+    new = [f for f in df.schema.fields if norm(f.name) not in have]
     if new:
         spark.sql(f"ALTER TABLE {_q(name)} ADD COLUMNS ({_ddl(new)})")
         spark.catalog.refreshTable(name)
@@ -146,11 +147,18 @@ def evolve(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     return align(df, table_schema)
 
 
+def _normaliser(spark: SparkSession):
+    """Column-name comparison as Spark resolves names (case-insensitive by default)."""
+    sensitive = str(spark.conf.get("spark.sql.caseSensitive", "false")).lower() == "true"
+    return (lambda c: c) if sensitive else (lambda c: c.lower())
+
+
 def align(df: DataFrame, schema: StructType) -> DataFrame:
     """Project ``df`` onto ``schema``: by name, cast, NULL where absent."""
-    present = set(df.columns)
-    return df.select(*[(F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-                       for f in schema.fields])
+    norm = _normaliser(df.sparkSession)
+    present = {norm(c): c for c in df.columns}
+    return df.select(*[(F.col(present[norm(f.name)]) if norm(f.name) in present else F.lit(None))
+                       .cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def replace_partitions(spark: SparkSession, name: str, df: DataFrame, part_col: str,

@@ -162,3 +162,11 @@ def test_rows_without_key_are_quarantined_not_lost(spark, layout):
     assert rep == {"rows": 2, "rejected": 1}
     q = spark.table(silver.rejected_table(layout, s)).collect()
     assert [(r.id, r.v) for r in q] == [(None, "LOST?")]
+
+
+def test_column_names_match_like_spark_resolves_them(spark, layout):
+    s = setup(spark, layout)
+    deliver(spark, layout, s, "2024-07-08", [(1, "a")], "ID int, V string")
+    bronze.load(spark, s, layout)
+    b = spark.table(layout.bronze(s))
+    assert b.columns == ["id", "v", "bronze_ingest_date"] and [(r.id, r.v) for r in b.collect()] == [(1, "a")]
