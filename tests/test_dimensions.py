@@ -146,6 +146,9 @@ def test_e30_unknown_scd_type_rejected(spark):
     with pytest.raises(ValueError):
         EntitySpec(name="x", keys=("nope",), schema=schema, kind="dimension", scd_type=1, sk="x_sk",
                    gold_table="dim_x")
+    with pytest.raises(ValueError, match="change_time"):
+        EntitySpec(name="x", keys=("k",), schema=schema, kind="dimension", scd_type=1, sk="x_sk",
+                   gold_table="dim_x", change_time="MODIFIED")
 
 
 # ------------------------------------------------------------ fold == replay
