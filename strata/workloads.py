@@ -487,14 +487,15 @@ def _layout(spark, tag: str):
 _CYCLES: dict = {}
 
 
-def _three_cycles(spark, sf):
+def _three_cycles(spark, sf, reuse: bool = False):
     """Landing arrives in three waves; one full load cycle after each.
 
-    Memoised per session and scale factor: the tables stay in the catalog, so
-    ``load_report`` and ``inventory`` share one set of loads.
+    Every call runs the loads again, except ``reuse=True`` (``inventory``),
+    which takes the tables of the last run for this session and scale factor
+    if there is one; the tables stay in the catalog.
     """
     key = (id(spark), spark.sparkContext.applicationId, sf)
-    if key not in _CYCLES:
+    if not reuse or key not in _CYCLES:
         _CYCLES[key] = _run_three_cycles(spark, sf)
     return _CYCLES[key]
 
@@ -650,7 +651,7 @@ SELECT * FROM (VALUES
 """)
 def inventory(spark, sf):
     """Declared tables of the three layers after the load cycles, with row counts."""
-    layout, _, _ = _three_cycles(spark, sf)
+    layout, _, _ = _three_cycles(spark, sf, reuse=True)
     dbs = {layout.bronze_db: "bronze", layout.silver_db: "silver", layout.gold_db: "gold"}
     inv = tables.inventory(spark, list(dbs))
     counts = None
