@@ -12,8 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from strata.functions.keys import any_null
+from strata.operators import checks
 from strata.operators.cleanse import cleanse_strings
 from strata.operators.dedup import latest_per_key, split_null_keys
+from strata.sources import tables
 
 BRONZE_DATE = "bronze_ingest_date"
 SILVER_LOAD_TS = "silver_load_ts"
@@ -43,6 +46,26 @@ def rejected_table(layout, spec) -> str:
     return f"{layout.silver(spec)}__rejected"
 
 
+def rejected_view_sql(spark, layout, spec) -> str:
+    """``CREATE OR REPLACE VIEW`` of the bronze rows whose cleansed key is NULL."""
+    from pyspark.sql.types import StringType
+
+    def q(c):
+        return f"`{c}`"
+
+    fields = spark.table(layout.bronze(spec)).schema.fields
+    strings = {f.name for f in fields if isinstance(f.dataType, StringType)}
+
+    def clean(c):
+        return f"nullif(upper(trim({q(c)})), '')" if c in strings else q(c)
+
+    cols = ", ".join(f"{clean(f.name)} AS {q(f.name)}" for f in fields)
+    cond = " OR ".join(f"{clean(k)} IS NULL" for k in spec.keys)
+    view = ".".join(q(p) for p in rejected_table(layout, spec).split("."))
+    src = ".".join(q(p) for p in layout.bronze(spec).split("."))
+    return f"CREATE OR REPLACE VIEW {view} AS SELECT {cols} FROM {src} WHERE {cond}"
+
+
 def stamp(df: DataFrame, load_ts) -> DataFrame:
     from strata.operators.scd import ts_literal
     from pyspark.sql.types import TimestampType
@@ -54,14 +77,11 @@ def load(spark, spec, layout, load_ts, verify: bool = True, quarantine: bool = T
 
     Returns {rows, rejected}.  ``verify`` asserts one row per business key
     on the written table.  Rows whose business key is NULL or blank cannot
-    enter silver; with ``quarantine`` they are written (cleansed) to
-    ``<silver table>__rejected``, with an extra pass over bronze only when the
-    observed count says there are any.
+    enter silver; with ``quarantine`` they stay reachable, cleansed, through
+    the view ``<silver table>__rejected`` over bronze.  It is created only when
+    the observed count says there are such rows, and it costs nothing until
+    it is read.
     """
-    from strata.functions.keys import any_null
-    from strata.operators import checks
-    from strata.sources import tables
-
     bronze = spark.table(layout.bronze(spec))
     cleansed = cleanse_strings(bronze)
     obs = Observation(f"silver_{spec.name}_{uuid.uuid4().hex[:8]}")
@@ -73,12 +93,7 @@ def load(spark, spec, layout, load_ts, verify: bool = True, quarantine: bool = T
                        observe=[F.count(F.lit(1)).alias("rows")])
     out = {"rows": int(m["rows"]), "rejected": int(obs.get["rejected"])}
     if quarantine and out["rejected"]:
-        name = rejected_table(layout, spec)
-        tables.declare_table(spark, name, spec.silver_schema(),
-                             f"{layout.storage('silver', spec.name)}__rejected",
-                             comment=f"Rows of {spec.name} without a business key")
-        bad = cleanse_strings(spark.table(layout.bronze(spec))).where(any_null(spec.keys))
-        tables.replace(spark, name, stamp(bad.drop(BRONZE_DATE), load_ts))
+        spark.sql(rejected_view_sql(spark, layout, spec))
     if verify:
         checks.enforce(checks.grain(spark.table(layout.silver(spec)), spec.keys), f"silver {spec.name}")
     return out

@@ -161,7 +161,7 @@ def test_rows_without_key_are_quarantined_not_lost(spark, layout):
     rep = silver.load(spark, s, layout, "2024-07-09 00:00:00")
     assert rep == {"rows": 2, "rejected": 1}
     q = spark.table(silver.rejected_table(layout, s)).collect()
-    assert [(r.id, r.v) for r in q] == [(None, "LOST?")]
+    assert [(r.id, r.v, str(r.bronze_ingest_date)) for r in q] == [(None, "LOST?", "2024-07-08")]
 
 
 def test_column_names_match_like_spark_resolves_them(spark, layout):
