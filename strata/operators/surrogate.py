@@ -42,11 +42,16 @@ def _with_offsets(tagged: DataFrame, name: str, start) -> DataFrame:
 
 def assign_surrogate(df: DataFrame, order: Sequence[str], name: str,
                      start: int | Column = 0, num_partitions: int | None = None) -> DataFrame:
-    """Add ``name`` = start + 1, start + 2, ... in ``order`` (dense, unique)."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (df.repartitionByRange(n, *order)
-                .sortWithinPartitions(*order)
+    """Add ``name`` = start + 1, start + 2, ... in ``order`` (dense, unique).
+
+    Without ``num_partitions`` the range exchange uses the session's shuffle
+    partitions and AQE may coalesce them, so a small change set does not
+    become hundreds of tiny tasks and checkpoint files.  Positions are taken
+    after the shuffle read, so coalescing cannot break the numbering.
+    """
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order))
+    tagged = (ranged.sortWithinPartitions(*order)
                 .withColumn("_sk_mid", F.monotonically_increasing_id())
                 .checkpoint(eager=True))
     return _with_offsets(tagged, name, start)
