@@ -170,3 +170,10 @@ def test_column_names_match_like_spark_resolves_them(spark, layout):
     bronze.load(spark, s, layout)
     b = spark.table(layout.bronze(s))
     assert b.columns == ["id", "v", "bronze_ingest_date"] and [(r.id, r.v) for r in b.collect()] == [(1, "a")]
+
+
+def test_impossible_calendar_date_is_ignored(spark, layout):
+    s = setup(spark, layout)
+    deliver(spark, layout, s, "2024-02-28", [(1, "a")])
+    spark.createDataFrame([(9, "x")], SCHEMA).write.parquet(f"{layout.landing_dir(s)}/ingest_date=2024-02-30")
+    assert landing.landing_dates(spark, layout.landing_dir(s)) == ["2024-02-28"]
