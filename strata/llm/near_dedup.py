@@ -6,20 +6,23 @@ start, so copies are never paired.
 
 1. **Inverted lists.**  Two texts with a similarity of ``percent`` share at
    least ``shared()`` retained values, but for a probability of ``MISS``.  So
-   under any one order of the values, they share one among the first
-   ``K - shared + 1`` of each: these alone go into the lists.  The order puts
-   the most frequent values last (at most ``COMMON`` values, counted over all
-   texts, are known as such; the rest are in hash order), which keeps passages
-   that many texts share out of the lists.  The order sets the cost, never the
-   result.
+   under any one order of the values they share one among the first
+   ``K - shared + 1`` of each: these alone go into the lists.  The order is by
+   the number of texts that retain a value, rarest first, so a text's own words
+   come first and passages that many texts share last; values that one text
+   alone retains take their places in the order but need no list.
 2. **Union-sketch estimate.**  The ``K`` smallest values of both sketches are
    the sketch of the union; the share of them that both have estimates the
    similarity.  Pairs with fewer than ``shared()`` of them go.
 3. **Exact check** of what is left, on the full sets.
 
 Only components are asked for, so a list of thousands of near copies is not
-paired out: first every member of a list is compared with the list's smallest
-id, then only members of one list that are still in different components are.
+paired out.  Every member of a list is compared with the list's smallest id
+first.  A text can then only be linked to another component if it has
+``shared()`` retained values in lists that hold another component; for those
+texts alone, lists over the full sets (the same rule with exact counts, so far
+shorter) are made, compared with a changing member first and paired out only
+between components last.
 
 Defined results: a text without words, or null, is linked with nothing; rows
 with the same id are one vertex; a row with a null id is linked with nothing,
@@ -30,19 +33,18 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
-from math import ceil, comb
+from math import comb
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from strata.llm.components import components
 from strata.llm.store import saved
 from strata.llm.text import space_words, window_hashes, word_hashes
 
 K, MISS = 64, 1e-9
-COMMON, COMMON_FROM = 1 << 16, 8
 
 
 def shingles(text, n: int) -> np.ndarray:
@@ -64,13 +66,13 @@ def shared(k: int, percent: int, miss: float = MISS) -> int:
     return k
 
 
-def prefix_length(size: int, k: int, percent: int) -> int:
-    """How many of ``size`` retained values go into the lists."""
-    if not size:
-        return 0
-    if size * 100 <= k * percent:  # then a similar text is retained in full too, and the count is exact
-        return size - ceil(size * percent / 100) + 1
-    return size - min(shared(k, percent), ceil(size * percent / 100)) + 1
+def least_overlap(size, k: int | None, percent: int):
+    """Fewest values that two sets (``k`` None) or sketches share at that similarity; ``size`` is one of them."""
+    exact = F.ceil(size * percent / 100)
+    if k is None:
+        return exact
+    # up to this size a similar text is retained in full too, and the count is exact
+    return F.when(size * 100 <= k * percent, exact).otherwise(F.least(F.lit(shared(k, percent)), exact))
 
 
 def _signatures(docs: DataFrame, n: int, k: int) -> DataFrame:
@@ -87,27 +89,41 @@ def _signatures(docs: DataFrame, n: int, k: int) -> DataFrame:
                                                                   "s.sketch")
 
 
-def _lists(texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """(value, id, n): each text's rarest retained values."""
-    every = texts.select(F.explode("sketch").alias("value")).groupBy("value").agg(F.count("*").alias("n"))
-    top = every.where(F.col("n") >= COMMON_FROM).orderBy(F.desc("n"), "value").limit(COMMON).select("value").collect()
-    # the most frequent values, rarest first, at most COMMON of them
-    order = np.array([r.value for r in top][::-1], np.int64)
-    where = np.argsort(order)
-    common = texts.sparkSession.sparkContext.broadcast((order[where], where))
+def _common_values(rows: DataFrame) -> DataFrame:
+    """The rows (value, id, size) of values that two texts or more have, with their number."""
+    counts = rows.groupBy("value").agg(F.count("*").alias("texts")).where("texts > 1")
+    return rows.join(counts, "value")
 
-    @F.pandas_udf("array<bigint>")
-    def rarest(sketches: pd.Series) -> pd.Series:
-        values, places = common.value
-        out = []
-        for sketch in sketches:
-            if len(values):
-                at = np.minimum(np.searchsorted(values, sketch), len(values) - 1)
-                late = np.where(values[at] == sketch, places[at], -1)
-                sketch = sketch[np.argsort(late, kind="stable")]
-            out.append(sketch[:prefix_length(len(sketch), k, percent)])
-        return pd.Series(out)
-    return texts.select(F.explode(rarest("sketch")).alias("value"), "id", "n")
+
+def _lists(common: DataFrame, k: int | None, percent: int) -> DataFrame:
+    """(value, id, size, short): the first values of every text, rarest first, as far as a similar text must share one.
+
+    Of two full sets the smaller one shares still more of its values, so one among its ``short`` rows is enough.
+    """
+    size = F.least("size", F.lit(k)) if k else F.col("size")
+    own = Window.partitionBy("id", "size")
+    place = size - F.count("*").over(own) + F.row_number().over(own.orderBy("texts", "value"))
+    fewest = least_overlap(size, k, percent)
+    if_smaller = fewest if k else F.ceil(size * 2 * percent / (100 + percent))
+    return (common.withColumn("place", place).where(F.col("place") <= size - fewest + 1)
+            .select("value", "id", "size", (F.col("place") <= size - if_smaller + 1).alias("short")))
+
+
+def _stars(lists: DataFrame, head, percent: int) -> DataFrame:
+    """Pairs (a, b), a < b: every member of a list with the member that has the least ``head``."""
+    heads = lists.groupBy("value").agg(F.min(F.struct(head.alias("order"), "id", "size", "c")).alias("h"))
+    return (lists.join(heads, "value").where((F.col("id") != F.col("h.id")) & (F.col("c") != F.col("h.c")))
+            .where(_sized(F.col("size"), F.col("h.size"), percent))
+            .select(F.least("id", "h.id").alias("a"), F.greatest("id", "h.id").alias("b")).distinct())
+
+
+def _placed(lists: DataFrame, found: DataFrame) -> DataFrame:
+    """Lists with every member's component so far (``c``), where a list holds two or more."""
+    placed = (lists.join(found.withColumnRenamed("vertex", "id"), "id", "left")
+              .select(*lists.columns, F.coalesce("component", "id").alias("c")))
+    mixed = (placed.groupBy("value").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high")
+             .select("value"))
+    return placed.join(mixed, "value")
 
 
 def _alike(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -131,6 +147,12 @@ def _alike(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
             .where(likely("sa", "sb", "na", "nb")).select("a", "b"))
 
 
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text): the different texts of some ids."""
+    return (docs.join(ids, "id", "left_semi").groupBy("id").agg(F.collect_set("text").alias("texts"))
+            .select("id", F.explode("texts").alias("text")))
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """Pairs (a, b) that are similar by their full sets."""
     @F.pandas_udf("boolean")
@@ -143,16 +165,14 @@ def _verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFr
             both = len(np.intersect1d(own, other, assume_unique=True))
             out.append(100 * both >= percent * (len(own) + len(other) - both))
         return pd.Series(out, dtype=bool)
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    needed = (docs.join(ids, "id", "left_semi").groupBy("id").agg(F.collect_set("text").alias("texts"))
-              .select("id", F.explode("texts").alias("text")))
+    needed = _texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
     side = lambda x: needed.select(F.col("id").alias(x), F.col("text").alias(f"t{x}"))
     return pairs.join(side("b"), "b").join(side("a"), "a").where(similar("ta", "tb")).select("a", "b")
 
 
-def _sized(percent: int):
-    """Sizes that allow the similarity, for columns na and nb."""
-    return F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
+def _sized(left, right, percent: int):
+    """Whether two sizes allow the similarity."""
+    return F.least(left, right) * 100 >= F.greatest(left, right) * percent
 
 
 def classes(docs: DataFrame, n: int = 5, percent: int = 80, k: int = K) -> DataFrame:
@@ -162,39 +182,56 @@ def classes(docs: DataFrame, n: int = 5, percent: int = 80, k: int = K) -> DataF
     known = signed.where("doc_id is not null and twin is not null")
     texts = saved(known.groupBy("twin").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"),
                                             F.first("sketch").alias("sketch")), "texts")
-    lists = saved(_lists(texts, k, percent), "lists")
-    # rows that share an id, and copies, are joined to the text's vertex, its smallest id
-    twins = known.select("doc_id", "twin").join(texts.select("twin", "id"), "twin").select("doc_id", "id").distinct()
-    edges = twins.where("doc_id != id").select(F.col("doc_id").alias("u"), F.col("id").alias("v"))
-    # a text's words are taken from one row that has the id and the set
-    source = (rows.where("doc_id is not null").withColumn("id", F.col("doc_id"))
-              .join(texts.select("id"), "id", "left_semi").select("id", "text"))
-    heads = lists.groupBy("value").agg(F.min(F.struct("id", "n")).alias("head"), F.count("*").alias("size"))
-    stars = (lists.join(heads.where("size > 1"), "value")
-             .select(F.col("head.id").alias("a"), F.col("id").alias("b"), F.col("head.n").alias("na"),
-                     F.col("n").alias("nb")).where("a != b").where(_sized(percent)).select("a", "b").distinct())
-    links = saved(_verified(_alike(stars, texts, k, percent), source, n, percent), "star-links")
-    edges = edges.union(links.select("a", "b"))
+    # copies, and rows that share an id, are joined to the text's vertex, its smallest id
+    copies = (known.select("doc_id", "twin").join(texts.select("twin", "id"), "twin").where("doc_id != id")
+              .select(F.col("doc_id").alias("u"), F.col("id").alias("v")))
+    source = rows.where("doc_id is not null").withColumnRenamed("doc_id", "id")
+
+    retained = texts.select(F.explode("sketch").alias("value"), "id", F.col("n").alias("size"))
+    common = saved(_common_values(retained), "values")
+    lists = _lists(common, k, percent).withColumn("c", F.col("id"))
+    pairs = _alike(_stars(lists, F.col("id"), percent), texts, k, percent)
+    edges = copies.union(saved(_verified(pairs, source, n, percent), "links").select("a", "b"))
     found = saved(components(edges), "components")
-    own = F.coalesce("component", "id")
-    placed = lists.join(found, lists["id"] == found["vertex"], "left").select("value", "id", "n", own.alias("c"))
-    mixed = (placed.groupBy("value").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high")
-             .select("value"))
-    placed = saved(placed.join(mixed, "value"), "open-lists")
-    left, right = (placed.select("value", F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("c").alias(f"c{x}"))
-                   for x in "ab")
-    cross = (left.join(right, "value").where("a < b and ca != cb").where(_sized(percent)).select("a", "b").distinct())
-    cross = saved(_alike(cross, texts, k, percent), "cross-pairs")
-    more = saved(_verified(cross, source, n, percent), "cross-links")
-    if more.take(1):
-        found = saved(components(found.select(F.col("vertex").alias("u"), F.col("component").alias("v"))
-                                 .union(more.select("a", "b"))), "components")
+
+    least = least_overlap(F.least("size", F.lit(k)), k, percent)
+    unsettled = saved(_placed(common, found).groupBy("id", "size").agg(F.count("*").alias("open"))
+                      .where(F.col("open") >= least).select("id").distinct(), "unsettled")
+    sets = _common_values(_full_sets(_texts_of(source, unsettled), n))
+    lists = saved(_lists(sets, None, percent), "full-lists")
+    # the second member is another one in every list, so each text meets many
+    for step, head in (("star", F.xxhash64("id", "value")), ("cross", None)):
+        placed = saved(_placed(lists, found), "open-lists")
+        pairs = _stars(placed, head, percent) if head is not None else _across(placed, percent)
+        links = saved(_verified(_alike(pairs, texts, k, percent), source, n, percent), f"{step}-links")
+        if links.take(1):
+            edges = found.select(F.col("vertex").alias("u"), F.col("component").alias("v")).union(links.select("a", "b"))
+            found = saved(components(edges), "components")
     whole = signed.join(found, signed["doc_id"] == found["vertex"], "left")
     component = F.coalesce("component", "doc_id")
     return whole.select("doc_id", "n_shingles", component.alias("component_id"),
                         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def _full_sets(docs: DataFrame, n: int) -> DataFrame:
+    """(value, id, size): all shingles of (id, text)."""
+    @F.pandas_udf("array<bigint>")
+    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([shingles(t, n) for t in texts], dtype=object)
+    sets = docs.select("id", cut("text").alias("set")).select("id", "set", F.size("set").cast("bigint").alias("size"))
+    return sets.select(F.explode("set").alias("value"), "id", "size")
+
+
+def _across(placed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of one list that are in different components; the smaller set comes with its short rows."""
+    small, large = (placed.where("short") if x == "a" else placed for x in "ab")
+    small, large = (side.select("value", F.col("id").alias(x), F.col("size").alias(f"n{x}"), F.col("c").alias(f"c{x}"))
+                    for x, side in (("a", small), ("b", large)))
+    return (small.join(large, "value").where("ca != cb").where(F.struct("na", "a") < F.struct("nb", "b"))
+            .where(_sized(F.col("na"), F.col("nb"), percent)).select("a", "b").distinct())
+
+
 def deduplicate(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """One document of each class, the one with the smallest id; rows with its id and a null id all stay."""
     dropped = classes(docs, n, percent).where(~F.col("kept")).select(F.col("doc_id").alias("strata_dropped_id")).distinct()
