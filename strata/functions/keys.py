@@ -1,12 +1,12 @@
-"""Business-key helpers: parsing, matching, NULL detection."""
+"""Business-key helpers: parsing, NULL detection."""
 
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_, or_
+from operator import or_
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -19,10 +19,5 @@ def parse_keys(spec: str | Sequence[str]) -> tuple[str, ...]:
     return keys
 
 
-def match(left: DataFrame, right: DataFrame, keys: Iterable[str]) -> Column:
-    """Null-safe equality of every key column between two (aliased) frames."""
-    return reduce(and_, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def any_null(keys: Iterable[str]) -> Column:
     return reduce(or_, [F.col(k).isNull() for k in keys])

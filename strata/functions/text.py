@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def cleanse(col: Column | str) -> Column:
-    """TRIM -> UPPER -> blank becomes NULL.
+    """Without outer blanks, in upper case; NULL if nothing is left.
 
     Spark's ``trim`` strips U+0020 only, so tabs and no-break spaces survive,
     which is the documented behaviour.  NULL passes straight through:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -30,6 +30,32 @@ def grain(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     ).withColumn("ok", F.col("total_rows") == F.col("distinct_keys"))
 
 
+def ambiguous(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Keys with rows of equal order columns that differ in content, so that no row is the newest.
+
+    One row per key, order and content leaves each map task.
+    """
+    content = F.xxhash64(*[F.col(f.name).cast("string") if f.dataType.typeName() in ("map", "variant") else F.col(f.name)
+                           for f in rows.schema.fields])
+    each = rows.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)],
+                       *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], content.alias("_c"))
+    tied = (each.groupBy(*[c for c in each.columns if c != "_c"])
+            .agg(F.min("_c").alias("low"), F.max("_c").alias("high")).where("low != high"))
+    many = tied.select(*[f"_k{i}" for i in range(len(keys))]).distinct()
+    return many.agg(F.count(F.lit(1)).alias("ambiguous_keys"))
+
+
+def intervals(dim: DataFrame, keys: Sequence[str], start: str = "start_effective_date",
+              end: str = "end_effective_date") -> DataFrame:
+    """SCD2: no version ends before it starts, and none starts before the one before it ends."""
+    order = Window.partitionBy(*keys).orderBy("record_version")
+    before = F.lag(F.struct(F.col(end).alias("end"))).over(order)
+    late = before.isNotNull() & (before["end"].isNull() | (F.col(start) < before["end"]))
+    return dim.select((F.col(end) < F.col(start)).alias("_b"), late.alias("_l")).agg(
+        F.count_if("_b").alias("backward_versions"), F.count_if("_l").alias("overlapping_versions"),
+    ).withColumn("ok", (F.col("backward_versions") == 0) & (F.col("overlapping_versions") == 0))
+
+
 def active_unique(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     """SCD2: at most one active version per key, plus active / total counts."""
     per_key = dim.groupBy(*keys).agg(

@@ -9,7 +9,7 @@ from strata.functions.text import cleanse
 
 
 def cleanse_strings(df: DataFrame) -> DataFrame:
-    """Apply TRIM -> UPPER -> blank-to-NULL to every STRING column.
+    """``cleanse`` every STRING column of a frame.
 
     Built as one ``select`` over the schema (one Project node), other types
     pass through untouched with their own types.

@@ -44,33 +44,35 @@ def measure(dim: DataFrame, key: str) -> tuple[int, int]:
     var = [f.name for f in dim.schema.fields if f.name == key or f.dataType.typeName() in ("string", "binary")]
     fixed = sum(_WIDTH.get(f.dataType.typeName(), 16) for f in dim.schema.fields if f.name not in var)
     r = dim.agg(F.count(F.lit(1)).alias("n"),
-                *[F.coalesce(F.sum(F.length(F.col(c).cast("string"))), F.lit(0)).alias(f"v{i}")
+                *[F.coalesce(F.sum(F.octet_length(F.col(c).cast("string"))), F.lit(0)).alias(f"v{i}")
                   for i, c in enumerate(var)]).first()
     n = int(r["n"])
     return n, n * (fixed + _ROW_OVERHEAD) + sum(int(r[f"v{i}"]) for i in range(len(var)))
 
 
-def hot_keys(facts: DataFrame, key: str, hot_factor: float = 4.0,
-             partitions: int | None = None) -> tuple[dict, int]:
-    """{hot key: salt buckets} and the total row count.
+def hot_keys(facts: DataFrame, key: str, hot_factor: float = 4.0, partitions: int | None = None) -> DataFrame:
+    """(_h_key, _h_n): keys with more than ``hot_factor`` shuffle partitions' worth of rows, and their salt buckets.
 
-    Two aggregate passes (total, then per-key counts above the threshold);
-    only the hot keys (fewer than ``partitions / hot_factor``) reach the driver.
+    One pass over the key column; the counts are kept once and also give the
+    total.  NULL is such a key when it is frequent.  There are fewer than
+    ``partitions / hot_factor`` hot keys, and ``hot_factor`` is at least 1, so
+    the result may be broadcast; it never reaches the driver.
     """
+    if hot_factor < 1:
+        raise ValueError("hot_factor below 1 would make more keys hot than there are partitions")
     p = partitions or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total = facts.count()
+    counts = facts.groupBy(F.col(key).alias("_h_key")).agg(F.count(F.lit(1)).alias("_n")).checkpoint()
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
     avg = max(1.0, total / p)
-    limit = hot_factor * avg
-    counts = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > F.lit(limit)).collect()
-    return {r[key]: max(2, min(p, math.ceil(r["_n"] / avg))) for r in hot}, total
+    buckets = F.greatest(F.lit(2), F.least(F.lit(p), F.ceil(F.col("_n") / avg))).cast("int")
+    return counts.where(F.col("_n") > F.lit(hot_factor * avg)).select("_h_key", buckets.alias("_h_n"))
 
 
 def resolve(facts: DataFrame, dim: DataFrame, key: str, event_col: str,
             sk: str = "subject_sk", start: str = "start_effective_date",
             end: str = "end_effective_date", dim_key: str | None = None,
             strategy: str = "auto", broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
-            hot_factor: float = 4.0, salt_buckets: int | None = None,
+            hot_factor: float = 4.0, partitions: int | None = None, salt_buckets: int | None = None,
             dim_cols: list[str] | dict[str, str] | None = None,
             salt_cols: list[str] | None = None) -> DataFrame:
     """Facts with ``sk`` of the dimension version valid at ``event_col``.
@@ -78,61 +80,47 @@ def resolve(facts: DataFrame, dim: DataFrame, key: str, event_col: str,
     ``dim_cols`` brings further version attributes along (a dict renames
     them); they are NULL for orphan facts.  ``salt_cols`` (default: every
     fact column) feed the hot-key salt; the fact's grain key is enough.
-    ``salt_buckets`` fixes the bucket count of every hot key (tests).
+    ``partitions`` is the number of partitions that hot keys are measured by
+    (default: the session's shuffle partitions); ``salt_buckets`` fixes the
+    bucket count of every hot key.
 
-    ``strategy``: ``auto`` (measure, then broadcast or shuffle), ``broadcast``,
-    ``shuffle`` (plain shuffle join) or ``salted`` (shuffle with hot-key split).
+    ``strategy``: ``auto`` (measure, then broadcast or salt), ``broadcast`` (an
+    error beyond ``broadcast_limit``), ``shuffle`` (plain shuffle join) or ``salted`` (shuffle with hot-key split).
     """
     dim_key = dim_key or key
     extra = dict(dim_cols) if isinstance(dim_cols, dict) else {c: c for c in (dim_cols or [])}
     d = dim.select(F.col(sk).alias("_d_sk"), F.col(dim_key).alias("_d_key"),
                    F.col(start).alias("_d_start"), F.col(end).alias("_d_end"),
                    *[F.col(c).alias(f"_d_x{i}") for i, c in enumerate(extra)])
-    if strategy == "auto":
+    if strategy in ("auto", "broadcast"):
         _, size = measure(d, "_d_key")
+        if strategy == "broadcast" and size > broadcast_limit:
+            raise ValueError(f"the versions take {size} bytes, more than {broadcast_limit}; use another strategy")
         strategy = "broadcast" if size <= broadcast_limit else "salted"
     ev = F.col(event_col)
     in_range = (ev >= F.col("_d_start")) & (F.col("_d_end").isNull() | (ev < F.col("_d_end")))
     cols = facts.columns
     out_cols = [*[F.col(c) for c in cols], F.col("_d_sk").alias(sk),
                 *[F.col(f"_d_x{i}").alias(a) for i, a in enumerate(extra.values())]]
-    no_key = None
-    if strategy in ("shuffle", "salted"):
-        # A NULL key matches nothing; such rows skip the shuffle (they would
-        # all land in one task) and come back as orphans.
-        no_key = facts.where(F.col(key).isNull()).select(
-            *[F.col(c) for c in cols], F.lit(None).cast(d.schema["_d_sk"].dataType).alias(sk),
-            *[F.lit(None).cast(d.schema[f"_d_x{i}"].dataType).alias(a) for i, a in enumerate(extra.values())])
-        facts = facts.where(F.col(key).isNotNull())
+    match = F.col(key) == F.col("_d_key")
     if strategy == "broadcast":
-        j = facts.join(F.broadcast(d), (F.col(key) == F.col("_d_key")) & in_range, "left")
+        j = facts.join(F.broadcast(d), match & in_range, "left")
     elif strategy == "shuffle":
-        j = facts.join(d.hint("shuffle_hash"), (F.col(key) == F.col("_d_key")) & in_range, "left")
+        j = facts.join(d.hint("shuffle_hash"), match & in_range, "left")
     elif strategy == "salted":
-        hot, _ = hot_keys(facts, key, hot_factor)
-        if not hot:
-            j = facts.join(d, (F.col(key) == F.col("_d_key")) & in_range, "left")
-        else:
-            spark = facts.sparkSession
-            key_type = facts.schema[key].dataType
-            buckets = spark.createDataFrame(
-                [(k, salt_buckets or n) for k, n in hot.items()],
-                f"_h_key {key_type.simpleString()}, _h_n int")
-            # One row per hot key: bounded by the partition count, safe to broadcast.
-            b = F.broadcast(buckets)
-            salted_by = [F.col(c) for c in (salt_cols or cols)]
-            f2 = (facts.join(b, F.col(key) == F.col("_h_key"), "left")
-                       .withColumn("_salt", F.when(F.col("_h_n").isNull(), F.lit(0))
-                                   .otherwise(F.pmod(F.xxhash64(*salted_by), F.col("_h_n"))).cast("int"))
-                       .drop("_h_key", "_h_n"))
-            d2 = (d.join(b, F.col("_d_key") == F.col("_h_key"), "left")
-                   .withColumn("_d_salt", F.explode(
-                       F.when(F.col("_h_n").isNull(), F.array(F.lit(0)))
-                        .otherwise(F.sequence(F.lit(0), F.col("_h_n") - 1))))
-                   .drop("_h_key", "_h_n"))
-            cond = (F.col(key) == F.col("_d_key")) & (F.col("_salt") == F.col("_d_salt")) & in_range
-            j = f2.join(d2, cond, "left")
+        hot = hot_keys(facts, key, hot_factor, partitions)
+        b = F.broadcast(hot.withColumn("_h_n", F.lit(salt_buckets).cast("int")) if salt_buckets else hot)
+        salted_by = [F.col(c) for c in (salt_cols or cols)]
+        # a NULL key meets no version, but its rows are spread like those of any other frequent key
+        f2 = (facts.join(b, F.col(key).eqNullSafe(F.col("_h_key")), "left")
+              .withColumn("_salt", F.when(F.col("_h_n").isNull(), F.lit(0))
+                          .otherwise(F.pmod(F.xxhash64(*salted_by), F.col("_h_n"))).cast("int"))
+              .drop("_h_key", "_h_n"))
+        d2 = (d.join(b, F.col("_d_key") == F.col("_h_key"), "left")
+              .withColumn("_d_salt", F.explode(F.when(F.col("_h_n").isNull(), F.array(F.lit(0)))
+                                               .otherwise(F.sequence(F.lit(0), F.col("_h_n") - 1))))
+              .drop("_h_key", "_h_n"))
+        j = f2.join(d2, match & (F.col("_salt") == F.col("_d_salt")) & in_range, "left")
     else:
         raise ValueError(f"unknown join strategy {strategy!r}")
-    out = j.select(*out_cols)
-    return out if no_key is None else out.unionByName(no_key)
+    return j.select(*out_cols)

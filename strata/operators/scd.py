@@ -1,9 +1,11 @@
 """Slowly changing dimensions as pure next-state functions.
 
 ``scd1`` and ``scd2`` take the current dimension and the incoming silver
-snapshot and return the *whole next state*, computed in one plan: the stored
-state is never mutated in place, so a task retry or a second action reads the
-same input and yields the same result (decision: one evaluation per load).
+snapshot and return the *whole next state*: the stored state is never mutated
+in place, so a task retry or a second action reads the same input and yields
+the same result.  Both start from ``changes``, a join of keys and fingerprints
+that is made once per load and stored; what follows only looks the changed keys
+up.
 
 ``scd2_replay`` is the same SCD2 rule applied to a sequence of loads at once
 (backfill / bulk rebuild): instead of N chained joins it needs one shuffle by
@@ -76,9 +78,48 @@ def empty_scd2(incoming: DataFrame, keys, attrs, sk: str, ts_type: DataType = Ti
                            F.lit(None).cast(ts_type).alias(LOAD_TS)).limit(0)
 
 
+def changes(current: DataFrame, incoming: DataFrame, keys: Sequence[str], attrs: Sequence[str], sk: str,
+            encoding: str = "length_prefixed") -> DataFrame:
+    """What differs between stored and incoming rows: keys, status, stored ``sk`` and version.
+
+    The only full join of a load, and it carries keys and fingerprints alone.
+    ``status`` is insert, update or retained (stored, not delivered); unchanged
+    keys have no row.  A row counts as stored or delivered because it is there,
+    whatever its fingerprint, and a missing fingerprint differs from any other.
+    The result is small when little changed, and is written once to the shared
+    checkpoint folder: the plans that use it never repeat the join.
+    """
+    stored = current.where(ACTIVE) if ACTIVE in current.columns else current
+    version = F.col(VERSION) if VERSION in current.columns else F.lit(None).cast("int")
+    t = stored.select(*keys, F.col(sk).alias("_sk"), version.alias("_version"), F.col(HASH_DIFF).alias("_hash"),
+                      F.lit(True).alias("_here"))
+    s = incoming.select(*keys, hash_diff(attrs, encoding).alias("_hash"), F.lit(True).alias("_here"))
+    j = t.alias("t").join(s.alias("s"), _key_cond(keys), "full_outer")
+    status = (F.when(F.col("t._here").isNull(), "insert").when(F.col("s._here").isNull(), "retained")
+               .when(~F.col("t._hash").eqNullSafe(F.col("s._hash")), "update"))
+    found = j.select(*[F.when(F.col("s._here"), F.col(f"s.{k}")).otherwise(F.col(f"t.{k}")).alias(k) for k in keys],
+                     status.alias("_status"), F.col("t._sk").alias("_sk"), F.col("t._version").alias("_version"))
+    return found.where(F.col("_status").isNotNull()).checkpoint()
+
+
+def _delivered(incoming: DataFrame, diff: DataFrame, keys: Sequence[str], extra: Sequence[Column], names: Sequence[str]):
+    """Incoming rows that are new or changed, with what ``changes`` knows of them; stored, as several plans use them."""
+    todo = diff.where(F.col("_status").isin("insert", "update"))
+    j = incoming.alias("s").join(todo.alias("t"), _key_cond(keys))
+    return j.select(*[F.col(f"s.{c}").alias(c) for c in names], *extra).checkpoint()
+
+
+def _stored(rows: DataFrame, diff: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stored rows with their status: update, retained or unchanged."""
+    known = diff.where(F.col("_status").isin("update", "retained"))
+    j = known.alias("t").join(rows.alias("s"), _key_cond(keys), "right_outer")
+    return j.select("s.*", F.coalesce("t._status", F.lit("unchanged")).alias(ACTION))
+
+
 def scd1(current: DataFrame, incoming: DataFrame, keys: Sequence[str], attrs: Sequence[str],
          sk: str, load_ts, encoding: str = "length_prefixed",
-         ts_type: DataType = TimestampNTZType(), with_action: bool = False) -> DataFrame:
+         ts_type: DataType = TimestampNTZType(), with_action: bool = False,
+         diff: DataFrame | None = None) -> DataFrame:
     """Upsert: insert new keys, overwrite changed ones, leave the rest as they are.
 
     ``incoming`` must hold one row per key (``checks.grain``); the loads in
@@ -87,85 +128,59 @@ def scd1(current: DataFrame, incoming: DataFrame, keys: Sequence[str], attrs: Se
     Unchanged and absent keys keep their row *and* their old ``gold_load_ts``;
     inserted keys get fresh dense surrogate keys above the current maximum.
     With ``with_action`` the result carries ``_action`` in
-    {insert, update, unchanged, retained}.
+    {insert, update, unchanged, retained}.  ``diff`` = ``changes(...)`` of the
+    same arguments, if it is at hand.
     """
     keys, cols = list(keys), _carried(keys, attrs)
-    inc = (incoming.select(*cols)
-           .withColumn(HASH_DIFF, hash_diff(attrs, encoding))
-           .withColumn(LOAD_TS, ts_literal(load_ts, ts_type)))
-    j = current.alias("t").join(inc.alias("s"), _key_cond(keys), "full_outer")
-    t_h, s_h = F.col(f"t.{HASH_DIFF}"), F.col(f"s.{HASH_DIFF}")
-    action = (F.when(t_h.isNull(), "insert").when(s_h.isNull(), "retained")
-               .when(t_h != s_h, "update").otherwise("unchanged"))
-    take_s = action.isin("insert", "update")
-    out = j.select(
-        F.col(f"t.{sk}").alias(sk),
-        *[F.when(take_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
-          for c in [*cols, HASH_DIFF, LOAD_TS]],
-        action.alias(ACTION))
-    out = _with_new_keys(out, current, keys, sk)
+    diff = changes(current, incoming, keys, attrs, sk, encoding) if diff is None else diff
+    new = _delivered(incoming, diff, keys, [F.col("t._sk").alias(sk), F.col("t._status").alias(ACTION)], cols)
+    new = new.withColumn(HASH_DIFF, hash_diff(attrs, encoding)).withColumn(LOAD_TS, ts_literal(load_ts, ts_type))
+    order = [sk, *cols, HASH_DIFF, LOAD_TS, ACTION]
+    kept = _stored(current, diff, keys).where(F.col(ACTION) != "update")
+    out = (kept.select(*order).unionByName(new.where(F.col(ACTION) == "update").select(*order))
+           .unionByName(_with_new_keys(new.where(F.col(ACTION) == "insert"), current, keys, sk).select(*order)))
     return out if with_action else out.drop(ACTION)
 
 
 def scd2(current: DataFrame, incoming: DataFrame, keys: Sequence[str], attrs: Sequence[str],
          change_time: str | None, sk: str, load_ts, encoding: str = "length_prefixed",
-         ts_type: DataType = TimestampNTZType(), with_action: bool = False) -> DataFrame:
+         ts_type: DataType = TimestampNTZType(), with_action: bool = False,
+         diff: DataFrame | None = None) -> DataFrame:
     """History: expire the active row of each changed key, add its next version.
 
-    ``incoming`` must hold one row per key, like ``scd1``.
+    ``incoming`` must hold one row per key, like ``scd1``; ``diff`` as there.
 
-    Per key the full outer join of active rows with the incoming snapshot
-    yields one row for unchanged, new or absent keys and two (expired old +
-    new version) for changed keys.  New version = old + 1, start = the row's
-    change time, else the run's ``load_ts``; the expired row ends exactly
-    there.  Inactive history passes through without a shuffle.
+    A changed key keeps its old row, expired, and gets a new one.  New version
+    = old + 1, start = the row's change time, else the run's ``load_ts``; the
+    expired row ends exactly there.  Inactive history is passed on without a
+    join.
     """
     keys, cols = list(keys), _carried(keys, attrs)
+    diff = changes(current, incoming, keys, attrs, sk, encoding) if diff is None else diff
     now = ts_literal(load_ts, ts_type)
-    ct = F.col(change_time).cast(ts_type) if change_time else F.lit(None).cast(ts_type)
-    inc = incoming.select(*cols, ct.alias("_change_ts")).withColumn(HASH_DIFF, hash_diff(attrs, encoding))
-    active = current.where(F.col(ACTIVE))
-    history = current.where(~F.col(ACTIVE))
-    j = active.alias("t").join(inc.alias("s"), _key_cond(keys), "full_outer")
-    t_h, s_h = F.col(f"t.{HASH_DIFF}"), F.col(f"s.{HASH_DIFF}")
-    status = (F.when(t_h.isNull(), "insert").when(s_h.isNull(), "retained")
-               .when(t_h != s_h, "update").otherwise("unchanged"))
-    changed = status == "update"
-    new_start = F.coalesce(F.col("s._change_ts"), now)
-    old = F.when(status != "insert", F.struct(
-        F.col(f"t.{sk}").alias(sk),
-        *[F.col(f"t.{c}").alias(c) for c in cols],
-        F.col(f"t.{HASH_DIFF}").alias(HASH_DIFF),
-        F.col(f"t.{START}").alias(START),
-        F.when(changed, new_start).otherwise(F.col(f"t.{END}")).alias(END),
-        F.when(changed, F.lit(False)).otherwise(F.col(f"t.{ACTIVE}")).alias(ACTIVE),
-        F.col(f"t.{VERSION}").alias(VERSION),
-        F.col(f"t.{LOAD_TS}").alias(LOAD_TS),
-        F.when(changed, F.lit("expire")).otherwise(status).alias(ACTION)))
-    new = F.when(status.isin("insert", "update"), F.struct(
-        F.lit(None).cast("long").alias(sk),
-        *[F.col(f"s.{c}").alias(c) for c in cols],
-        F.col(f"s.{HASH_DIFF}").alias(HASH_DIFF),
-        new_start.alias(START),
-        F.lit(None).cast(ts_type).alias(END),
-        F.lit(True).alias(ACTIVE),
-        (F.coalesce(F.col(f"t.{VERSION}"), F.lit(0)) + 1).cast("int").alias(VERSION),
-        now.alias(LOAD_TS),
-        status.alias(ACTION)))
-    rows = (j.select(F.explode(F.filter(F.array(old, new), lambda x: x.isNotNull())).alias("_r"))
-             .select("_r.*"))
-    out = _with_new_keys(rows, current, keys, sk)
-    out = history.withColumn(ACTION, F.lit("history")).unionByName(out)
+    changed_at = F.coalesce(F.col(f"s.{change_time}").cast(ts_type), now) if change_time else now
+    new = _delivered(incoming, diff, keys, [
+        changed_at.alias(START), (F.coalesce("t._version", F.lit(0)) + 1).cast("int").alias(VERSION),
+        F.col("t._status").alias(ACTION)], cols)
+    ends = new.where(F.col(ACTION) == "update").select(*keys, F.col(START).alias("_ends"))
+    new = (new.withColumn(HASH_DIFF, hash_diff(attrs, encoding)).withColumn(END, F.lit(None).cast(ts_type))
+           .withColumn(ACTIVE, F.lit(True)).withColumn(LOAD_TS, now))
+    order = [sk, *cols, HASH_DIFF, START, END, ACTIVE, VERSION, LOAD_TS, ACTION]
+    is_active = F.coalesce(F.col(ACTIVE), F.lit(False))
+    marked = _stored(current.where(is_active), diff, keys)
+    kept = marked.where(F.col(ACTION) != "update")
+    expired = (marked.where(F.col(ACTION) == "update").alias("s").join(ends.alias("t"), _key_cond(keys))
+               .select(*[F.col(f"s.{c}") for c in order if c not in (END, ACTIVE, ACTION)], F.col("_ends").alias(END),
+                       F.lit(False).alias(ACTIVE), F.lit("expire").alias(ACTION)))
+    out = (current.where(~is_active).withColumn(ACTION, F.lit("history")).select(*order)
+           .unionByName(kept.select(*order)).unionByName(expired)
+           .unionByName(_with_new_keys(new.withColumn(sk, F.lit(None).cast("long")), current, keys, sk).select(*order)))
     return out if with_action else out.drop(ACTION)
 
 
 def _with_new_keys(rows: DataFrame, current: DataFrame, keys: Sequence[str], sk: str) -> DataFrame:
-    """Give rows without a surrogate key dense keys above the current maximum."""
-    start = max_key(current, sk)
-    kept = rows.where(F.col(sk).isNotNull())
-    fresh = rows.where(F.col(sk).isNull()).drop(sk)
-    fresh = assign_surrogate(fresh, keys, sk, start=start)
-    return kept.unionByName(fresh.select(*kept.columns))
+    """Give the rows dense keys above the current maximum."""
+    return assign_surrogate(rows.drop(sk), keys, sk, start=max_key(current, sk))
 
 
 def scd2_replay(states: DataFrame, keys: Sequence[str], attrs: Sequence[str],

@@ -1,11 +1,11 @@
-"""Landing -> bronze: load every landing date bronze does not hold yet.
-
-What to load = dates in landing MINUS dates in bronze, both observed facts (a
-directory listing and the table's partition list), so no remembered state
-can drift and a missed day self-heals on the next run.  Re-running a date
-replaces it (dynamic partition overwrite), never duplicates it; new source
-columns are added to the table.  A file arriving late *inside* an already
-loaded date is not seen unless that date is reloaded with ``dates=``.
+"""Landing -> bronze: bring in every delivered date that the table lacks.
+
+The dates to load are a set difference taken anew on each run: folders present
+in landing, less partitions present in the table.  Nothing is remembered
+between runs, so a skipped day is found by the next one.  Loading a date again
+overwrites that date alone.  Columns that the source has gained are added to
+the table.  Files added to a date after it was loaded need an explicit reload
+(``dates=``).
 """
 
 from __future__ import annotations
@@ -32,16 +32,24 @@ def loaded_dates(spark: SparkSession, table: str, col: str = BRONZE_DATE) -> Dat
 
 
 def load(spark: SparkSession, spec: EntitySpec, layout: Layout,
-         dates: Sequence[str] | None = None) -> dict:
-    """Load pending (or the given) dates; returns {dates, rows}."""
+         dates: Sequence[str] | None = None, skipped: str = "report") -> dict:
+    """Load pending (or the given) dates; returns {dates, rows}, and {skipped} if any.
+
+    ``skipped`` lists landing folders whose value is no date; with
+    ``skipped="fail"`` they stop the load.
+    """
     table, root = layout.bronze(spec), layout.landing_dir(spec)
+    odd = landing.skipped_folders(spark, root)
+    if odd and skipped == "fail":
+        raise ValueError(f"{spec.name}: landing folders that are no dates: {odd}")
+    noted = {"skipped": odd} if odd else {}
     if dates is None:
         found = landing.dates_frame(spark, landing.landing_dates(spark, root), BRONZE_DATE)
         todo = [str(r[0]) for r in pending_dates(found, loaded_dates(spark, table)).collect()]
     else:
         todo = sorted({str(d) for d in dates})
     if not todo:
-        return {"dates": [], "rows": 0}
+        return {"dates": [], "rows": 0, **noted}
     present = set(landing.landing_dates(spark, root))
     readable = [d for d in todo if d in present]
     if readable:
@@ -49,4 +57,4 @@ def load(spark: SparkSession, spec: EntitySpec, layout: Layout,
     else:
         df = spark.createDataFrame([], spec.bronze_schema())
     rows = tables.replace_partitions(spark, table, df, BRONZE_DATE, todo)
-    return {"dates": todo, "rows": rows}
+    return {"dates": todo, "rows": rows, **noted}

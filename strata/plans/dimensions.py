@@ -1,32 +1,37 @@
 """Silver -> gold dimensions (SCD type 1 or 2).
 
-The next state is computed once from the current table and the silver
-snapshot, written to a fresh directory and swapped in; the action counts are
-observed during that single write.  SCD2 then asserts at most one active
-version per key on the written table.
+Keys and fingerprints are compared first.  If nothing is new or changed the
+table is left alone.  Otherwise the next state is written to a fresh directory,
+checked there (one active version per key, no overlapping validity) and then
+made the table's; the action counts are observed during the write.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import checks
-from strata.operators.scd import ACTION, ACTIVE, SCD1_MANAGED, SCD2_MANAGED, scd1, scd2
+from strata.operators.scd import ACTION, ACTIVE, SCD1_MANAGED, SCD2_MANAGED, changes, scd1, scd2
 from strata.plans.entities import EntitySpec, Layout, target_carried
 from strata.sources import tables
 
 
-def next_state(spark: SparkSession, spec: EntitySpec, layout: Layout, load_ts):
-    current = spark.table(layout.gold(spec))
-    incoming = spark.table(layout.silver(spec))
+def _compared(spark: SparkSession, spec: EntitySpec, layout: Layout):
+    """(current rows, incoming rows, attributes, what differs)."""
+    current, incoming = spark.table(layout.gold(spec)), spark.table(layout.silver(spec))
     managed = SCD1_MANAGED if spec.scd_type == 1 else SCD2_MANAGED
-    attrs = [c for c in target_carried(spark, layout.gold(spec), managed) if c not in spec.keys]
+    attrs = [c for c in target_carried(spark, layout.gold(spec), (spec.sk, *managed)) if c not in spec.keys]
+    return current, incoming, attrs, changes(current, incoming, spec.keys, attrs, spec.sk, spec.encoding)
+
+
+def next_state(spec: EntitySpec, compared, load_ts):
+    current, incoming, attrs, diff = compared
     if spec.scd_type == 1:
         return scd1(current, incoming, spec.keys, attrs, spec.sk, load_ts,
-                    spec.encoding, spec.ts_type, with_action=True)
+                    spec.encoding, spec.ts_type, with_action=True, diff=diff)
     return scd2(current, incoming, spec.keys, attrs, spec.change_time, spec.sk, load_ts,
-                spec.encoding, spec.ts_type, with_action=True)
+                spec.encoding, spec.ts_type, with_action=True, diff=diff)
 
 
 def load(spark: SparkSession, spec: EntitySpec, layout: Layout, load_ts, verify: bool = True,
@@ -39,15 +44,23 @@ def load(spark: SparkSession, spec: EntitySpec, layout: Layout, load_ts, verify:
     if verify_incoming:
         # A duplicated incoming key would multiply rows in the join: fail first.
         checks.enforce(checks.grain(spark.table(layout.silver(spec)), spec.keys), f"incoming {spec.name}")
+    compared = _compared(spark, spec, layout)
+    current, diff = compared[0], compared[3]
+    active = F.count_if(F.col(ACTIVE)) if spec.scd_type == 2 else F.count(F.lit(1))
+    if diff.where(F.col("_status").isin("insert", "update")).isEmpty():
+        same = current.agg(F.count(F.lit(1)).alias("rows"), active.alias("active")).first()
+        return {"rows": same["rows"], "inserted": 0, "updated": 0, "unchanged": same["active"], "active": same["active"]}
+
+    def check(state: DataFrame) -> None:
+        if verify and spec.scd_type == 2:
+            checks.enforce(checks.active_unique(state, spec.keys), f"gold {spec.name}")
+            checks.enforce(checks.intervals(state, spec.keys), f"gold {spec.name}")
     a = F.col(ACTION)
-    m = tables.replace(spark, layout.gold(spec), next_state(spark, spec, layout, load_ts), observe=[
+    m = tables.replace(spark, layout.gold(spec), next_state(spec, compared, load_ts), helpers=[ACTION], check=check, observe=[
         F.count(F.lit(1)).alias("rows"),
         F.count_if(a == "insert").alias("inserted"),
-        F.count_if(a.isin("update", "expire") if spec.scd_type == 1 else a == "update").alias("updated"),
+        F.count_if(a == "update").alias("updated"),
         F.count_if(a.isin("unchanged", "retained")).alias("unchanged"),
-        (F.count_if(F.col(ACTIVE)) if spec.scd_type == 2 else F.count(F.lit(1))).alias("active"),
+        active.alias("active"),
     ])
-    out = {k: int(v) for k, v in m.items()}
-    if verify and spec.scd_type == 2:
-        checks.enforce(checks.active_unique(spark.table(layout.gold(spec)), spec.keys), f"gold {spec.name}")
-    return out
+    return {k: int(v) for k, v in m.items()}

@@ -7,6 +7,7 @@ storage root.  Nothing else is configured per entity.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql.types import (BooleanType, DataType, IntegerType, LongType, StringType,
@@ -40,6 +41,7 @@ class EntitySpec:
     landing_name: str | None = None
     ts_type: DataType = field(default_factory=TimestampType)
     encoding: str = "length_prefixed"
+    max_ambiguous: int | None = None      # most keys without a newest row that silver accepts
 
     def __post_init__(self):
         object.__setattr__(self, "keys", parse_keys(self.keys))
@@ -72,10 +74,6 @@ class EntitySpec:
         cols = [c for c in self.schema.fieldNames() if c not in self.gold_drop]
         return [*self.gold_first, *[c for c in cols if c not in self.gold_first]]
 
-    @property
-    def attrs(self) -> list[str]:
-        return [c for c in self.gold_carried if c not in self.keys]
-
     @property
     def landing_dir(self) -> str:
         return self.landing_name or self.name
@@ -134,13 +132,12 @@ class Layout:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
 
-def schema_of(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
-
+def target_carried(spark, table: str, filled: Iterable[str]) -> list[str]:
+    """What a load takes from silver for a gold table, in the table's order.
 
-def target_carried(spark, table: str, managed: tuple[str, ...]) -> list[str]:
-    """Columns a load carries into ``table``: its current columns minus the
-    ones the load fills itself (managed columns and every ``*_sk`` key).
-    Reading them from the target means a column added to the gold table is
-    carried on the next load without touching the entity description."""
-    return [c for c in spark.table(table).columns if c not in managed and not c.endswith("_sk")]
+    ``filled`` names the columns that the load makes itself: its own key, a
+    dimension's key, the managed columns.  The table is asked, not the
+    description, so a column added to it by hand is filled from the next load on.
+    """
+    own = set(filled)
+    return list(filter(lambda name: name not in own, spark.table(table).schema.fieldNames()))

@@ -3,22 +3,19 @@
 A fact is current-state and rebuilt in full each run (deterministic, so
 re-runnable).  The fact's own key is numbered in scan order of the silver
 table; the dimension key comes from the effective-dated join.  Orphans are
-counted during the write and reported, not dropped.
-
-Grain (one row per business key).  Silver already holds one row per key
-(asserted by the silver load) and a left join never drops a row, so the
-written facts keep the grain exactly when rows written = rows read: a fact
-can only be duplicated by matching two overlapping versions.  Both counts
-are observed during the one write job, so the default check costs nothing;
-``verify="full"`` also groups the written table by business key.
+counted and reported, not dropped.
+
+Grain (one row per business key).  Silver holds one row per key and a left
+join never drops a row, so the facts keep the grain exactly when as many rows
+were written as silver holds: a fact can only be doubled by two overlapping
+versions.  Both are counted in stored files (Parquet row counts, no column is
+read), so a repeated task cannot change them, and before the new state is
+published.  ``verify="full"`` also groups the new state by business key.
 """
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators import checks
 from strata.operators.effective_join import resolve
@@ -32,24 +29,23 @@ def load(spark: SparkSession, spec: EntitySpec, dim: EntitySpec, layout: Layout,
          strategy: str = "auto", verify: str | bool = "counts") -> dict:
     if spec.kind != "fact" or dim.kind != "dimension" or dim.scd_type != 2:
         raise ValueError(f"{spec.name}: facts resolve against an SCD2 dimension")
-    carried = target_carried(spark, layout.gold(spec), (LOAD_TS,))
-    facts = spark.table(layout.silver(spec)).select(*carried)
-    seen = Observation(f"facts_in_{spec.name}_{uuid.uuid4().hex[:8]}")
-    facts = facts.observe(seen, F.count(F.lit(1)).alias("rows_in"))
-    facts = number_scan(facts, spec.sk)
+    carried = target_carried(spark, layout.gold(spec), (spec.sk, dim.sk, LOAD_TS))
+    silver = spark.table(layout.silver(spec))
     link = spec.link_key or dim.keys[0]
-    out = resolve(facts, spark.table(layout.gold(dim)), link, spec.event_date, sk=dim.sk,
-                  dim_key=link, strategy=strategy, salt_cols=list(spec.keys))
+    out = resolve(number_scan(silver.select(*carried), spec.sk), spark.table(layout.gold(dim)), link, spec.event_date,
+                  sk=dim.sk, dim_key=link, strategy=strategy, salt_cols=list(spec.keys))
     out = out.withColumn(LOAD_TS, ts_literal(load_ts, spec.ts_type))
-    m = tables.replace(spark, layout.gold(spec), out, observe=[
-        F.count(F.lit(1)).alias("rows"), F.count_if(F.col(dim.sk).isNull()).alias("orphans")])
-    res = {k: int(v) for k, v in m.items()}
-    if verify:
-        rows_in = int(seen.get["rows_in"])
-        if res["rows"] != rows_in:
+    counts: dict = {}
+
+    def check(state: DataFrame) -> None:
+        found = checks.orphans(state, dim.sk).first()
+        counts.update(rows=found["total_rows"], orphans=found["orphan_rows"])
+        more = counts["rows"] - silver.count() if verify else 0
+        if more:
             raise checks.ContractError(
-                f"gold {spec.name}: {res['rows'] - rows_in} fact rows matched more than one "
+                f"gold {spec.name}: {more} fact rows matched more than one "
                 f"version of {dim.name} (overlapping validity intervals); grain broken")
-    if verify == "full":
-        checks.enforce(checks.grain(spark.table(layout.gold(spec)), spec.keys), f"gold {spec.name}")
-    return res
+        if verify == "full":
+            checks.enforce(checks.grain(state, spec.keys), f"gold {spec.name}")
+    tables.replace(spark, layout.gold(spec), out, check=check)
+    return counts

@@ -17,14 +17,14 @@ from strata.plans.entities import EntitySpec, Layout
 from strata.plans.silver import BRONZE_DATE
 from strata.sources import tables
 
-REPORT_SCHEMA = ("entity string, kind string, bronze_dates_loaded int, bronze_rows_loaded long, "
+REPORT_SCHEMA = ("entity string, kind string, bronze_dates_loaded int, bronze_rows_loaded long, bronze_folders_skipped int, "
                  "silver_rows long, silver_rejected long, gold_rows long, gold_active long, "
                  "inserted long, updated long, unchanged long, orphans long")
 
 LAYER_COMMENTS = {
-    "bronze": "Raw, append-only history of everything ingested.",
-    "silver": "Cleansed, deduplicated current state. One row per business key.",
-    "gold": "Dimensional model: SCD type 1 / 2 dimensions and facts.",
+    "bronze": "Every delivered row as it came, by ingest date.",
+    "silver": "The newest cleansed row of each business key.",
+    "gold": "Dimensions with their history, and the facts that refer to them.",
 }
 
 
@@ -76,7 +76,7 @@ def run(spark: SparkSession, layout: Layout, specs: Sequence[EntitySpec], load_t
                  _each(lambda s: bronze.load(spark, s, layout, (dates or {}).get(s.name)), ordered, parallel)))
     sv = dict(zip([s.name for s in ordered],
                   _each(lambda s: silver.load(spark, s, layout, load_ts), ordered, parallel)))
-    # silver.load has just asserted one row per key, so the dimension load
+    # silver keeps one row per key by its top-1, so the dimension load
     # need not check its incoming side again.
     g = dict(zip([s.name for s in dims], _each(
         lambda s: dimensions.load(spark, s, layout, load_ts, verify_incoming=False), dims, parallel)))
@@ -87,9 +87,9 @@ def run(spark: SparkSession, layout: Layout, specs: Sequence[EntitySpec], load_t
     for s in ordered:
         bb, ss, gg = b[s.name], sv[s.name], g[s.name]
         if s.kind == "dimension":
-            rows.append((s.name, s.kind, len(bb["dates"]), bb["rows"], ss["rows"], ss["rejected"],
-                         gg["rows"], gg["active"], gg["inserted"], gg["updated"], gg["unchanged"], None))
+            rows.append((s.name, s.kind, len(bb["dates"]), bb["rows"], len(bb.get("skipped", [])), ss["rows"],
+                         ss["rejected"], gg["rows"], gg["active"], gg["inserted"], gg["updated"], gg["unchanged"], None))
         else:
-            rows.append((s.name, s.kind, len(bb["dates"]), bb["rows"], ss["rows"], ss["rejected"],
-                         gg["rows"], None, None, None, None, gg["orphans"]))
+            rows.append((s.name, s.kind, len(bb["dates"]), bb["rows"], len(bb.get("skipped", [])), ss["rows"],
+                         ss["rejected"], gg["rows"], None, None, None, None, gg["orphans"]))
     return spark.createDataFrame(rows, REPORT_SCHEMA)

@@ -1,18 +1,16 @@
-"""Bronze -> silver: cleanse every string, keep the newest row per key.
+"""Bronze -> silver: the newest cleansed row of every business key.
 
-Full recompute over all of bronze (no watermark), so a re-run gives the same
-table and a changed cleansing rule applies to every row.
+Silver is made anew from the whole of bronze each time.  There is no mark of
+how far a run came: a repeated run gives the same rows, and a change to the
+cleansing reaches old rows too.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from strata.functions.keys import any_null
 from strata.operators import checks
 from strata.operators.cleanse import cleanse_strings
 from strata.operators.dedup import latest_per_key, split_null_keys
@@ -27,10 +25,10 @@ def current_state(bronze: DataFrame, keys: Sequence[str], change_time: str | Non
                   tiebreak: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(silver rows, rows rejected for a NULL business key).
 
-    Order: change time DESC NULLS LAST, then the ingest (business) date, so a
-    backfilled old file loaded late never beats newer data; the remaining
-    columns break exact ties deterministically.  The ingest date is a bronze
-    concern and is dropped.
+    Newest first by change time, an unknown one last; then by ingest date, so
+    that an old file delivered late does not win over newer data; then by all
+    other columns, so that ties have one outcome.  The ingest date stays behind
+    in bronze.
     """
     cleansed = cleanse_strings(bronze)
     keyed, rejected = split_null_keys(cleansed, keys)
@@ -46,24 +44,19 @@ def rejected_table(layout, spec) -> str:
     return f"{layout.silver(spec)}__rejected"
 
 
-def rejected_view_sql(spark, layout, spec) -> str:
-    """``CREATE OR REPLACE VIEW`` of the bronze rows whose cleansed key is NULL."""
+def rejected_view(spark, layout, spec) -> None:
+    """A view of the bronze rows whose cleansed key is NULL, cleansed."""
     from pyspark.sql.types import StringType
 
-    def q(c):
-        return f"`{c}`"
+    def q(name):
+        return ".".join(f"`{p}`" for p in name.split("."))
 
     fields = spark.table(layout.bronze(spec)).schema.fields
-    strings = {f.name for f in fields if isinstance(f.dataType, StringType)}
-
-    def clean(c):
-        return f"nullif(upper(trim({q(c)})), '')" if c in strings else q(c)
-
-    cols = ", ".join(f"{clean(f.name)} AS {q(f.name)}" for f in fields)
-    cond = " OR ".join(f"{clean(k)} IS NULL" for k in spec.keys)
-    view = ".".join(q(p) for p in rejected_table(layout, spec).split("."))
-    src = ".".join(q(p) for p in layout.bronze(spec).split("."))
-    return f"CREATE OR REPLACE VIEW {view} AS SELECT {cols} FROM {src} WHERE {cond}"
+    cols = ", ".join(f"nullif(upper(trim({q(f.name)})), '') AS {q(f.name)}" if isinstance(f.dataType, StringType)
+                     else q(f.name) for f in fields)
+    gone = " OR ".join(f"{q(k)} IS NULL" for k in spec.keys)
+    spark.sql(f"CREATE OR REPLACE VIEW {q(rejected_table(layout, spec))} AS SELECT * FROM "
+              f"(SELECT {cols} FROM {q(layout.bronze(spec))}) WHERE {gone}")
 
 
 def stamp(df: DataFrame, load_ts) -> DataFrame:
@@ -73,27 +66,32 @@ def stamp(df: DataFrame, load_ts) -> DataFrame:
 
 
 def load(spark, spec, layout, load_ts, verify: bool = True, quarantine: bool = True) -> dict:
-    """Full recompute of silver from all of bronze; one write, counts observed.
-
-    Returns {rows, rejected}.  ``verify`` asserts one row per business key
-    on the written table.  Rows whose business key is NULL or blank cannot
-    enter silver; with ``quarantine`` they stay reachable, cleansed, through
-    the view ``<silver table>__rejected`` over bronze.  It is created only when
-    the observed count says there are such rows, and it costs nothing until
-    it is read.
+    """Silver from all of bronze; columns that bronze has gained are added to it.
+
+    Returns {rows, rejected, ambiguous}.  Rows whose business key is NULL or
+    blank cannot enter silver; with ``quarantine`` they stay readable, cleansed,
+    through the view ``<silver table>__rejected`` over bronze.  ``verify`` counts
+    the keys with rows of one change time and ingest date that differ in
+    content: none of them is the newest, as happens when the business key is too
+    coarse.  More than ``spec.max_ambiguous`` such keys (if set) stop the load
+    before anything is published.
     """
     bronze = spark.table(layout.bronze(spec))
-    cleansed = cleanse_strings(bronze)
-    obs = Observation(f"silver_{spec.name}_{uuid.uuid4().hex[:8]}")
-    cleansed = cleansed.observe(obs, F.count_if(any_null(spec.keys)).alias("rejected"))
-    keyed = cleansed.where(~any_null(spec.keys))
-    order = [c for c in [spec.change_time, BRONZE_DATE] if c]
-    state = latest_per_key(keyed, spec.keys, order).drop(BRONZE_DATE)
-    m = tables.replace(spark, layout.silver(spec), stamp(state, load_ts),
-                       observe=[F.count(F.lit(1)).alias("rows")])
-    out = {"rows": int(m["rows"]), "rejected": int(obs.get["rejected"])}
-    if quarantine and out["rejected"]:
-        spark.sql(rejected_view_sql(spark, layout, spec))
+    state, rejected = current_state(bronze, spec.keys, spec.change_time)
+    out = {"rejected": rejected.count(), "ambiguous": 0}
     if verify:
-        checks.enforce(checks.grain(spark.table(layout.silver(spec)), spec.keys), f"silver {spec.name}")
+        keyed, _ = split_null_keys(cleanse_strings(bronze), spec.keys)
+        order = [c for c in (spec.change_time, BRONZE_DATE) if c]
+        out["ambiguous"] = checks.ambiguous(keyed, spec.keys, order).first()["ambiguous_keys"]
+        limit = spec.max_ambiguous
+        if limit is not None and out["ambiguous"] > limit:
+            raise checks.ContractError(
+                f"silver {spec.name}: {out['ambiguous']} keys have different rows of one change time and ingest "
+                f"date (at most {limit} allowed); is {', '.join(spec.keys)} the whole business key?")
+
+    def count(written: DataFrame) -> None:
+        out["rows"] = written.count()
+    tables.replace(spark, layout.silver(spec), stamp(state, load_ts), widen=True, check=count)
+    if quarantine and out["rejected"]:
+        rejected_view(spark, layout, spec)
     return out

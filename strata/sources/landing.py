@@ -3,8 +3,9 @@
 Discovery lists one directory level through the Hadoop FileSystem of the
 path (any scheme Spark can read), so it costs one listing call and returns
 one name per date: bounded by the number of dates, never by the data.
-Directories whose value is not a valid date are ignored, so one stray
-``ingest_date=bad`` cannot turn the column into STRING.
+Directories whose value is not a valid date are not read, so one stray
+``ingest_date=bad`` cannot turn the column into STRING; ``skipped_folders``
+names them and the bronze load reports them.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ def _valid(v: str) -> bool:
         return False
 
 
-def landing_dates(spark: SparkSession, root: str, partition: str = PARTITION) -> list[str]:
-    """Sorted valid dates found as ``<partition>=<date>`` directories under root."""
+def _partition_values(spark: SparkSession, root: str, partition: str) -> list[str]:
+    """Sorted values of the ``<partition>=<value>`` directories under root."""
     sc = spark.sparkContext
     jpath = sc._jvm.org.apache.hadoop.fs.Path(root)
     fs = jpath.getFileSystem(sc._jsc.hadoopConfiguration())
@@ -42,12 +43,20 @@ def landing_dates(spark: SparkSession, root: str, partition: str = PARTITION) ->
     for st in fs.listStatus(jpath):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith(prefix):
-            v = name[len(prefix):].rstrip("/")
-            if _valid(v):
-                out.add(v)
+            out.add(name[len(prefix):].rstrip("/"))
     return sorted(out)
 
 
+def landing_dates(spark: SparkSession, root: str, partition: str = PARTITION) -> list[str]:
+    """Sorted valid dates delivered under root."""
+    return [v for v in _partition_values(spark, root, partition) if _valid(v)]
+
+
+def skipped_folders(spark: SparkSession, root: str, partition: str = PARTITION) -> list[str]:
+    """Delivered folders that no load reads, because their value is no date (a NULL date among them)."""
+    return [f"{partition}={v}" for v in _partition_values(spark, root, partition) if not _valid(v)]
+
+
 def dates_frame(spark: SparkSession, dates: Sequence[str], col: str) -> DataFrame:
     return spark.createDataFrame([(d,) for d in dates], f"{col} string").select(F.col(col).cast("date"))
 

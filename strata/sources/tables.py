@@ -6,9 +6,11 @@ in.  Three write modes:
 
 * ``replace_partitions`` (bronze): dynamic partition overwrite of the dates in
   the batch; every other date is untouched.  Requested dates that arrive
-  empty are dropped from the table.
-* ``replace`` (silver, gold): the new state goes to a *fresh* directory, then
-  ``ALTER TABLE ... SET LOCATION`` points the table at it.  A plan that reads
+  empty are emptied on storage too and dropped from the table.
+* ``replace`` (silver, gold): the new state goes to a *fresh* directory, is
+  checked there, and only then marked as accepted and made the table's location
+  (``ALTER TABLE ... SET LOCATION``).  A state that fails its check is never
+  visible and never re-attached.  A plan that reads
   the table while computing its next state keeps reading the old files, the
   table stays EXTERNAL, and old directories are never deleted by a load.
 * ``evolve``: additive schema evolution (new columns are appended with
@@ -21,19 +23,25 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import CharType, DataType, DecimalType, StructField, StructType, VarcharType
 
 ROOT_PROPERTY = "strata.root"
+ACCEPTED = "_ACCEPTED"
 
 
 def _q(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
 
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _ddl(fields: Iterable[StructField]) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
@@ -42,9 +50,9 @@ def declare_database(spark: SparkSession, name: str, location: str | None = None
                      comment: str | None = None) -> None:
     sql = f"CREATE DATABASE IF NOT EXISTS {_q(name)}"
     if comment:
-        sql += f" COMMENT '{comment}'"
+        sql += f" COMMENT {_text(comment)}"
     if location:
-        sql += f" LOCATION '{location}'"
+        sql += f" LOCATION {_text(location)}"
     spark.sql(sql)
 
 
@@ -61,7 +69,7 @@ def _fs(spark: SparkSession, path: str):
 
 
 def latest_version(spark: SparkSession, root: str) -> str | None:
-    """Newest committed state directory under ``root`` (one listing call)."""
+    """Newest accepted state directory under ``root`` (one listing call)."""
     jpath, fs = _fs(spark, root)
     if not fs.exists(jpath):
         return None
@@ -69,7 +77,7 @@ def latest_version(spark: SparkSession, root: str) -> str | None:
     for st in fs.listStatus(jpath):
         p = st.getPath()
         if st.isDirectory() and p.getName().startswith("v-"):
-            if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")):
+            if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, ACCEPTED)):
                 done.append(p.toString())
     return max(done, key=lambda x: x.rsplit("/", 1)[1]) if done else None
 
@@ -80,7 +88,7 @@ def declare_table(spark: SparkSession, name: str, schema: StructType, root: str,
 
     Partition columns go last, as Spark stores them.  A table missing from
     the catalog (a new session on an in-memory catalog, a dropped external
-    table) re-attaches to what is on storage: the newest committed state
+    table) re-attaches to what is on storage: the newest accepted state
     directory, or, for a partitioned table, its partition directories.
     """
     part = [schema[c] for c in partition_by]
@@ -89,11 +97,11 @@ def declare_table(spark: SparkSession, name: str, schema: StructType, root: str,
     if partition_by:
         sql += f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})"
     if comment:
-        sql += f" COMMENT '{comment}'"
+        sql += f" COMMENT {_text(comment)}"
     if exists(spark, name):
         return
     location = root if partition_by else (latest_version(spark, root) or _new_version(root))
-    sql += f" LOCATION '{location}' TBLPROPERTIES ('{ROOT_PROPERTY}' = '{root}')"
+    sql += f" LOCATION {_text(location)} TBLPROPERTIES ({_text(ROOT_PROPERTY)} = {_text(root)})"
     spark.sql(sql)
     if partition_by:
         jpath, fs = _fs(spark, root)
@@ -101,10 +109,6 @@ def declare_table(spark: SparkSession, name: str, schema: StructType, root: str,
             spark.sql(f"ALTER TABLE {_q(name)} RECOVER PARTITIONS")
 
 
-def read(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(name)
-
-
 def exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
@@ -123,18 +127,12 @@ def _root(spark: SparkSession, name: str) -> str:
     return props.get(ROOT_PROPERTY) or location(spark, name).rsplit("/v-", 1)[0]
 
 
-def partition_columns(spark: SparkSession, name: str) -> list[str]:
-    db, _, tbl = name.rpartition(".")
-    cols = spark.catalog.listColumns(tbl, db or None)
-    return [c.name for c in cols if c.isPartition]
-
-
 def evolve(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     """Add the batch's new columns to the table, then align the batch to it.
 
     Returns ``df`` projected to the table's column order (partition columns
-    last), with NULLs for table columns the batch lacks.  Types of existing
-    columns are cast to the table's type.
+    last), with NULLs for table columns the batch lacks.  A column whose type
+    the table's cannot hold in full is an error (``align``).
     """
     table_schema = spark.table(name).schema
     norm = _normaliser(spark)
@@ -153,10 +151,37 @@ def _normaliser(spark: SparkSession):
     return (lambda c: c) if sensitive else (lambda c: c.lower())
 
 
+#: Whole-number types with the decimal digits of their largest value.
+_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+
+
+def lossless(have: DataType, want: DataType) -> bool:
+    """Whether every value of one type is kept by a cast to the other."""
+    a, b = have.simpleString(), want.simpleString()
+    if a in (b, "void"):
+        return True
+    if a in _DIGITS and b in _DIGITS:
+        return _DIGITS[a] <= _DIGITS[b]
+    if isinstance(want, DecimalType):
+        if isinstance(have, DecimalType):
+            return have.scale <= want.scale and have.precision - have.scale <= want.precision - want.scale
+        return a in _DIGITS and _DIGITS[a] <= want.precision - want.scale
+    if (a, b) in (("float", "double"), ("date", "timestamp"), ("date", "timestamp_ntz")):
+        return True
+    if b == "double":
+        return a in ("tinyint", "smallint", "int")
+    return b == "string" and (a in _DIGITS or a in ("date", "boolean") or isinstance(have, (DecimalType, VarcharType, CharType)))
+
+
 def align(df: DataFrame, schema: StructType) -> DataFrame:
-    """Project ``df`` onto ``schema``: by name, cast, NULL where absent."""
+    """Project ``df`` onto ``schema``: by name, NULL where absent; only casts that lose nothing."""
     norm = _normaliser(df.sparkSession)
     present = {norm(c): c for c in df.columns}
+    lossy = [f"{f.name}: {df.schema[present[norm(f.name)]].dataType.simpleString()} into {f.dataType.simpleString()}"
+             for f in schema.fields if norm(f.name) in present
+             and not lossless(df.schema[present[norm(f.name)]].dataType, f.dataType)]
+    if lossy:
+        raise ValueError(f"columns that the table cannot hold without loss: {lossy}")
     return df.select(*[(F.col(present[norm(f.name)]) if norm(f.name) in present else F.lit(None))
                        .cast(f.dataType).alias(f.name) for f in schema.fields])
 
@@ -182,34 +207,49 @@ def replace_partitions(spark: SparkSession, name: str, df: DataFrame, part_col:
     if written:
         specs = " ".join(f"PARTITION (`{part_col}` = '{v}')" for v in written)
         spark.sql(f"ALTER TABLE {_q(name)} ADD IF NOT EXISTS {specs}")
+    bare = StructType([f for f in batch.schema.fields if f.name != part_col])
     for v in values:
         if str(v) not in written:
+            # no row of an earlier delivery may come back when the partitions are recovered
+            spark.createDataFrame([], bare).coalesce(1).write.mode("overwrite").parquet(
+                f"{location(spark, name).rstrip('/')}/{part_col}={v}")
             spark.sql(f"ALTER TABLE {_q(name)} DROP IF EXISTS PARTITION (`{part_col}` = '{v}')")
     spark.catalog.refreshTable(name)
     return int(m["rows"])
 
 
-def replace(spark: SparkSession, name: str, df: DataFrame, observe=None) -> dict:
-    """Write the whole new state to a fresh directory and point the table at it.
+def replace(spark: SparkSession, name: str, df: DataFrame, observe=None, helpers: Sequence[str] = (),
+            widen: bool = False, check: Callable[[DataFrame], None] | None = None) -> dict:
+    """Write the whole new state to a fresh directory, check it there, then point the table at it.
 
-    The table keeps its declared column order; the state must carry every
-    column (extra columns are an error; ``_``-prefixed helper columns are
-    dropped after being observed).  ``observe`` = list of aggregate
-    columns measured while writing (no extra pass); their values are returned.
+    The table keeps its declared column order.  ``helpers`` names columns of
+    the state that are observed but not stored.  Other columns the table lacks
+    are added to it with ``widen``, else they are an error.  ``observe`` = list
+    of aggregate columns measured while writing (no extra pass); their values
+    are returned.  ``check`` gets the written state and raises if it must not
+    be published: the table then still shows the old one.
     """
+    norm = _normaliser(spark)
     schema = spark.table(name).schema
-    extra = [c for c in df.columns if c not in set(schema.fieldNames()) and not c.startswith("_")]
-    if extra:
-        raise ValueError(f"{name}: state has columns the table lacks: {extra}")
+    have = {norm(c) for c in [*schema.fieldNames(), *helpers]}
+    new = [f for f in df.schema.fields if norm(f.name) not in have]
+    if new and not widen:
+        raise ValueError(f"{name}: state has columns the table lacks: {[f.name for f in new]}")
     metrics: dict = {}
     obs = None
     if observe:
         obs = Observation(f"replace_{uuid.uuid4().hex[:8]}")
         df = df.observe(obs, *observe)
-    out = align(df, schema)
+    schema = StructType([*schema.fields, *new])
     target = _new_version(_root(spark, name))
-    out.write.mode("errorifexists").parquet(target)
-    spark.sql(f"ALTER TABLE {_q(name)} SET LOCATION '{target}'")
+    align(df, schema).write.mode("errorifexists").parquet(target)
+    if check is not None:
+        check(spark.read.schema(schema).parquet(target))
+    path, fs = _fs(spark, f"{target}/{ACCEPTED}")
+    fs.create(path).close()
+    if new:
+        spark.sql(f"ALTER TABLE {_q(name)} ADD COLUMNS ({_ddl(new)})")
+    spark.sql(f"ALTER TABLE {_q(name)} SET LOCATION {_text(target)}")
     spark.catalog.refreshTable(name)
     if obs is not None:
         metrics = dict(obs.get)

@@ -100,7 +100,7 @@ def test_resolve_keeps_every_fact_and_picks_the_covering_version(spark, per_key,
     facts = spark.createDataFrame([(i, k, (BASE + dt.timedelta(days=d)).date()) for i, (k, d) in enumerate(evs)],
                                   "id int, k int, d date")
     out = resolve(facts, dim, "k", "d", sk="sk", start="s", end="e", strategy=strategy,
-                  hot_factor=0.5, salt_buckets=3)
+                  hot_factor=1, partitions=100, salt_buckets=3)
     got = {r.id: r.sk for r in out.collect()}
     assert sorted(got) == list(range(len(evs)))            # rows in = rows out
     for i, (k, d) in enumerate(evs):
