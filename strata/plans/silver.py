@@ -68,7 +68,7 @@ def stamp(df: DataFrame, load_ts) -> DataFrame:
 def load(spark, spec, layout, load_ts, verify: bool = True, quarantine: bool = True) -> dict:
     """Silver from all of bronze; columns that bronze has gained are added to it.
 
-    Returns {rows, rejected, ambiguous}.  Rows whose business key is NULL or
+    Returns {rows, rejected}, and {ambiguous} if any.  Rows whose business key is NULL or
     blank cannot enter silver; with ``quarantine`` they stay readable, cleansed,
     through the view ``<silver table>__rejected`` over bronze.  ``verify`` counts
     the keys with rows of one change time and ingest date that differ in
@@ -78,15 +78,16 @@ def load(spark, spec, layout, load_ts, verify: bool = True, quarantine: bool = T
     """
     bronze = spark.table(layout.bronze(spec))
     state, rejected = current_state(bronze, spec.keys, spec.change_time)
-    out = {"rejected": rejected.count(), "ambiguous": 0}
+    out = {"rejected": rejected.count()}
     if verify:
         keyed, _ = split_null_keys(cleanse_strings(bronze), spec.keys)
         order = [c for c in (spec.change_time, BRONZE_DATE) if c]
-        out["ambiguous"] = checks.ambiguous(keyed, spec.keys, order).first()["ambiguous_keys"]
-        limit = spec.max_ambiguous
-        if limit is not None and out["ambiguous"] > limit:
+        tied, limit = checks.ambiguous(keyed, spec.keys, order).first()["ambiguous_keys"], spec.max_ambiguous
+        if tied:
+            out["ambiguous"] = tied
+        if limit is not None and tied > limit:
             raise checks.ContractError(
-                f"silver {spec.name}: {out['ambiguous']} keys have different rows of one change time and ingest "
+                f"silver {spec.name}: {tied} keys have different rows of one change time and ingest "
                 f"date (at most {limit} allowed); is {', '.join(spec.keys)} the whole business key?")
 
     def count(written: DataFrame) -> None:
