@@ -22,7 +22,8 @@ first.  A text can then only be linked to another component if it has
 ``shared()`` retained values in lists that hold another component; for those
 texts alone, lists over the full sets (the same rule with exact counts, so far
 shorter) are made, compared with a changing member first and paired out only
-between components last.
+between components last, and there only where the first common value's places
+in both orders leave enough values for the similarity.
 
 Defined results: a text without words, or null, is linked with nothing; rows
 with the same id are one vertex; a row with a null id is linked with nothing,
@@ -96,17 +97,18 @@ def _common_values(rows: DataFrame) -> DataFrame:
 
 
 def _lists(common: DataFrame, k: int | None, percent: int) -> DataFrame:
-    """(value, id, size, short): the first values of every text, rarest first, as far as a similar text must share one.
+    """(value, id, size, reach): the first values of every text, rarest first, as far as a similar text must share one.
 
-    Of two full sets the smaller one shares still more of its values, so one among its ``short`` rows is enough.
+    ``reach``, for full sets, is the size of the largest similar set with which this may be the first common value:
+    the text's values from here on are as many as the two must share.
     """
     size = F.least("size", F.lit(k)) if k else F.col("size")
     own = Window.partitionBy("id", "size")
     place = size - F.count("*").over(own) + F.row_number().over(own.orderBy("texts", "value"))
     fewest = least_overlap(size, k, percent)
-    if_smaller = fewest if k else F.ceil(size * 2 * percent / (100 + percent))
     return (common.withColumn("place", place).where(F.col("place") <= size - fewest + 1)
-            .select("value", "id", "size", (F.col("place") <= size - if_smaller + 1).alias("short")))
+            .select("value", "id", "size", F.floor((F.col("size") - F.col("place") + 1) * F.lit(100 + percent) / percent
+                                                   - F.col("size") + 1e-6).alias("reach")))
 
 
 def _stars(lists: DataFrame, head, percent: int) -> DataFrame:
@@ -224,12 +226,12 @@ def _full_sets(docs: DataFrame, n: int) -> DataFrame:
 
 
 def _across(placed: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of one list that are in different components; the smaller set comes with its short rows."""
-    small, large = (placed.where("short") if x == "a" else placed for x in "ab")
-    small, large = (side.select("value", F.col("id").alias(x), F.col("size").alias(f"n{x}"), F.col("c").alias(f"c{x}"))
-                    for x, side in (("a", small), ("b", large)))
+    """Pairs (a, b) of one list that are in different components and within reach of each other."""
+    small, large = (side.select("value", F.col("id").alias(x), F.col("size").alias(f"n{x}"),
+                                F.col("reach").alias(f"r{x}"), F.col("c").alias(f"c{x}"))
+                    for x, side in (("a", placed.where("reach >= size")), ("b", placed)))
     return (small.join(large, "value").where("ca != cb").where(F.struct("na", "a") < F.struct("nb", "b"))
-            .where(_sized(F.col("na"), F.col("nb"), percent)).select("a", "b").distinct())
+            .where("nb <= ra and na <= rb").where(_sized(F.col("na"), F.col("nb"), percent)).select("a", "b").distinct())
 
 
 def deduplicate(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
