@@ -128,12 +128,10 @@ def encode(docs: DataFrame, shared, text: str = "text", out: str = "ids", chunk:
     encoded = (pieces.where("piece is not null").withColumn("ids", whole("piece"))
                .groupBy("key").agg(F.array_sort(F.collect_list(F.struct("no", "ids"))).alias("parts")))
 
-    @F.pandas_udf("binary")
-    def joined(parts: pd.Series) -> pd.Series:
-        return pd.Series([b"".join(p) for p in parts], dtype=object)
-    encoded = encoded.select(F.col("key").alias(key), joined(F.col("parts.ids")).alias(f"{_INNER}ids"))
-    stitched = pieces.groupBy(F.col("key").alias(key)).agg(F.every("synced").alias(f"{_INNER}synced"))
-    found = stitched.where(f"{_INNER}synced").join(encoded, key)
+    # joined as hex: a Python step here would lose the partitioning by key and shuffle the ids once more
+    ids = F.unhex(F.array_join(F.transform("parts.ids", F.hex), ""))
+    stitched = pieces.groupBy("key").agg(F.every("synced").alias("synced")).where("synced")
+    found = stitched.join(encoded, "key").select(F.col("key").alias(key), ids.alias(f"{_INNER}ids"))
     long = long.join(found, key, "left")
     # texts whose chunks never came into step are encoded in one piece
     rest = F.when(F.col(f"{_INNER}ids").isNull(), F.col(text))
