@@ -38,7 +38,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 CHUNK, OVERLAP = 20_000, 500
-_CACHE = 200_000  # pre-tokens whose ids a worker remembers; on reaching it the memory is emptied
+_CACHE = 50_000  # pre-tokens whose ids a worker remembers; on reaching it the memory is emptied
 _INNER = "strata_bpe_"
 _LATER = re.compile("[^\x00-\u052f]")
 
@@ -62,9 +62,6 @@ class Codec:
             self.bpe = tiktoken.Encoding("ranks", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens={})
             self.split = regex.compile(self.pattern)
             self.known: dict[str, bytes] = {}
-            self.raw = [b""] * (max(self.ranks.values(), default=-1) + 1)
-            for token, rank in self.ranks.items():
-                self.raw[rank] = token
         return self
 
     def boundaries(self, chunk: str, last: bool) -> np.ndarray:
@@ -90,7 +87,11 @@ class Codec:
         return b"".join(map(known.__getitem__, tokens))
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self._ready().raw.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        if not hasattr(self, "raw"):  # a worker that only decodes makes no encoder
+            self.raw = [b""] * (max(self.ranks.values(), default=-1) + 1)
+            for token, rank in self.ranks.items():
+                self.raw[rank] = token
+        return b"".join(map(self.raw.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 def codec(spark: SparkSession, ranks_path: str, pattern: str):
@@ -103,7 +104,10 @@ def decode(ids: Column, shared) -> Column:
     @F.pandas_udf("binary")
     def join(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for values in batches:
-            yield pd.Series([shared.value.decode(v) for v in values], dtype=object)
+            raw = [shared.value.decode(v) for v in values]
+            del values
+            yield pd.Series(raw, dtype=object)
+            del raw
     return join(ids)
 
 
@@ -118,7 +122,10 @@ def encode(docs: DataFrame, shared, text: str = "text", out: str = "ids", chunk:
     @F.pandas_udf("binary")
     def whole(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([shared.value.encode(t) for t in texts], dtype=object)
+            ids = [shared.value.encode(t) for t in texts]
+            del texts  # not held while the next batch is read
+            yield pd.Series(ids, dtype=object)
+            del ids
 
     is_long = F.coalesce(F.length(text) > chunk, F.lit(False))
     short = docs.where(~is_long).withColumn(out, whole(F.col(text)))
