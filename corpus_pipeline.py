@@ -13,19 +13,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from strata.llm import byte_bpe, decontaminate, language_profiles, near_dedup, queries, secret_scan
 from strata.llm.store import saved
 
-#: A text whose profile shares less than this with every language is no text in any of them.
-LEAST_LANGUAGE_SCORE = 0.1
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a letter, or far from every language that the labelled documents teach."""
-    held_out = language_profiles.is_held_out(F.col("doc_id"), 4, 2)
-    predict = language_profiles.predictor(
-        spark, language_profiles.learn(docs.where(F.col("doc_id").isNotNull() & ~held_out)))
+    """Drop documents without a letter, or farther from the nearest language than its own documents of that length.
+
+    Nothing is held out: languages and limits are learned from all labelled documents.
+    """
+    profiles = saved(language_profiles.learn(docs), "pipeline-profiles")
+    least = language_profiles.limits(docs, profiles)
+    predict = language_profiles.predictor(spark, profiles)
     mark = "strata_language"
-    return (docs.withColumn(mark, predict(F.col("text")))
-            .where((F.col(f"{mark}.lang") != language_profiles.UNKNOWN)
-                   & (F.col(f"{mark}.score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns))
+    guessed = docs.withColumn(mark, predict(F.col("text")))
+    near = guessed.join(F.broadcast(least.select(F.col("lang").alias("strata_lang"), "length", "least")),
+                        (F.col(f"{mark}.lang") == F.col("strata_lang"))
+                        & (language_profiles.length_class(F.col("text")) == F.col("length")))
+    return near.where(F.col(f"{mark}.score") >= F.col("least")).select(*[docs[c] for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

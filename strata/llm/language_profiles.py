@@ -11,6 +11,11 @@ Learning counts n-grams in every task first and shuffles one row per language,
 n-gram and task; the profiles (``SIZE`` rows for each language, at most
 ``MAX_LANGUAGES`` languages) are all that reaches the driver.
 
+A document that is in no learned language lies farther from the nearest one than
+that language's own documents do.  ``limits`` takes from the learning documents
+the score below which a document is rejected, by language and text length: short
+texts lie farther from a profile than long ones.
+
 Defined results: a text that is null or has no letter, and any text when
 nothing was learned, is ``und`` with score 0; a document with a null id, lang
 or text is not learned from; equal counts rank by the n-gram, equal distances
@@ -30,6 +35,10 @@ SIZE, MAX_LANGUAGES = 300, 1000
 UNKNOWN = "und"
 _BLANK, _BITS = 32, 21  # n-grams are packed as three code points of 21 bits
 _MERGE = 1 << 20
+#: A limit is ``SLACK`` times the ``LOW`` quantile of the learning documents' scores: clean documents below the
+#: quantile stay.  Lengths with fewer than ``LEAST`` learning documents are judged together with the nearest ones.
+LOW, SLACK, LEAST = 0.01, 0.75, 30
+_STEPS = 1000
 
 
 @lru_cache(1)
@@ -108,17 +117,25 @@ class Classifier:
         self.size, self.names = size, sorted(by_lang)
         self.tables = [tuple(np.array(x, np.int64) for x in zip(*sorted(by_lang[n]))) for n in self.names]
 
+    def _distance(self, own: np.ndarray, which: int) -> int:
+        known, places = self.tables[which]
+        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+        return np.where(known[at] == own, np.abs(places[at] - np.arange(len(own))), self.size).sum()
+
     def predict(self, text) -> tuple[str, float]:
         own = profile(text, self.size)
         if not len(own) or not self.names:
             return UNKNOWN, 0.0
-        ranks, worst = np.arange(len(own)), self.size * len(own)
-        distances = []
-        for known, places in self.tables:
-            at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-            distances.append(np.where(known[at] == own, np.abs(places[at] - ranks), self.size).sum())
+        distances = [self._distance(own, k) for k in range(len(self.names))]
         best = int(np.argmin(distances))
-        return self.names[best], float(1 - distances[best] / worst)
+        return self.names[best], float(1 - distances[best] / (self.size * len(own)))
+
+    def score(self, text, lang) -> float | None:
+        """The score of a text for one language; null without a letter or a profile."""
+        own = profile(text, self.size)
+        if not len(own) or lang not in self.names:
+            return None
+        return float(1 - self._distance(own, self.names.index(lang)) / (self.size * len(own)))
 
 
 def predictor(spark: SparkSession, profiles: DataFrame, size: int = SIZE):
@@ -132,6 +149,70 @@ def predictor(spark: SparkSession, profiles: DataFrame, size: int = SIZE):
     return predict
 
 
+def length_class(text: Column) -> Column:
+    """Texts of 2^k to 2^(k+1) - 1 characters are class k; 0 for an empty text."""
+    return F.floor(F.log2(F.greatest(F.length(text), F.lit(1)))).cast("int")
+
+
+def _limit(counts: np.ndarray) -> float:
+    """``SLACK`` times the ``LOW`` quantile of scores counted in ``_STEPS`` steps."""
+    return SLACK * int(np.searchsorted(np.cumsum(counts), LOW * counts.sum(), side="right")) / _STEPS
+
+
+class Limits:
+    """Scores of learning documents, counted by language, length class and step; limits by language and length."""
+
+    def __init__(self, rows):
+        self.counts: dict[str, dict[int, np.ndarray]] = {}
+        for r in rows:
+            own = self.counts.setdefault(r["lang"], {}).setdefault(r["length"], np.zeros(_STEPS + 1, np.int64))
+            own[r["step"]] += r["n"]
+        self.all: dict[int, np.ndarray] = {}
+        for own in self.counts.values():
+            for length, counts in own.items():
+                self.all[length] = self.all.get(length, 0) + counts
+
+    @staticmethod
+    def _near(by_length: dict[int, np.ndarray], length: int) -> np.ndarray | None:
+        """The counts of the nearest lengths that hold ``LEAST`` documents together."""
+        held = np.zeros(_STEPS + 1, np.int64)
+        for away in range(max((abs(length - k) for k in by_length), default=-1) + 1):
+            for k in {length - away, length + away} & by_length.keys():
+                held = held + by_length[k]
+            if held.sum() >= LEAST:
+                return held
+        return None
+
+    def limit(self, lang: str, length: int) -> float:
+        """A language with too few documents is judged by those of all languages; with too few of these, by all there are."""
+        held = self._near(self.counts.get(lang, {}), length)
+        if held is None:
+            held = self._near(self.all, length)
+        if held is None:
+            held = sum(self.all.values(), np.zeros(_STEPS + 1, np.int64))
+        return _limit(held) if held.sum() else 0.0
+
+
+def limits(docs: DataFrame, profiles: DataFrame, text: str = "text", lang: str = "lang", size: int = SIZE) -> DataFrame:
+    """The least score of a document by language and length class: lang, length, least."""
+    spark = docs.sparkSession
+    model = spark.sparkContext.broadcast(Classifier(profiles.select("lang", "rank", "ngram").toLocalIterator(), size))
+
+    @F.pandas_udf("double")
+    def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, names in batches:
+            yield pd.Series([model.value.score(t, n) for t, n in zip(texts, names)], dtype="float64")
+
+    steps = (docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).dropna()
+             .select("lang", length_class(F.col("text")).alias("length"), score("text", "lang").alias("score"))
+             .where(F.col("score").isNotNull() & ~F.isnan("score"))
+             .groupBy("lang", "length", F.floor(F.col("score") * _STEPS).cast("int").alias("step"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    held = Limits(steps.toLocalIterator())
+    rows = [(name, length, held.limit(name, length)) for name in sorted(held.counts) for length in range(32)]
+    return spark.createDataFrame(rows, "lang string, length int, least double")
+
+
 def identify(docs: DataFrame, folds: int = 4, fold: int = 2, id_col: str = "doc_id") -> DataFrame:
     """Learn from the documents outside the fold, predict all: id, held_out, lang_pred, score."""
     held_out = is_held_out(F.col(id_col), folds, fold)

@@ -309,3 +309,26 @@ def test_empty_pipeline(spark):
     for _, stage in corpus_pipeline.STAGES:
         none = stage(spark, none, "/root/testdata/sf0.001")
     assert none.count() == 0
+
+
+def test_pipeline_drops_gibberish_and_unknown_languages(spark):
+    import corpus_pipeline
+    rng = np.random.default_rng(5)
+    sf = "/root/testdata/sf0.01"
+    taught = queries.table(spark, sf, "documents")
+    gibberish = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), n)) for n in (60, 200, 1000, 5000)]
+    gibberish += [" ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(n)) for n in (20, 200)]
+    foreign = ["Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja "
+               "omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+               "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem "
+               "i sumieniem i powinni postępować wobec innych w duchu braterstwa."]
+    short = ["The weather is nice and warm.", "Thank you for the answer.", "Wo ist denn der Hund?", "Il est dans la maison.",
+             "El perro es de la casa."]
+    extra = [(10_000_000 + k, t, None, "s", len(t)) for k, t in enumerate(gibberish + foreign + short)]
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    docs_ = taught.select(*columns).unionByName(spark.createDataFrame(extra, taught.select(*columns).schema))
+    kept = by_id(corpus_pipeline.language(spark, docs_, sf))
+    assert not [t for k, t, *_ in extra[:-len(short)] if k in kept]
+    assert not [t for k, t, *_ in extra[-len(short):] if k not in kept]
+    lettered = {r.doc_id for r in taught.collect() if re.search(r"[^\W\d_]", r.text or "")}
+    assert lettered <= set(kept)                                           # no labelled document goes
