@@ -1,13 +1,15 @@
 """Licence detection with a generalised suffix automaton of licence texts.
 
-All templates and the base phrases are put into one automaton over words.  A
-file's words are streamed through it once, which gives the matching
+The templates are whole licence texts (``licences/*.txt``, named by their label)
+and the notice lines that name a licence.  All templates and the base phrases
+are put into one automaton over words.  A file's words are streamed through it once, which gives the matching
 statistics: at every word the longest stretch, ending there, that stands in
 some template.  Stretches of ``MIN_MATCH`` words or more that cannot be
-extended are chained, template by template, as long as both the file and the
-template move forward by at most ``MAX_GAP`` words; a chain is a span of the
-file that covers a share of the template.  A share of ``MIN_SHARE`` or
-``MIN_COVER`` covered words give the template's label.
+extended are chained, template by template, from every place where they end in
+it, as long as both the file and the template move forward by at most
+``MAX_GAP`` words; a chain is a span of the file that covers a share of the
+template.  A share of ``MIN_SHARE`` or ``MIN_COVER`` covered words give the
+template's label, unless a span around it covers more: licences share passages.
 
 The base phrases come out of the same pass: a phrase ends at a word if its
 state is on the suffix-link path of the state reached there.
@@ -21,6 +23,7 @@ every row is judged by itself.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from importlib import resources
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -49,18 +52,31 @@ TEMPLATES = [
             "granted provided that the above copyright notice and this permission notice appear in all copies"),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("cc-by-nc", "licensed under cc by nc 4 0"),
+    ("cc-by", "licensed under cc by 4 0"),
+    ("cc-by-sa", "licensed under cc by sa 4 0"),
+    ("cc-by-nd", "licensed under cc by nd 4 0"),
+    ("cc-by-nc-sa", "licensed under cc by nc sa 4 0"),
+    ("cc-by-nc-nd", "licensed under cc by nc nd 4 0"),
     ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
+    ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4 0 international license"),
+    ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 ]
 
 
+def whole_texts() -> list[tuple[str, str]]:
+    """The licence texts that lie beside this module, with their labels; read on the driver only."""
+    found = [f for f in (resources.files("strata.llm") / "licences").iterdir() if f.name.endswith(".txt")]
+    return [(f.name[:-len(".txt")], f.read_text(encoding="utf-8")) for f in sorted(found, key=lambda f: f.name)]
+
+
 class Automaton:
     """Generalised suffix automaton: the states of all word sequences inside the templates."""
 
     def __init__(self, templates: list[tuple[str, str]], phrases: dict[str, str]):
         self.words: dict[bytes, int] = {}
         self.next, self.link, self.length = [{}], [-1], [0]
-        self.ends: list[dict[int, int]] = [{}]  # by state: a place where it ends, by template
+        self.ends: list[dict[int, list[int]]] = [{}]  # by state: all places where it ends, by template
         self.templates = [(label, [self._id(w) for w in alnum_words(text)]) for label, text in templates]
         sequences = [ids for _, ids in self.templates] + [[self._id(w) for w in alnum_words(p)] for p in phrases]
         for which, ids in enumerate(sequences):
@@ -68,11 +84,13 @@ class Automaton:
             for at, word in enumerate(ids):
                 last = self._extend(last, word)
                 if which < len(self.templates):
-                    self.ends[last].setdefault(which, at)
+                    self.ends[last].setdefault(which, []).append(at)
         order = sorted(range(1, len(self.next)), key=self.length.__getitem__, reverse=True)
         for state in order:  # what ends with a longer sequence ends with its suffix too
-            for which, at in self.ends[state].items():
-                self.ends[self.link[state]].setdefault(which, at)
+            if self.length[self.link[state]] < MIN_MATCH:
+                continue
+            for which, places in self.ends[state].items():
+                self.ends[self.link[state]].setdefault(which, []).extend(places)
         self.phrases = [(len(ids), label, self._state(ids)) for ids, label in
                         zip(sequences[len(self.templates):], phrases.values())]
         self.heard: list[list[int]] = [[] for _ in self.next]  # phrases on the suffix-link path
@@ -150,29 +168,56 @@ class Automaton:
             stretches.append(before)
         return len(words), base, self._chains(stretches)
 
+    def _matches(self, size: int, state: int) -> Iterator[tuple[int, int, list[int]]]:
+        """(template, length, end places) of the longest match in each template that ends with the stretch."""
+        seen = set()
+        while size >= MIN_MATCH:
+            for which, places in self.ends[state].items():
+                if which not in seen:
+                    seen.add(which)
+                    yield which, size, places
+            state = self.link[state]
+            size = self.length[state]
+
     def _chains(self, stretches: list[tuple[int, int, int]]) -> list[tuple]:
-        open_: dict[int, list] = {}
+        open_: dict[int, dict[int, tuple]] = {}  # by template and the place reached there: first, last, covered
         done = []
-        for at, size, state in stretches:
-            for which, end in self.ends[state].items():
-                start, from_ = at - size + 1, end - size + 1
-                chain = open_.get(which)
-                if chain and 0 <= start - chain[1] + MAX_GAP and start - chain[1] - 1 <= MAX_GAP and \
-                        end > chain[2] and from_ - chain[2] - 1 <= MAX_GAP:
-                    fresh = min(at - chain[1], end - chain[2], size)
-                    chain[1:] = [at, end, chain[3] + max(0, fresh)]
-                else:
-                    if chain:
-                        done.append((which, chain))
-                    open_[which] = [start, at, end, size]
-        done += open_.items()
+        for at, longest, state in stretches:
+            for which, size, places in self._matches(longest, state):
+                start, chains = at - size + 1, open_.setdefault(which, {})
+                for end in [e for e, c in chains.items() if start - c[1] - 1 > MAX_GAP]:
+                    done.append((which, chains.pop(end)))
+                grown = {}
+                for end in places:
+                    best = (start, at, size)
+                    for before, (first, last, cover) in chains.items():
+                        if before < end and end - size - before <= MAX_GAP and abs(end - before - at + last) <= MAX_GAP:
+                            more = cover + min(at - last, end - before, size)
+                            if more > best[2]:
+                                best = (first, at, more)
+                    grown[end] = best
+                done += [(which, chains[end]) for end in grown.keys() & chains.keys()]
+                chains.update(grown)
+        done += [(which, chain) for which, chains in open_.items() for chain in chains.values()]
         spans = []
-        for which, (first, last, _, cover) in done:
+        for which, (first, last, cover) in done:
             label, ids = self.templates[which]
             share = min(1.0, cover / len(ids))
             if share >= MIN_SHARE or cover >= MIN_COVER:
                 spans.append((label, first, last, cover, share))
-        return sorted(spans, key=lambda s: (s[1], s[2], s[0]))
+        return self._widest(spans)
+
+    @staticmethod
+    def _widest(spans: list[tuple]) -> list[tuple]:
+        """The spans that do not lie in one that covers more; a passage that licences share word for word gives each label."""
+        kept, around = [], []
+        for span in sorted(set(spans), key=lambda s: (s[1], -s[2], -s[3], -s[4], s[0])):
+            label, first, last, cover, _ = span
+            around = [s for s in around if s[2] >= first]
+            if not any(s[2] >= last and (s[3] > cover or s[0] == label and s[3] >= cover) for s in around):
+                kept.append(span)
+                around.append(span)
+        return sorted(kept, key=lambda s: (s[1], s[2], s[0]))
 
 
 SCHEMA = ("struct<n_words:bigint,n_base:bigint,first_word:bigint,last_word:bigint,base_labels:string,labels:string,"
@@ -182,7 +227,7 @@ SCHEMA = ("struct<n_words:bigint,n_base:bigint,first_word:bigint,last_word:bigin
 def scan(docs: DataFrame, templates=None, phrases=None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: words, base places and labels, all labels, the best share of a template, the spans."""
     shared = docs.sparkSession.sparkContext.broadcast(
-        Automaton(TEMPLATES if templates is None else templates, PHRASES if phrases is None else phrases))
+        Automaton(TEMPLATES + whole_texts() if templates is None else templates, PHRASES if phrases is None else phrases))
 
     def row(value) -> tuple:
         n, base, spans = shared.value.scan(value)

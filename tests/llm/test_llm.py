@@ -219,6 +219,23 @@ def test_license_scan(spark, edge, empty):
     assert license_scan.scan(edge).count() == len(EDGE) + 2 and license_scan.scan(empty).count() == 0
 
 
+def test_license_scan_knows_whole_texts():
+    texts = dict(license_scan.whole_texts())
+    machine = license_scan.Automaton(license_scan.TEMPLATES + license_scan.whole_texts(), license_scan.PHRASES)
+    for label, text in texts.items():                                      # a part from the middle, no opening line
+        words = text.split()
+        part = " ".join(["x"] * 9 + words[len(words) // 3:len(words) // 3 + max(60, len(words) // 2)] + ["y"] * 9)
+        assert label in {s[0] for s in machine.scan(part)[2]}
+        whole = machine.scan(text)[2]
+        assert max(whole, key=lambda s: s[3])[0] == label and max(s[4] for s in whole) == 1.0
+    conditions = texts["bsd"][texts["bsd"].index("1. Redistributions"):]
+    assert {s[0] for s in machine.scan(conditions.replace("University", "copyright holder"))[2]} == {"bsd"}
+    assert {s[0] for s in machine.scan("Licensed under CC BY-SA 4.0.")[2]} == {"cc-by-sa"}
+    tail = " ".join(f"t{k}" for k in range(12))                           # 4 + 12 words, by the second place of "p q r s"
+    twice = license_scan.Automaton([("a", f"p q r s k1 k2 k3 k4 k5 k6 k7 p q r s {tail}")], {})
+    assert [s[1:4] for s in twice.scan(f"p q r s z {tail}")[2]] == [(0, 16, 16)]
+
+
 def test_matching_statistics_against_search():
     templates = [("a", "x y z x y w"), ("b", "y z q x y z x")]
     machine = license_scan.Automaton(templates, {"z x": "p"})
