@@ -96,6 +96,23 @@ def test_url_filter(spark):
     assert {r.verdict for r in url_filter.judge(pages, rules.limit(0)).collect()} == {"allow"}
 
 
+def test_url_filter_tells_queries_apart(spark):
+    link = '<link rel="canonical" href="{}">'
+    pages = spark.createDataFrame([
+        (1, "http://s.org/index.php?id=1", link.format("http://bad.net/fr/1")), (2, "http://s.org/index.php?id=2", None),
+        (3, "http://s.org/index.php?id=3", link.format("http://ok.com/a")), (4, "http://s.org/index.php?id=1#part", None),
+        (5, "http://t.org/x", link.format("http://s.org/index.php?id=1")), (6, "http://u.org/y", link.format("//s.org/index.php?id=2")),
+        (7, "http://s.org/list?page=1", link.format("?page=2")), (8, "http://s.org/list?page=2", link.format("http://bad.net/es/2")),
+        (9, "http://s.org/list?page=3", link.format("#top")), (10, "http://s.org/index.php", None),
+        (11, "http://v.org/w", link.format("http://s.org/list"))], "page_id long, url string, html string")
+    rules = spark.createDataFrame(queries.RULES, "verdict string, host string, path string")
+    got = {r.page_id: r.verdict for r in url_filter.judge(pages, rules).collect()}
+    assert {k for k, v in got.items() if v == "block"} == {1, 4, 5, 7, 8}
+    more = spark.createDataFrame([("t.org", "/x", "bad.net", "/fr/2")], "host string, path string, to_host string, to_path string")
+    known = url_filter.judge(pages.where("page_id in (2, 5)").withColumn("html", F.lit(None).cast("string")), rules, more)
+    assert {r.page_id: r.verdict for r in known.collect()} == {2: "allow", 5: "block"}
+
+
 def test_interpolation_against_plain_python(spark):
     texts = [" ".join(np.random.default_rng(k).choice(WORDS[:9], 40)) for k in range(40)] + [None, "", "Unseen Word"]
     d = docs(spark, texts)
