@@ -1,10 +1,10 @@
-"""The ten operators as registered queries over the driver's tables, with DuckDB SQL where it can say the same."""
+"""The operators as registered queries over the driver's tables, with DuckDB SQL where it can say the same."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm import (byte_bpe, decontaminate, interpolation, language_profiles, license_scan, near_dedup,
+from strata.llm import (byte_bpe, centroids, decontaminate, interpolation, language_profiles, license_scan, near_dedup,
                         perspectives, repetition, secret_scan, url_filter)
 
 #: The rules that op2 judges by.
@@ -71,6 +71,11 @@ def op10_repetition(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op13_centroids(spark, sf_dir):
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 SPARK = {f.__name__: f for f in (op1_decontamination, op2_url_filter, op3_lm_score, op4_language_id, op5_perspectives,
-                                 op6_byte_bpe, op7_near_dedup, op8_license_scan, op9_secret_scan, op10_repetition)}
-SQL: dict[str, str] = {}
+                                 op6_byte_bpe, op7_near_dedup, op8_license_scan, op9_secret_scan, op10_repetition,
+                                 op13_centroids)}
+SQL: dict[str, str] = {"op13_centroids": centroids.sql()}
