@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.llm import (byte_bpe, centroids, decontaminate, interpolation, language_profiles, license_scan, near_dedup,
-                        perspectives, repetition, secret_scan, spelling, url_filter)
+                        personal_data, perspectives, repetition, secret_scan, spelling, url_filter)
 
 #: The rules that op2 judges by.
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -71,6 +71,10 @@ def op10_repetition(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_personal_data(spark, sf_dir):
+    return personal_data.scan(table(spark, sf_dir, "documents"))
+
+
 def op12_spelling_variants(spark, sf_dir):
     return spelling.variants(table(spark, sf_dir, "documents"))
 
@@ -81,5 +85,5 @@ def op13_centroids(spark, sf_dir):
 
 SPARK = {f.__name__: f for f in (op1_decontamination, op2_url_filter, op3_lm_score, op4_language_id, op5_perspectives,
                                  op6_byte_bpe, op7_near_dedup, op8_license_scan, op9_secret_scan, op10_repetition,
-                                 op12_spelling_variants, op13_centroids)}
+                                 op11_personal_data, op12_spelling_variants, op13_centroids)}
 SQL: dict[str, str] = {"op13_centroids": centroids.sql()}
