@@ -64,7 +64,9 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "run":
         if not a.load_ts:
             p.error("run needs --load-ts")
-        runner.run(spark, layout, chosen, a.load_ts, parallel=a.parallel).show(100, truncate=False)
+        report = runner.run(spark, layout, chosen, a.load_ts, parallel=a.parallel, on_error="report")
+        report.show(100, truncate=False)
+        return 1 if report.where("status = 'failed'").count() else 0
     elif a.command == "load":
         if not a.layer or (a.layer != "bronze" and not a.load_ts):
             p.error("load needs a layer, and --load-ts for silver and gold")
@@ -83,7 +85,7 @@ def main(argv: list[str] | None = None) -> int:
         for s in chosen:
             g = spark.table(layout.gold(s))
             if s.kind == "dimension" and s.scd_type == 2:
-                row = checks.active_unique(g, s.keys).first().asDict()
+                row = dimensions.full_check(spark, s, layout)
             elif s.kind == "fact":
                 row = {**checks.grain(g, s.keys).first().asDict(),
                        "orphan_rows": checks.orphans(g, by_name[s.dimension].sk).first()["orphan_rows"]}

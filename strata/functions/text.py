@@ -15,3 +15,8 @@ def cleanse(col: Column | str) -> Column:
     """
     c = F.col(col) if isinstance(col, str) else col
     return F.nullif(F.upper(F.trim(c)), F.lit(""))
+
+
+def cleanse_sql(name: str) -> str:
+    """``cleanse`` of a (quoted) column as SQL text, for what must be stored as text: a view."""
+    return f"nullif(upper(trim({name})), '')"

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.operators.dedup import TIED, newest_per_key
+
 
 class ContractError(AssertionError):
     pass
@@ -31,18 +33,12 @@ def grain(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def ambiguous(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Keys with rows of equal order columns that differ in content, so that no row is the newest.
+    """Keys whose newest rows differ in content, so that none of them is the newest.
 
-    One row per key, order and content leaves each map task.
+    Ties that a newer row has superseded do not count.  One row per key leaves
+    each map task.
     """
-    content = F.xxhash64(*[F.col(f.name).cast("string") if f.dataType.typeName() in ("map", "variant") else F.col(f.name)
-                           for f in rows.schema.fields])
-    each = rows.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)],
-                       *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], content.alias("_c"))
-    tied = (each.groupBy(*[c for c in each.columns if c != "_c"])
-            .agg(F.min("_c").alias("low"), F.max("_c").alias("high")).where("low != high"))
-    many = tied.select(*[f"_k{i}" for i in range(len(keys))]).distinct()
-    return many.agg(F.count(F.lit(1)).alias("ambiguous_keys"))
+    return newest_per_key(rows, keys, order).agg(F.count_if(TIED).alias("ambiguous_keys"))
 
 
 def intervals(dim: DataFrame, keys: Sequence[str], start: str = "start_effective_date",
@@ -68,6 +64,22 @@ def active_unique(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     ).withColumn("ok", F.col("keys_with_many_active") == 0)
 
 
+def history(versions: DataFrame, keys: Sequence[str], start: str = "start_effective_date",
+            end: str = "end_effective_date") -> DataFrame:
+    """``intervals`` and ``active_unique`` of SCD2 versions in one pass with one shuffle by key."""
+    order = Window.partitionBy(*keys).orderBy("record_version")
+    before = F.lag(F.struct(F.col(end).alias("end"))).over(order)
+    late = before.isNotNull() & (before["end"].isNull() | (F.col(start) < before["end"]))
+    active = F.coalesce(F.col("is_active"), F.lit(False))
+    # counted at the second active row of a key alone
+    again = active & (F.sum(active.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)) == 2)
+    return versions.select(active.alias("_a"), again.alias("_m"), (F.col(end) < F.col(start)).alias("_b"), late.alias("_l")).agg(
+        F.count(F.lit(1)).alias("total_rows"), F.count_if("_a").alias("active_rows"),
+        F.count_if("_m").alias("keys_with_many_active"), F.count_if("_b").alias("backward_versions"),
+        F.count_if("_l").alias("overlapping_versions"),
+    ).withColumn("ok", (F.col("keys_with_many_active") + F.col("backward_versions") + F.col("overlapping_versions")) == 0)
+
+
 def orphans(fact: DataFrame, fk: str = "subject_sk") -> DataFrame:
     """Fact rows whose dimension key did not resolve (a warning, not a failure)."""
     return fact.agg(

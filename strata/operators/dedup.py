@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
@@ -54,3 +54,38 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return (df.withColumn("_rn", F.row_number().over(w))
               .where(F.col("_rn") == 1)
               .drop("_rn"))
+
+
+#: Helper columns of ``newest_per_key``: rows of the key, and whether its newest rows differ.
+N_ROWS, TIED = "_n_rows", "_tied"
+
+
+def content_hash(df: DataFrame) -> Column:
+    """64 bits over all columns of a row (a map or variant through its text)."""
+    return F.xxhash64(*[F.col(f.name).cast("string") if f.dataType.typeName() in ("map", "variant") else F.col(f.name)
+                        for f in df.schema.fields])
+
+
+def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``latest_per_key`` with two helper columns: ``_n_rows`` and ``_tied``.
+
+    A key is tied if rows with its greatest order columns differ in content, so
+    that none of them is the newest; rows that a newer one has superseded do not
+    count.  One aggregate finds all of it: the greatest row, and the least and the
+    greatest content hash *at the greatest order* (the greatest of (order, hash)
+    and of (order, inverted hash)).  A map task sends one row for each key, whatever
+    the number of ties.  A NULL key is a group like any other.
+    """
+    keys, order = list(keys), list(order)
+    rest = [f.name for f in df.schema.fields if f.name not in keys and f.name not in order]
+    sortable = [c for c in rest if _orderable(df.schema[c].dataType)]
+    hashed = df.withColumn("_hash", content_hash(df))
+    by = [F.col(c) for c in order]
+    row = F.struct(*by, *[F.col(c) for c in sortable])
+    newest = F.max(row) if len(sortable) == len(rest) else F.max_by(F.struct(*by, *[F.col(c) for c in rest]), row)
+    best = hashed.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias(N_ROWS), newest.alias("_row"),
+        F.max(F.struct(*by, F.col("_hash").alias("_h")))["_h"].alias("_high"),
+        F.bitwise_not(F.max(F.struct(*by, F.bitwise_not("_hash").alias("_h")))["_h"]).alias("_low"))
+    columns = [F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns]
+    return best.select(*columns, N_ROWS, (F.col("_low") != F.col("_high")).alias(TIED))

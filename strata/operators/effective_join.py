@@ -8,7 +8,11 @@ bounds the work; the interval is a residual condition.  Strategy:
 * the dimension is first narrowed to (key, start, end, surrogate key);
 * if its measured size is under ``broadcast_limit`` it is broadcast and the
   facts never shuffle;
-* otherwise both sides shuffle on the key.  A key is *hot* when it alone
+* ``asof``: versions and facts of a key are sorted by time together and the last
+  version is carried forward, so a key costs its versions *plus* its facts and
+  never their product.  ``auto`` takes it for a dimension beyond the limit, and for
+  a small one if some key has more than ``MANY_VERSIONS`` of them;
+* ``salted``: both sides shuffle on the key.  A key is *hot* when it alone
   holds more than ``hot_factor`` times the average rows of a shuffle
   partition; fewer than ``partitions / hot_factor`` keys can qualify, so the
   hot list is bounded by the partition count, not the data.  A hot key with
@@ -19,16 +23,27 @@ bounds the work; the interval is a residual condition.  Strategy:
   exactly once, so the result equals the unsalted join.  NULL keys never
   match and skip the shuffle.  AQE's skew-join split stays on as a second
   line of defence.
+
+``asof`` splits hot keys in the same way, with the versions repeated in every
+salt bucket.  It gives at most one version: validity must not overlap, as
+``checks.history`` asserts for every dimension load.  Versions that end where they
+start are never valid.  ``end=None`` means that a version is valid until the
+next one of its key starts; of versions that start together the one with the
+greatest ``sk`` is valid.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import written
+
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
+#: Versions of one key up to which every fact of the key may be compared with each of them.
+MANY_VERSIONS = 64
 _ROW_OVERHEAD = 32
 # Bytes per value of fixed-width types (Spark's in-memory sizes).
 _WIDTH = {"long": 8, "integer": 4, "short": 2, "byte": 1, "double": 8, "float": 4, "boolean": 1,
@@ -50,6 +65,12 @@ def measure(dim: DataFrame, key: str) -> tuple[int, int]:
     return n, n * (fixed + _ROW_OVERHEAD) + sum(int(r[f"v{i}"]) for i in range(len(var)))
 
 
+def most_versions(dim: DataFrame, key: str) -> int:
+    """The number of versions of the key that has most."""
+    counts = dim.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return int(counts.agg(F.coalesce(F.max("_n"), F.lit(0))).first()[0])
+
+
 def hot_keys(facts: DataFrame, key: str, hot_factor: float = 4.0, partitions: int | None = None) -> DataFrame:
     """(_h_key, _h_n): keys with more than ``hot_factor`` shuffle partitions' worth of rows, and their salt buckets.
 
@@ -61,7 +82,8 @@ def hot_keys(facts: DataFrame, key: str, hot_factor: float = 4.0, partitions: in
     if hot_factor < 1:
         raise ValueError("hot_factor below 1 would make more keys hot than there are partitions")
     p = partitions or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = facts.groupBy(F.col(key).alias("_h_key")).agg(F.count(F.lit(1)).alias("_n")).checkpoint()
+    counts = facts.groupBy(F.col(key).alias("_h_key")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = written(counts, "key-counts")
     total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
     avg = max(1.0, total / p)
     buckets = F.greatest(F.lit(2), F.least(F.lit(p), F.ceil(F.col("_n") / avg))).cast("int")
@@ -70,7 +92,7 @@ def hot_keys(facts: DataFrame, key: str, hot_factor: float = 4.0, partitions: in
 
 def resolve(facts: DataFrame, dim: DataFrame, key: str, event_col: str,
             sk: str = "subject_sk", start: str = "start_effective_date",
-            end: str = "end_effective_date", dim_key: str | None = None,
+            end: str | None = "end_effective_date", dim_key: str | None = None,
             strategy: str = "auto", broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
             hot_factor: float = 4.0, partitions: int | None = None, salt_buckets: int | None = None,
             dim_cols: list[str] | dict[str, str] | None = None,
@@ -84,19 +106,27 @@ def resolve(facts: DataFrame, dim: DataFrame, key: str, event_col: str,
     (default: the session's shuffle partitions); ``salt_buckets`` fixes the
     bucket count of every hot key.
 
-    ``strategy``: ``auto`` (measure, then broadcast or salt), ``broadcast`` (an
-    error beyond ``broadcast_limit``), ``shuffle`` (plain shuffle join) or ``salted`` (shuffle with hot-key split).
+    ``strategy``: ``auto`` (measure, then broadcast or asof), ``broadcast`` (an
+    error beyond ``broadcast_limit``), ``shuffle`` (plain shuffle join), ``salted``
+    (shuffle with hot-key split) or ``asof`` (sort and carry forward).
     """
     dim_key = dim_key or key
     extra = dict(dim_cols) if isinstance(dim_cols, dict) else {c: c for c in (dim_cols or [])}
     d = dim.select(F.col(sk).alias("_d_sk"), F.col(dim_key).alias("_d_key"),
-                   F.col(start).alias("_d_start"), F.col(end).alias("_d_end"),
+                   F.col(start).alias("_d_start"), (F.col(end) if end else F.lit(None).cast("timestamp")).alias("_d_end"),
                    *[F.col(c).alias(f"_d_x{i}") for i, c in enumerate(extra)])
+    if end is None and strategy not in ("auto", "asof"):
+        raise ValueError("versions without an end need the strategy asof")
+    if strategy == "auto" and end is None:
+        strategy = "asof"
     if strategy in ("auto", "broadcast"):
         _, size = measure(d, "_d_key")
         if strategy == "broadcast" and size > broadcast_limit:
             raise ValueError(f"the versions take {size} bytes, more than {broadcast_limit}; use another strategy")
-        strategy = "broadcast" if size <= broadcast_limit else "salted"
+        if strategy == "auto" and (size > broadcast_limit or most_versions(d, "_d_key") > MANY_VERSIONS):
+            strategy = "asof"
+        else:
+            strategy = "broadcast"
     ev = F.col(event_col)
     in_range = (ev >= F.col("_d_start")) & (F.col("_d_end").isNull() | (ev < F.col("_d_end")))
     cols = facts.columns
@@ -107,7 +137,7 @@ def resolve(facts: DataFrame, dim: DataFrame, key: str, event_col: str,
         j = facts.join(F.broadcast(d), match & in_range, "left")
     elif strategy == "shuffle":
         j = facts.join(d.hint("shuffle_hash"), match & in_range, "left")
-    elif strategy == "salted":
+    elif strategy in ("salted", "asof"):
         hot = hot_keys(facts, key, hot_factor, partitions)
         b = F.broadcast(hot.withColumn("_h_n", F.lit(salt_buckets).cast("int")) if salt_buckets else hot)
         salted_by = [F.col(c) for c in (salt_cols or cols)]
@@ -120,7 +150,35 @@ def resolve(facts: DataFrame, dim: DataFrame, key: str, event_col: str,
               .withColumn("_d_salt", F.explode(F.when(F.col("_h_n").isNull(), F.array(F.lit(0)))
                                                .otherwise(F.sequence(F.lit(0), F.col("_h_n") - 1))))
               .drop("_h_key", "_h_n"))
+        if strategy == "asof":
+            return _carried_forward(f2, d2, key, ev, bool(end)).select(*out_cols)
         j = f2.join(d2, match & (F.col("_salt") == F.col("_d_salt")) & in_range, "left")
     else:
         raise ValueError(f"unknown join strategy {strategy!r}")
     return j.select(*out_cols)
+
+
+def _carried_forward(facts: DataFrame, versions: DataFrame, key: str, event, ends: bool) -> DataFrame:
+    """Facts (with ``_salt``) and the version columns ``_d_*`` valid at ``event``: one sort by (key, salt, time).
+
+    Facts whose key is NULL, and versions that can never be valid, do not enter
+    the sort; the former are added again at the end.
+    """
+    held = [c for c in versions.columns if c not in ("_d_key", "_d_salt")]
+    usable = F.col("_d_key").isNotNull() & F.col("_d_start").isNotNull()
+    if ends:
+        usable = usable & (F.col("_d_end").isNull() | (F.col("_d_end") > F.col("_d_start")))
+    none = [F.lit(None).cast(versions.schema[c].dataType).alias(c) for c in held]
+    fact = F.struct(*[F.col(c) for c in facts.columns])
+    # versions come before facts of the same time; of versions that start together the last to end, then the greatest
+    rows = (versions.where(usable).select(
+        F.col("_d_key").alias("_k"), F.col("_d_salt").alias("_s"), F.col("_d_start").alias("_t"), F.lit(0).alias("_side"),
+        F.struct(*held).alias("_v"), F.lit(None).cast(facts.select(fact.alias("f")).schema[0].dataType).alias("_f"))
+        .union(facts.where(F.col(key).isNotNull()).select(
+            F.col(key), F.col("_salt"), event, F.lit(1), F.lit(None).cast(versions.select(F.struct(*held).alias("v")).schema[0].dataType), fact)))
+    along = Window.partitionBy("_k", "_s").orderBy(
+        F.col("_t"), "_side", F.col("_v._d_end").asc_nulls_last(), F.col("_v._d_sk")).rowsBetween(Window.unboundedPreceding, 0)
+    last = rows.select("_side", "_t", "_f", F.last("_v", ignorenulls=True).over(along).alias("_v")).where("_side = 1")
+    valid = F.col("_v").isNotNull() & (F.col("_v._d_end").isNull() | (F.col("_t") < F.col("_v._d_end")))
+    found = last.select("_f.*", *[F.when(valid, F.col(f"_v.{c}")).alias(c) for c in held])
+    return found.unionByName(facts.where(F.col(key).isNull()).select("*", *none))

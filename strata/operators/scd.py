@@ -3,9 +3,10 @@
 ``scd1`` and ``scd2`` take the current dimension and the incoming silver
 snapshot and return the *whole next state*: the stored state is never mutated
 in place, so a task retry or a second action reads the same input and yields
-the same result.  Both start from ``changes``, a join of keys and fingerprints
-that is made once per load and stored; what follows only looks the changed keys
-up.
+the same result.  ``scd2_parts`` returns what a load has to write when active
+and closed versions are stored apart.  All start from ``changes``, a join of keys
+and fingerprints that is made once per load and stored; what follows only looks
+the changed keys up.
 
 ``scd2_replay`` is the same SCD2 rule applied to a sequence of loads at once
 (backfill / bulk rebuild): instead of N chained joins it needs one shuffle by
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, TimestampNTZType
 
 from strata.functions.fingerprint import hash_diff
-from strata.operators.surrogate import assign_surrogate, max_key
+from strata.operators.surrogate import ONE_TASK_ROWS, assign_surrogate, max_key
+from strata.session import written
 
 # Managed column names of the dimensional model.
 HASH_DIFF = "hash_diff"
@@ -79,41 +81,52 @@ def empty_scd2(incoming: DataFrame, keys, attrs, sk: str, ts_type: DataType = Ti
 
 
 def changes(current: DataFrame, incoming: DataFrame, keys: Sequence[str], attrs: Sequence[str], sk: str,
-            encoding: str = "length_prefixed") -> DataFrame:
-    """What differs between stored and incoming rows: keys, status, stored ``sk`` and version.
+            encoding: str = "length_prefixed", change_time: str | None = None) -> DataFrame:
+    """What differs between stored and incoming rows: keys, status, stored ``sk`` and version, incoming change time.
 
     The only full join of a load, and it carries keys and fingerprints alone.
     ``status`` is insert, update or retained (stored, not delivered); unchanged
     keys have no row.  A row counts as stored or delivered because it is there,
     whatever its fingerprint, and a missing fingerprint differs from any other.
-    The result is small when little changed, and is written once to the shared
-    checkpoint folder: the plans that use it never repeat the join.
+    The result is written once: the plans that use it never repeat the join, and
+    their joins with it are planned by its size on disk.
     """
     stored = current.where(ACTIVE) if ACTIVE in current.columns else current
     version = F.col(VERSION) if VERSION in current.columns else F.lit(None).cast("int")
     t = stored.select(*keys, F.col(sk).alias("_sk"), version.alias("_version"), F.col(HASH_DIFF).alias("_hash"),
                       F.lit(True).alias("_here"))
-    s = incoming.select(*keys, hash_diff(attrs, encoding).alias("_hash"), F.lit(True).alias("_here"))
+    changed = F.col(change_time) if change_time else F.lit(None).cast("timestamp")
+    s = incoming.select(*keys, hash_diff(attrs, encoding).alias("_hash"), changed.alias("_changed"), F.lit(True).alias("_here"))
     j = t.alias("t").join(s.alias("s"), _key_cond(keys), "full_outer")
     status = (F.when(F.col("t._here").isNull(), "insert").when(F.col("s._here").isNull(), "retained")
                .when(~F.col("t._hash").eqNullSafe(F.col("s._hash")), "update"))
     found = j.select(*[F.when(F.col("s._here"), F.col(f"s.{k}")).otherwise(F.col(f"t.{k}")).alias(k) for k in keys],
-                     status.alias("_status"), F.col("t._sk").alias("_sk"), F.col("t._version").alias("_version"))
-    return found.where(F.col("_status").isNotNull()).checkpoint()
+                     status.alias("_status"), F.col("t._sk").alias("_sk"), F.col("t._version").alias("_version"),
+                     F.col("s._changed").alias("_changed"))
+    return written(found.where(F.col("_status").isNotNull()), "changes")
 
 
-def _delivered(incoming: DataFrame, diff: DataFrame, keys: Sequence[str], extra: Sequence[Column], names: Sequence[str]):
-    """Incoming rows that are new or changed, with what ``changes`` knows of them; stored, as several plans use them."""
-    todo = diff.where(F.col("_status").isin("insert", "update"))
-    j = incoming.alias("s").join(todo.alias("t"), _key_cond(keys))
-    return j.select(*[F.col(f"s.{c}").alias(c) for c in names], *extra).checkpoint()
-
+def _marked(rows: DataFrame, diff: DataFrame, keys: Sequence[str], is_active: Column | None = None) -> DataFrame:
+    """Stored rows with their status (update, retained or unchanged) and the change time of an update.
 
-def _stored(rows: DataFrame, diff: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Stored rows with their status: update, retained or unchanged."""
+    One pass over the rows.  ``is_active`` says which rows stand for their key;
+    the others are ``history``.
+    """
     known = diff.where(F.col("_status").isin("update", "retained"))
-    j = known.alias("t").join(rows.alias("s"), _key_cond(keys), "right_outer")
-    return j.select("s.*", F.coalesce("t._status", F.lit("unchanged")).alias(ACTION))
+    here = F.lit(True) if is_active is None else is_active
+    j = rows.withColumn("_stands", here).alias("s").join(
+        known.alias("t"), F.col("s._stands") & _key_cond(keys), "left_outer")
+    return j.select(*[F.col(f"s.{c}").alias(c) for c in rows.columns],
+                    F.when(~F.col("s._stands"), "history").otherwise(F.coalesce("t._status", F.lit("unchanged"))).alias(ACTION),
+                    F.col("t._changed").alias("_changed"))
+
+
+def _delivered(incoming: DataFrame, todo: DataFrame, keys: Sequence[str], attrs: Sequence[str], encoding: str,
+               names: Sequence[str]) -> DataFrame:
+    """Incoming rows of the keys in ``todo``, with its columns ``names`` and their fingerprint."""
+    j = incoming.alias("s").join(todo.alias("t"), _key_cond(keys))
+    rows = j.select(*[F.col(f"s.{c}").alias(c) for c in _carried(keys, attrs)], *[F.col(f"t.{n}").alias(n) for n in names])
+    return rows.withColumn(HASH_DIFF, hash_diff(attrs, encoding))
 
 
 def scd1(current: DataFrame, incoming: DataFrame, keys: Sequence[str], attrs: Sequence[str],
@@ -133,54 +146,83 @@ def scd1(current: DataFrame, incoming: DataFrame, keys: Sequence[str], attrs: Se
     """
     keys, cols = list(keys), _carried(keys, attrs)
     diff = changes(current, incoming, keys, attrs, sk, encoding) if diff is None else diff
-    new = _delivered(incoming, diff, keys, [F.col("t._sk").alias(sk), F.col("t._status").alias(ACTION)], cols)
-    new = new.withColumn(HASH_DIFF, hash_diff(attrs, encoding)).withColumn(LOAD_TS, ts_literal(load_ts, ts_type))
+    inserts = diff.where(F.col("_status") == "insert").select(*keys, F.col("_status").alias(ACTION))
+    todo = (diff.where(F.col("_status") == "update").select(*keys, F.col("_sk").alias(sk), F.col("_status").alias(ACTION))
+            .unionByName(_with_new_keys(inserts, current, keys, sk)))
+    new = _delivered(incoming, todo, keys, attrs, encoding, [sk, ACTION]).withColumn(LOAD_TS, ts_literal(load_ts, ts_type))
     order = [sk, *cols, HASH_DIFF, LOAD_TS, ACTION]
-    kept = _stored(current, diff, keys).where(F.col(ACTION) != "update")
-    out = (kept.select(*order).unionByName(new.where(F.col(ACTION) == "update").select(*order))
-           .unionByName(_with_new_keys(new.where(F.col(ACTION) == "insert"), current, keys, sk).select(*order)))
+    kept = _marked(current, diff, keys).where(F.col(ACTION) != "update")
+    out = kept.select(*order).unionByName(new.select(*order))
     return out if with_action else out.drop(ACTION)
 
 
+def _scd2_new(current: DataFrame, incoming: DataFrame, diff: DataFrame, keys: Sequence[str], attrs: Sequence[str], sk: str,
+              now: Column, encoding: str, ts_type: DataType) -> DataFrame:
+    """The versions that a load opens."""
+    todo = diff.where(F.col("_status").isin("insert", "update")).select(
+        *keys, F.coalesce(F.col("_changed").cast(ts_type), now).alias(START),
+        (F.coalesce("_version", F.lit(0)) + 1).cast("int").alias(VERSION), F.col("_status").alias(ACTION))
+    todo = _with_new_keys(todo, current, keys, sk)
+    return (_delivered(incoming, todo, keys, attrs, encoding, [sk, START, VERSION, ACTION])
+            .withColumn(END, F.lit(None).cast(ts_type)).withColumn(ACTIVE, F.lit(True)).withColumn(LOAD_TS, now))
+
+
+def _scd2_stored(rows: DataFrame, diff: DataFrame, keys: Sequence[str], now: Column, ts_type: DataType) -> DataFrame:
+    """Stored rows as they are after a load: the active row of a changed key is expired, all others stay."""
+    marked = _marked(rows, diff, keys, F.coalesce(F.col(ACTIVE), F.lit(False)))
+    expires = F.col(ACTION) == "update"
+    return (marked.withColumn(END, F.when(expires, F.coalesce(F.col("_changed").cast(ts_type), now)).otherwise(F.col(END)))
+            .withColumn(ACTIVE, F.when(expires, False).otherwise(F.col(ACTIVE)))
+            .withColumn(ACTION, F.when(expires, "expire").otherwise(F.col(ACTION))))
+
+
+def scd2_parts(current: DataFrame, incoming: DataFrame, keys: Sequence[str], attrs: Sequence[str],
+               change_time: str | None, sk: str, load_ts, encoding: str = "length_prefixed",
+               ts_type: DataType = TimestampNTZType(), diff: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(active rows of the next state, versions that this load closes), each with ``_action``.
+
+    Only stored rows that are active are read: history is no part of the
+    result.  Unchanged rows pass through a join with the changed keys, which are
+    broadcast when they are few, so that no stored attribute is shuffled.
+    """
+    keys, cols = list(keys), _carried(keys, attrs)
+    diff = changes(current, incoming, keys, attrs, sk, encoding, change_time) if diff is None else diff
+    now = ts_literal(load_ts, ts_type)
+    order = [sk, *cols, HASH_DIFF, START, END, ACTIVE, VERSION, LOAD_TS, ACTION]
+    stored = _scd2_stored(current.where(F.coalesce(F.col(ACTIVE), F.lit(False))), diff, keys, now, ts_type).select(*order)
+    new = _scd2_new(current, incoming, diff, keys, attrs, sk, now, encoding, ts_type)
+    return stored.where(F.col(ACTION) != "expire").unionByName(new.select(*order)), stored.where(F.col(ACTION) == "expire")
+
+
 def scd2(current: DataFrame, incoming: DataFrame, keys: Sequence[str], attrs: Sequence[str],
          change_time: str | None, sk: str, load_ts, encoding: str = "length_prefixed",
          ts_type: DataType = TimestampNTZType(), with_action: bool = False,
          diff: DataFrame | None = None) -> DataFrame:
     """History: expire the active row of each changed key, add its next version.
 
-    ``incoming`` must hold one row per key, like ``scd1``; ``diff`` as there.
+    ``incoming`` must hold one row per key, like ``scd1``; ``diff`` = ``changes``
+    with ``change_time``.
 
     A changed key keeps its old row, expired, and gets a new one.  New version
     = old + 1, start = the row's change time, else the run's ``load_ts``; the
-    expired row ends exactly there.  Inactive history is passed on without a
-    join.
+    expired row ends exactly there.  All stored rows pass in one scan, so a chain of
+    loads adds the partitions of its new rows and no more; a load that stores
+    closed versions apart (``scd2_parts``) does not even read them.
     """
     keys, cols = list(keys), _carried(keys, attrs)
-    diff = changes(current, incoming, keys, attrs, sk, encoding) if diff is None else diff
+    diff = changes(current, incoming, keys, attrs, sk, encoding, change_time) if diff is None else diff
     now = ts_literal(load_ts, ts_type)
-    changed_at = F.coalesce(F.col(f"s.{change_time}").cast(ts_type), now) if change_time else now
-    new = _delivered(incoming, diff, keys, [
-        changed_at.alias(START), (F.coalesce("t._version", F.lit(0)) + 1).cast("int").alias(VERSION),
-        F.col("t._status").alias(ACTION)], cols)
-    ends = new.where(F.col(ACTION) == "update").select(*keys, F.col(START).alias("_ends"))
-    new = (new.withColumn(HASH_DIFF, hash_diff(attrs, encoding)).withColumn(END, F.lit(None).cast(ts_type))
-           .withColumn(ACTIVE, F.lit(True)).withColumn(LOAD_TS, now))
     order = [sk, *cols, HASH_DIFF, START, END, ACTIVE, VERSION, LOAD_TS, ACTION]
-    is_active = F.coalesce(F.col(ACTIVE), F.lit(False))
-    marked = _stored(current.where(is_active), diff, keys)
-    kept = marked.where(F.col(ACTION) != "update")
-    expired = (marked.where(F.col(ACTION) == "update").alias("s").join(ends.alias("t"), _key_cond(keys))
-               .select(*[F.col(f"s.{c}") for c in order if c not in (END, ACTIVE, ACTION)], F.col("_ends").alias(END),
-                       F.lit(False).alias(ACTIVE), F.lit("expire").alias(ACTION)))
-    out = (current.where(~is_active).withColumn(ACTION, F.lit("history")).select(*order)
-           .unionByName(kept.select(*order)).unionByName(expired)
-           .unionByName(_with_new_keys(new.withColumn(sk, F.lit(None).cast("long")), current, keys, sk).select(*order)))
+    new = _scd2_new(current, incoming, diff, keys, attrs, sk, now, encoding, ts_type)
+    out = _scd2_stored(current, diff, keys, now, ts_type).select(*order).unionByName(new.select(*order))
     return out if with_action else out.drop(ACTION)
 
 
 def _with_new_keys(rows: DataFrame, current: DataFrame, keys: Sequence[str], sk: str) -> DataFrame:
     """Give the rows dense keys above the current maximum."""
-    return assign_surrogate(rows.drop(sk), keys, sk, start=max_key(current, sk))
+    n = rows.count()
+    keyed = assign_surrogate(rows, keys, sk, start=max_key(current, sk) if n else 0, rows=n)
+    return keyed if n <= ONE_TASK_ROWS else written(keyed, "keyed")
 
 
 def scd2_replay(states: DataFrame, keys: Sequence[str], attrs: Sequence[str],

@@ -5,12 +5,11 @@ single partition.  Instead:
 
 1. range-partition by the ordering columns and sort inside each partition;
 2. tag rows with ``monotonically_increasing_id`` (partition index in the high
-   bits, position in the low 33 bits) and materialise that once with a
-   reliable ``checkpoint`` (shared storage).  This must come *after* the range
-   exchange: the range partitioner seeds its sample with the RDD id, so two
-   evaluations of the same exchange may choose different bounds.  After the
-   checkpoint every pass, and every retry after an executor loss, sees the
-   same partitions;
+   bits, position in the low 33 bits) and write that once to shared storage.
+   This must come *after* the range exchange: the range partitioner seeds its
+   sample with the RDD id, so two evaluations of the same exchange may choose
+   different bounds.  From the written rows every pass, and every retry after
+   an executor loss, reads the same tags;
 3. count rows per partition (one tiny row per partition) and prefix-sum;
 4. key = start + offset of the partition + position + 1.
 
@@ -25,7 +24,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import written
+
 _POS_BITS = 33
+#: Rows that one task may number; beyond it, ranges are numbered in parallel.
+ONE_TASK_ROWS = 100_000
 
 
 def _with_offsets(tagged: DataFrame, name: str, start) -> DataFrame:
@@ -41,20 +44,25 @@ def _with_offsets(tagged: DataFrame, name: str, start) -> DataFrame:
 
 
 def assign_surrogate(df: DataFrame, order: Sequence[str], name: str,
-                     start: int | Column = 0, num_partitions: int | None = None) -> DataFrame:
+                     start: int | Column = 0, num_partitions: int | None = None,
+                     rows: int | None = None) -> DataFrame:
     """Add ``name`` = start + 1, start + 2, ... in ``order`` (dense, unique).
 
+    ``rows``, if given, is the measured number of rows: at most
+    ``ONE_TASK_ROWS`` of them are numbered by one task, in the plan that uses
+    them, instead of being written first.  The keys are the same.
     Without ``num_partitions`` the range exchange uses the session's shuffle
     partitions and AQE may coalesce them, so a small change set does not
-    become hundreds of tiny tasks and checkpoint files.  Positions are taken
+    become hundreds of tiny tasks and files.  Positions are taken
     after the shuffle read, so coalescing cannot break the numbering.
     """
+    if rows is not None and rows <= ONE_TASK_ROWS:
+        return df.withColumn(name, (F.lit(start) + F.row_number().over(Window.orderBy(*order))).cast("long"))
     ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
               else df.repartitionByRange(*order))
     tagged = (ranged.sortWithinPartitions(*order)
-                .withColumn("_sk_mid", F.monotonically_increasing_id())
-                .checkpoint(eager=True))
-    return _with_offsets(tagged, name, start)
+                .withColumn("_sk_mid", F.monotonically_increasing_id()))
+    return _with_offsets(written(tagged, "numbered"), name, start)
 
 
 def max_key(df: DataFrame, name: str) -> int:

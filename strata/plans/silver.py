@@ -7,13 +7,19 @@ cleansing reaches old rows too.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, TimestampType
 
+from strata.functions.keys import any_null
+from strata.functions.text import cleanse_sql
 from strata.operators import checks
 from strata.operators.cleanse import cleanse_strings
-from strata.operators.dedup import latest_per_key, split_null_keys
+from strata.operators.dedup import N_ROWS, TIED, latest_per_key, newest_per_key, split_null_keys
+from strata.operators.scd import ts_literal
 from strata.sources import tables
 
 BRONZE_DATE = "bronze_ingest_date"
@@ -45,54 +51,70 @@ def rejected_table(layout, spec) -> str:
 
 
 def rejected_view(spark, layout, spec) -> None:
-    """A view of the bronze rows whose cleansed key is NULL, cleansed."""
-    from pyspark.sql.types import StringType
+    """A view of the bronze rows whose cleansed key is NULL, cleansed.
 
+    A stored view is SQL text: ``text.cleanse_sql`` is the one other form of the
+    cleansing rule, and a test holds both to the same results.
+    """
     def q(name):
         return ".".join(f"`{p}`" for p in name.split("."))
 
     fields = spark.table(layout.bronze(spec)).schema.fields
-    cols = ", ".join(f"nullif(upper(trim({q(f.name)})), '') AS {q(f.name)}" if isinstance(f.dataType, StringType)
-                     else q(f.name) for f in fields)
+    cols = ", ".join(f"{cleanse_sql(q(f.name))} AS {q(f.name)}" if isinstance(f.dataType, StringType) else q(f.name)
+                     for f in fields)
     gone = " OR ".join(f"{q(k)} IS NULL" for k in spec.keys)
     spark.sql(f"CREATE OR REPLACE VIEW {q(rejected_table(layout, spec))} AS SELECT * FROM "
               f"(SELECT {cols} FROM {q(layout.bronze(spec))}) WHERE {gone}")
 
 
 def stamp(df: DataFrame, load_ts) -> DataFrame:
-    from strata.operators.scd import ts_literal
-    from pyspark.sql.types import TimestampType
     return df.withColumn(SILVER_LOAD_TS, ts_literal(load_ts, TimestampType()))
 
 
+def grouped(bronze: DataFrame, keys: Sequence[str], change_time: str | None) -> DataFrame:
+    """Every key's newest cleansed row with the number of its rows and whether it is tied; NULL keys are groups too."""
+    order = [c for c in (change_time, BRONZE_DATE if BRONZE_DATE in bronze.columns else None) if c]
+    return newest_per_key(cleanse_strings(bronze), keys, order)
+
+
+def measures(keys: Sequence[str]) -> list[Column]:
+    """Aggregates over ``grouped``: silver rows, rejected bronze rows, keys without a newest row."""
+    null_key = any_null(keys)
+    return [F.count_if(~null_key).alias("rows"),
+            F.coalesce(F.sum(F.when(null_key, F.col(N_ROWS))), F.lit(0)).alias("rejected"),
+            F.count_if(~null_key & F.col(TIED)).alias("ambiguous")]
+
+
 def load(spark, spec, layout, load_ts, verify: bool = True, quarantine: bool = True) -> dict:
     """Silver from all of bronze; columns that bronze has gained are added to it.
 
     Returns {rows, rejected}, and {ambiguous} if any.  Rows whose business key is NULL or
     blank cannot enter silver; with ``quarantine`` they stay readable, cleansed,
     through the view ``<silver table>__rejected`` over bronze.  ``verify`` counts
-    the keys with rows of one change time and ingest date that differ in
-    content: none of them is the newest, as happens when the business key is too
-    coarse.  More than ``spec.max_ambiguous`` such keys (if set) stop the load
-    before anything is published.
+    the keys whose newest rows (by change time and ingest date) differ in content:
+    none of them is the newest, as happens when the business key is too coarse.
+    More than ``spec.max_ambiguous`` such keys (if set) stop the load before
+    anything is published.
+
+    Bronze is read once: state, rejected rows and ties come from one aggregate,
+    and are measured while the state is written.
     """
     bronze = spark.table(layout.bronze(spec))
-    state, rejected = current_state(bronze, spec.keys, spec.change_time)
-    out = {"rejected": rejected.count()}
-    if verify:
-        keyed, _ = split_null_keys(cleanse_strings(bronze), spec.keys)
-        order = [c for c in (spec.change_time, BRONZE_DATE) if c]
-        tied, limit = checks.ambiguous(keyed, spec.keys, order).first()["ambiguous_keys"], spec.max_ambiguous
-        if tied:
-            out["ambiguous"] = tied
-        if limit is not None and tied > limit:
+    found = grouped(bronze, spec.keys, spec.change_time)
+    seen = Observation(f"silver_{uuid.uuid4().hex[:8]}")
+    kept = found.observe(seen, *measures(spec.keys)).where(~any_null(spec.keys))
+    state = kept.drop(N_ROWS, TIED, BRONZE_DATE)
+
+    def check(_: DataFrame) -> None:
+        tied, limit = seen.get["ambiguous"], spec.max_ambiguous
+        if verify and limit is not None and tied > limit:
             raise checks.ContractError(
                 f"silver {spec.name}: {tied} keys have different rows of one change time and ingest "
                 f"date (at most {limit} allowed); is {', '.join(spec.keys)} the whole business key?")
-
-    def count(written: DataFrame) -> None:
-        out["rows"] = written.count()
-    tables.replace(spark, layout.silver(spec), stamp(state, load_ts), widen=True, check=count)
+    tables.replace(spark, layout.silver(spec), stamp(state, load_ts), widen=True, check=check)
+    out = {"rows": seen.get["rows"], "rejected": seen.get["rejected"]}
+    if verify and seen.get["ambiguous"]:
+        out["ambiguous"] = seen.get["ambiguous"]
     if quarantine and out["rejected"]:
         rejected_view(spark, layout, spec)
     return out

@@ -13,7 +13,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the loads rely on.  UTC matters: a DATE compared with a TIMESTAMP is
 # cast to midnight in the session time zone.
@@ -22,6 +22,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # the call site of every Column call costs more than the call itself
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -65,3 +67,15 @@ def scratch_root(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, never reused folder under the shared scratch root."""
     return f"{scratch_root(spark).rstrip('/')}/strata/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str = "rows") -> DataFrame:
+    """The same rows, written once as Parquet under the scratch root and read back.
+
+    Computed a single time, whatever reads them and whichever executor is lost;
+    Spark takes their size from the files, so joins with them are planned by
+    what was measured and not by a product of estimates.
+    """
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

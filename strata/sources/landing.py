@@ -77,6 +77,21 @@ def read_landing(spark: SparkSession, root: str, dates: Sequence[str], rename_to
     return df.withColumn(partition, F.col(partition).cast("date")).withColumnRenamed(partition, rename_to)
 
 
+def delivered_files(spark: SparkSession, root: str, dates: Sequence[str], date_col: str,
+                    partition: str = PARTITION) -> DataFrame:
+    """(date, path, size, modified): the data files of the chosen dates, from the reader's listing.
+
+    No file is opened: of a ``binaryFile`` scan only the file status is read.
+    """
+    schema = f"{date_col} date, path string, size bigint, modified timestamp"
+    if not dates:
+        return spark.createDataFrame([], schema)
+    paths = [f"{root.rstrip('/')}/{partition}={d}" for d in dates]
+    files = spark.read.format("binaryFile").option("basePath", root).option("pathGlobFilter", "*.parquet").load(paths)
+    return files.select(F.col(partition).cast("date").alias(date_col), "path", F.col("length").alias("size"),
+                        F.col("modificationTime").alias("modified"))
+
+
 def write_landing(df: DataFrame, root: str, date_col: Column | str, partition: str = PARTITION,
                   overwrite_dates: bool = False) -> None:
     """Lay rows out as a landing directory (used to stage driver tables)."""

@@ -1,8 +1,8 @@
 """Catalog tables: declaration, reads, and the three write modes of the loads.
 
 Spark's built-in Parquet tables refuse MERGE, IDENTITY and ``REPLACE WHERE``,
-so the gold operators compute the whole next state and this module swaps it
-in.  Three write modes:
+so the gold operators compute the next state and this module swaps it in.  The
+write modes:
 
 * ``replace_partitions`` (bronze): dynamic partition overwrite of the dates in
   the batch; every other date is untouched.  Requested dates that arrive
@@ -13,6 +13,10 @@ in.  Three write modes:
   visible and never re-attached.  A plan that reads
   the table while computing its next state keeps reading the old files, the
   table stays EXTERNAL, and old directories are never deleted by a load.
+* ``replace_history`` (SCD2 dimensions): the table is partitioned by its flag of
+  active rows.  Active rows are a state as above; versions that a load closes are
+  added as files to the one folder of closed versions, where older files are
+  never read, written or moved by a load.
 * ``evolve``: additive schema evolution (new columns are appended with
   ``ALTER TABLE ADD COLUMNS``; old files read them as NULL).
 
@@ -256,6 +260,94 @@ def replace(spark: SparkSession, name: str, df: DataFrame, observe=None, helpers
     return metrics
 
 
+def declare_history(spark: SparkSession, name: str, schema: StructType, root: str, flag: str,
+                    comment: str | None = None) -> None:
+    """``declare_table`` for a table of active and closed versions, partitioned by ``flag``."""
+    if exists(spark, name):
+        return
+    data = [f for f in schema.fields if f.name != flag]
+    sql = f"CREATE TABLE {_q(name)} ({_ddl([*data, schema[flag]])}) USING PARQUET PARTITIONED BY (`{flag}`)"
+    if comment:
+        sql += f" COMMENT {_text(comment)}"
+    spark.sql(f"{sql} LOCATION {_text(root)} TBLPROPERTIES ({_text(ROOT_PROPERTY)} = {_text(root)})")
+    settle(spark, name, flag)
+
+
+def part_location(spark: SparkSession, name: str, flag: str, value: bool) -> str | None:
+    """Where the active or the closed versions of a table are; None before the first load."""
+    spec = f"`{flag}` = {str(value).lower()}"
+    if not spark.sql(f"SHOW PARTITIONS {_q(name)} PARTITION ({spec})").head(1):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_q(name)} PARTITION ({spec})").collect()
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location")
+
+
+def settle(spark: SparkSession, name: str, flag: str) -> None:
+    """Let the table show its newest accepted state, whatever an interrupted load left undone.
+
+    A state is published in two steps: its active rows become the table's,
+    then the versions it closed are moved among the closed ones, each file under
+    a name of its own.  Both can be repeated, so the next load (or declaration)
+    finishes what an interrupted one began.
+    """
+    root = _root(spark, name)
+    state = latest_version(spark, root)
+    if state is None:
+        return
+    active, closed = f"{state}/active", f"{root.rstrip('/')}/closed"
+    if part_location(spark, name, flag, True) is None:
+        spark.sql(f"ALTER TABLE {_q(name)} ADD PARTITION (`{flag}` = true) LOCATION {_text(active)}")
+    else:
+        spark.sql(f"ALTER TABLE {_q(name)} PARTITION (`{flag}` = true) SET LOCATION {_text(active)}")
+    jstate, fs = _fs(spark, f"{state}/closed")
+    jclosed, _ = _fs(spark, closed)
+    fs.mkdirs(jclosed)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for st in fs.listStatus(jstate) if fs.exists(jstate) else []:
+        file = st.getPath().getName()
+        if file.startswith("part-"):
+            # a unique name: the state's, so that a repeated move finds nothing left to do
+            if not fs.rename(st.getPath(), path(jclosed, f"part-{state.rsplit('/', 1)[1]}-{file}")):
+                raise OSError(f"{st.getPath().toString()} could not be moved to {closed}")
+    if part_location(spark, name, flag, False) is None:
+        spark.sql(f"ALTER TABLE {_q(name)} ADD PARTITION (`{flag}` = false) LOCATION {_text(closed)}")
+    spark.catalog.refreshTable(name)
+
+
+def replace_history(spark: SparkSession, name: str, active: DataFrame, closed: DataFrame | None, flag: str,
+                    helpers: Sequence[str] = (), observe=None,
+                    check: Callable[[list[DataFrame]], None] | None = None) -> dict:
+    """Write the whole of the active rows and the newly closed ones, check them, then publish both.
+
+    ``closed`` holds only versions that this load closes (None: it closes none);
+    they join those of earlier loads.  ``check`` gets the parts as written and
+    raises if they must not be published.  ``observe`` is measured on the active
+    rows.
+    """
+    schema = spark.table(name).schema
+    norm = _normaliser(spark)
+    have = {norm(c) for c in [*schema.fieldNames(), *helpers]}
+    new = {"active": active, **({} if closed is None else {"closed": closed})}
+    if odd := {c for df in new.values() for c in df.columns if norm(c) not in have}:
+        raise ValueError(f"{name}: state has columns the table lacks: {sorted(odd)}")
+    bare = StructType([f for f in schema.fields if f.name != flag])
+    obs = None
+    if observe:
+        obs = Observation(f"history_{uuid.uuid4().hex[:8]}")
+        new["active"] = active.observe(obs, *observe)
+    target = _new_version(_root(spark, name))
+    for part, df in new.items():
+        rows = align(df, bare)
+        # closed rows are few from many tasks: one shuffle of theirs, so that they make few files
+        (rows if part == "active" else rows.repartition(F.col(bare.fields[0].name))).write.parquet(f"{target}/{part}")
+    if check is not None:
+        check([spark.read.schema(bare).parquet(f"{target}/{part}").withColumn(flag, F.lit(part == "active")) for part in new])
+    path, fs = _fs(spark, f"{target}/{ACCEPTED}")
+    fs.create(path).close()
+    settle(spark, name, flag)
+    return dict(obs.get) if obs is not None else {}
+
+
 def partitions(spark: SparkSession, name: str) -> list[str]:
     """Values of the single partition column, from the catalog (no data scan)."""
     rows = spark.sql(f"SHOW PARTITIONS {_q(name)}").collect()

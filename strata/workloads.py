@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ from strata.operators.scd import ACTION, empty_scd1, empty_scd2, scd1, scd2, scd
 from strata.operators.surrogate import assign_surrogate
 from strata.plans import bronze, runner, silver
 from strata.plans.entities import EntitySpec, Layout
-from strata.session import fresh_dir
+from strata.session import fresh_dir, written
 from strata.sources import landing, tables
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -236,8 +237,8 @@ def _scd1_part(spark, sf, with_action=False):
                  .withColumn("p_retailprice", F.when(k % 3 == 0, F.col("p_retailprice") + 1)
                              .otherwise(F.col("p_retailprice")).cast(DecimalType(12, 2))))
     dim0 = empty_scd1(typed, PART_KEY, PART_ATTRS, "part_sk")
-    # The first load's state is materialised, as a load writes its table.
-    dim1 = scd1(dim0, prev, PART_KEY, PART_ATTRS, "part_sk", T_PREV).checkpoint(eager=True)
+    # The first load's state is written, as a load writes its table.
+    dim1 = written(scd1(dim0, prev, PART_KEY, PART_ATTRS, "part_sk", T_PREV), "state")
     return scd1(dim1, typed, PART_KEY, PART_ATTRS, "part_sk", T_NEXT, with_action=with_action)
 
 
@@ -301,8 +302,7 @@ def _scd2_users(spark, sf):
     bronze = _bronze_events(spark, sf)
     dim = empty_scd2(bronze, USER_KEY, USER_ATTRS, "user_sk")
     for cut, load_ts in CUTS:
-        dim = scd2(dim, _user_state(bronze, cut), USER_KEY, USER_ATTRS, "ts", "user_sk", load_ts)
-        dim = dim.checkpoint(eager=True)
+        dim = written(scd2(dim, _user_state(bronze, cut), USER_KEY, USER_ATTRS, "ts", "user_sk", load_ts), "state")
     return dim
 
 
@@ -530,7 +530,7 @@ SELECT 'event', 'fact', CAST((SELECT nd FROM dates) AS INTEGER), (SELECT nr FROM
 """)
 def load_report(spark, sf):
     _, _, report = _three_cycles(spark, sf)
-    return report
+    return report.drop("status", "error")
 
 
 def _staged_bronze(spark, sf, tag):
@@ -652,3 +652,130 @@ def inventory(spark, sf):
                          F.col("database"))
     return (inv.join(counts, ["database", "table_name"])
                .select(layer.alias("layer"), "table_name", "table_type", "n_columns", "n_rows"))
+
+
+# --------------------------------------------------------------------------
+# As-of join on keys with very many versions: the versions are all events of a
+# type (five keys hold every row), the facts are all events half an hour later.
+
+_STREAM_CTE = """
+WITH v AS (SELECT event_type, ts, max(event_id) AS version_id, max_by(value, event_id) AS value
+           FROM events WHERE event_type IS NOT NULL AND ts IS NOT NULL GROUP BY event_type, ts),
+f AS (SELECT event_id, event_type, ts + INTERVAL 30 MINUTE AS at FROM events)"""
+
+
+def _stream(spark, sf):
+    ev = table(spark, sf, "events")
+    versions = (ev.where("event_type IS NOT NULL AND ts IS NOT NULL").groupBy("event_type", "ts")
+                .agg(F.max("event_id").alias("version_id"), F.max_by("value", "event_id").alias("last_value")))
+    facts = ev.select("event_id", "event_type", (F.col("ts") + F.expr("INTERVAL 30 MINUTES")).alias("at"))
+    return facts, versions
+
+
+@workload("fact_asof_many_versions", _STREAM_CTE + """
+SELECT f.event_id, f.event_type, f.at, v.version_id, v.value AS last_value
+FROM f ASOF LEFT JOIN v ON f.event_type = v.event_type AND f.at >= v.ts
+""")
+def fact_asof_many_versions(spark, sf):
+    """Each event with the newest event of its type half an hour later; every key is hot and split by salt."""
+    facts, versions = _stream(spark, sf)
+    return resolve(facts, versions, "event_type", "at", sk="version_id", start="ts", end=None, dim_cols=["last_value"],
+                   strategy="asof", hot_factor=1, partitions=_table_rows(spark, sf, "events") // 500 + 1, salt_cols=["event_id"])
+
+
+# --------------------------------------------------------------------------
+# Silver and gold contents after loads through the tables.
+
+def _loaded(spark, sf, tag, **how):
+    """The event entities after one load of everything; ``how`` goes to the runner."""
+    layout, specs = _layout(spark, tag), event_entities()
+    runner.declare(spark, layout, specs)
+    _stage_events(spark, sf, layout)
+    return layout, specs, runner.run(spark, layout, specs, T_NEXT, **how)
+
+
+_TIES_SQL = f"""
+WITH b AS (SELECT event_id, ts, user_id, {_clean('event_type')} AS event_type, value, {_clean('props')} AS props,
+                  CAST(ts AS DATE) AS d FROM events),
+dup AS (SELECT * FROM b UNION ALL
+        SELECT event_id, ts, CASE WHEN event_id % 11 = 0 THEN NULL ELSE user_id END, event_type, value + 1, props, d FROM b WHERE event_id % 3 = 0),
+k AS (SELECT user_id, ts, d, count(*) AS n, count(DISTINCT (event_id, event_type, value, props)) AS contents FROM dup
+      GROUP BY user_id, ts, d QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, d DESC NULLS LAST) = 1),
+tied AS (SELECT count(*) AS n FROM (SELECT user_id FROM dup WHERE user_id IS NOT NULL GROUP BY user_id, ts, d
+         HAVING count(DISTINCT (event_id, event_type, value, props)) > 1))
+SELECT (SELECT count(*) FROM k WHERE user_id IS NOT NULL) AS silver_rows,
+       (SELECT count(*) FROM dup WHERE user_id IS NULL) AS silver_rejected,
+       (SELECT count(*) FROM k WHERE user_id IS NOT NULL AND contents > 1) AS ambiguous_keys,
+       (SELECT n FROM tied) AS tied_at_any_time
+"""
+
+
+@workload("silver_ties", _TIES_SQL)
+def silver_ties(spark, sf):
+    """Users whose newest row is tied, beside the ties that a newer row has superseded; NULL keys are rejected."""
+    b = _bronze_events(spark, sf)
+    again = b.where("event_id % 3 = 0").withColumn("value", F.col("value") + 1).withColumn(
+        "user_id", F.when(F.col("event_id") % 11 == 0, F.lit(None)).otherwise(F.col("user_id")))
+    both = b.unionByName(again)
+    found = silver.grouped(both, USER_KEY, "ts").agg(*silver.measures(USER_KEY))
+    each = cleanse_strings(both).where("user_id IS NOT NULL").groupBy("user_id", "ts", silver.BRONZE_DATE).agg(
+        F.count_distinct(F.struct("event_id", "event_type", "value", "props")).alias("n"))
+    ties = each.agg(F.count_if(F.col("n") > 1).alias("tied_at_any_time"))
+    return found.crossJoin(ties).select(F.col("rows").alias("silver_rows"), F.col("rejected").cast("bigint").alias("silver_rejected"),
+                                        F.col("ambiguous").alias("ambiguous_keys"), "tied_at_any_time")
+
+
+LATE_DAY = "2024-01-05"
+
+
+@workload("bronze_late_files", f"""
+SELECT DATE '{LATE_DAY}' AS bronze_ingest_date, 'added' AS change, count(*) AS rows_before,
+       2 * count(*) AS rows_after, CAST(0 AS BIGINT) AS late_after
+FROM events WHERE CAST(ts AS DATE) = DATE '{LATE_DAY}' HAVING count(*) > 0
+""")
+def bronze_late_files(spark, sf):
+    """A file is added to a date that is loaded already: it is listed, loaded on request, and then no longer listed."""
+    layout, fact = _staged_bronze(spark, sf, "late")
+    bronze.load(spark, fact, layout)
+    rows = lambda: spark.table(layout.bronze(fact)).where(F.col(silver.BRONZE_DATE) == F.lit(LATE_DAY).cast("date")).count()
+    before = rows()
+    ev = table(spark, sf, "events").withColumn("event_date", F.to_date("ts"))
+    landing.write_landing(ev.where(F.col("event_date") == F.lit(LATE_DAY).cast("date")), layout.landing_dir(fact), "event_date")
+    late = written(bronze.late_files(spark, fact, layout).select(silver.BRONZE_DATE, "change").distinct(), "late")
+    bronze.load(spark, fact, layout, late="reload")
+    left = bronze.late_files(spark, fact, layout).count()
+    return late.select(silver.BRONZE_DATE, "change", F.lit(before).cast("bigint").alias("rows_before"),
+                       F.lit(rows()).cast("bigint").alias("rows_after"), F.lit(left).cast("bigint").alias("late_after"))
+
+
+@workload("load_outcomes", """
+WITH u AS (SELECT count(*) AS n, count(DISTINCT user_id) AS k FROM events)
+SELECT 'bad' AS entity, 'failed' AS status, (SELECT n FROM u) AS bronze_rows_loaded, CAST(NULL AS BIGINT) AS silver_rows,
+       CAST(NULL AS BIGINT) AS gold_rows, 'ContractError' AS reason
+UNION ALL SELECT 'user', 'ok', (SELECT n FROM u), (SELECT k FROM u), (SELECT k FROM u), NULL
+UNION ALL SELECT 'event', 'ok', (SELECT n FROM u), (SELECT n FROM u), (SELECT n FROM u), NULL
+UNION ALL SELECT 'child', 'skipped', (SELECT n FROM u), (SELECT n FROM u), NULL, 'dimension bad failed'
+""")
+def load_outcomes(spark, sf):
+    """One load cycle with an entity whose business key is too coarse: it fails alone, its facts are skipped."""
+    layout = _layout(spark, "outcomes")
+    user, event = event_entities()
+    # no change time: all rows of a key and date tie, and no tie is allowed
+    bad = replace(user, name="bad", gold_table="dim_bad", sk="bad_sk", change_time=None, max_ambiguous=0)
+    child = replace(event, name="child", gold_table="fact_child", sk="child_sk", dimension="bad")
+    specs = [bad, user, event, child]
+    runner.declare(spark, layout, specs)
+    _stage_events(spark, sf, layout)
+    try:
+        runner.run(spark, layout, specs, T_NEXT)
+    except runner.LoadsFailed as failed:
+        report = failed.report
+    return report.select("entity", "status", "bronze_rows_loaded", "silver_rows", "gold_rows",
+                         F.regexp_extract("error", "(ContractError|dimension bad failed)", 1).alias("reason"))
+
+
+@workload("gold_dimension_contents", _SCD2_USERS_CTE + "\nSELECT * FROM k")
+def gold_dimension_contents(spark, sf):
+    """The SCD2 dimension as three loads through the tables left it: active and closed parts together."""
+    layout, specs, _ = _three_cycles(spark, sf)
+    return spark.table(layout.gold(specs[0]))
