@@ -86,6 +86,11 @@ class Codec:
             known[token] = np.array(self.bpe.encode_ordinary(token), "<u4").tobytes()
         return b"".join(map(known.__getitem__, tokens))
 
+    def release(self) -> None:
+        """Free the encoder and what it remembers: a Python worker lives on and serves other work."""
+        for made in ("bpe", "split", "known", "raw"):
+            self.__dict__.pop(made, None)
+
     def decode(self, ids: bytes) -> bytes:
         if not hasattr(self, "raw"):  # a worker that only decodes makes no encoder
             self.raw = [b""] * (max(self.ranks.values(), default=-1) + 1)
@@ -108,6 +113,7 @@ def decode(ids: Column, shared) -> Column:
             del values
             yield pd.Series(raw, dtype=object)
             del raw
+        shared.value.release()
     return join(ids)
 
 
@@ -126,6 +132,7 @@ def encode(docs: DataFrame, shared, text: str = "text", out: str = "ids", chunk:
             del texts  # not held while the next batch is read
             yield pd.Series(ids, dtype=object)
             del ids
+        shared.value.release()
 
     is_long = F.coalesce(F.length(text) > chunk, F.lit(False))
     short = docs.where(~is_long).withColumn(out, whole(F.col(text)))
@@ -149,12 +156,14 @@ def encode(docs: DataFrame, shared, text: str = "text", out: str = "ids", chunk:
 def _pieces(texts: DataFrame, shared, chunk: int, overlap: int) -> DataFrame:
     """key, no, piece (text between two stitches), synced (whether the chunk's start was stitched)."""
     @F.pandas_udf("struct<head:array<bigint>,tail:array<bigint>>")
-    def bounds(chunks: pd.Series, starts: pd.Series, last: pd.Series) -> pd.DataFrame:
-        rows = []
-        for value, start, ends in zip(chunks, starts, last):
-            at = shared.value.boundaries(value, ends)
-            rows.append((at[at < overlap] + start, at[at >= chunk] + start))
-        return pd.DataFrame(rows, columns=["head", "tail"])
+    def bounds(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for chunks, starts, last in batches:
+            rows = []
+            for value, start, ends in zip(chunks, starts, last):
+                at = shared.value.boundaries(value, ends)
+                rows.append((at[at < overlap] + start, at[at >= chunk] + start))
+            yield pd.DataFrame(rows, columns=["head", "tail"])
+        shared.value.release()
 
     size = F.length("text")
     rows = (texts.withColumn("start", F.explode(F.sequence(F.lit(0), size - 1, F.lit(chunk))))

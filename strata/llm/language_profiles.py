@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 SIZE, MAX_LANGUAGES = 300, 1000
 UNKNOWN = "und"
 _BLANK, _BITS = 32, 21  # n-grams are packed as three code points of 21 bits
-_MERGE = 1 << 20
+_MERGE, _FRAME = 1 << 19, 1 << 16
 #: A limit is ``SLACK`` times the ``LOW`` quantile of the learning documents' scores: clean documents below the
 #: quantile stay.  Lengths with fewer than ``LEAST`` learning documents are judged together with the nearest ones.
 LOW, SLACK, LEAST = 0.01, 0.75, 30
@@ -76,33 +76,40 @@ def is_held_out(doc_id: Column, folds: int, fold: int) -> Column:
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", size: int = SIZE) -> DataFrame:
     """The profiles of all languages: lang, rank (from 0), ngram, n."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def rows(waiting):
+        def merged(waiting):
             found, which = np.unique(np.concatenate([k for k, _ in waiting]), return_inverse=True)
-            totals = np.bincount(which.reshape(-1), np.concatenate([c for _, c in waiting])).astype(np.int64)
-            return found, totals
+            return found, np.bincount(which.reshape(-1), np.concatenate([c for _, c in waiting])).astype(np.int64)
 
+        def frames():
+            for name, waiting in held.items():
+                found, counts = merged(waiting)
+                for at in range(0, len(found), _FRAME):
+                    yield pd.DataFrame({"lang": name, "ngram": found[at:at + _FRAME], "n": counts[at:at + _FRAME]})
+
+        # n-grams of all languages together are held up to _MERGE, then merged, and handed on if that does not halve them
         held: dict[str, list] = {}
-        sizes: dict[str, int] = {}
+        size = 0
         for batch in batches:
             for name, value in zip(batch["lang"], batch["text"]):
                 found, counts = np.unique(ngrams(value), return_counts=True)
                 if len(found):
                     held.setdefault(name, []).append((found, counts))
-                    sizes[name] = sizes.get(name, 0) + len(found)
-                    if sizes[name] > _MERGE:
-                        held[name] = [rows(held[name])]
-                        sizes[name] = 0
-        for name, waiting in held.items():
-            found, counts = rows(waiting)
-            for at in range(0, len(found), _MERGE):
-                yield pd.DataFrame({"lang": name, "ngram": found[at:at + _MERGE], "n": counts[at:at + _MERGE]})
+                    size += len(found)
+                    if size > _MERGE:
+                        held = {k: [merged(waiting)] for k, waiting in held.items()}
+                        size = sum(len(w[0][0]) for w in held.values())
+                        if size > _MERGE // 2:
+                            yield from frames()
+                            held, size = {}, 0
+        yield from frames()
 
     known = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).dropna()
     totals = (known.mapInPandas(count, "lang string, ngram bigint, n bigint")
               .groupBy("lang", "ngram").agg(F.sum("n").alias("n")))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "ngram")
-    return (totals.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < size)
-            .select("lang", "rank", "ngram", "n"))
+    # ranks are cut as they come from row_number, so that every task sends its first ``size`` of a language alone
+    return (totals.withColumn("place", F.row_number().over(order)).where(F.col("place") <= size)
+            .select("lang", (F.col("place") - 1).alias("rank"), "ngram", "n"))
 
 
 class Classifier:

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from strata.llm.components import components
-from strata.llm.store import saved
+from strata.llm.store import saved, spare_names
 from strata.llm.text import space_words, window_hashes, word_hashes
 
 K, MISS = 64, 1e-9
@@ -235,6 +235,28 @@ def _across(placed: DataFrame, percent: int) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each class, the one with the smallest id; rows with its id and a null id all stay."""
-    dropped = classes(docs, n, percent).where(~F.col("kept")).select(F.col("doc_id").alias("strata_dropped_id")).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col("strata_dropped_id"), "left_anti")
+    """One row of each class: the one with the smallest id.
+
+    Rows that share an id, or whose id is null, are rows of their own: they are
+    written with a row number, take part in the classes by it, and follow the
+    rows with an id of their own in the order (then by id, nulls first, then by
+    row number).
+    """
+    spare = spare_names(docs, "id", "row")
+    repeated = saved(docs.groupBy(F.col("doc_id").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+                     .where("n > 1 or id is null").select("id"), "repeated-ids")
+    if repeated.isEmpty():
+        dropped = classes(docs, n, percent).where(~F.col("kept")).select(F.col("doc_id").alias(spare["id"])).distinct()
+        return docs.join(dropped, F.col("doc_id") == F.col(spare["id"]), "left_anti")
+    ids = repeated.select(F.col("id").alias(spare["id"]))
+    same = F.col("doc_id").eqNullSafe(F.col(spare["id"]))
+    single = docs.join(ids, same, "left_anti")
+    shared_ids = saved(docs.join(ids, same, "left_semi").withColumn(spare["row"], F.monotonically_increasing_id()), "repeated-rows")
+    vertex = lambda repeated, row: F.struct(F.lit(repeated).alias("repeated"), F.col("doc_id").alias("id"), row.alias("row"))
+    both = (single.select(vertex(False, F.lit(None).cast("bigint")).alias("doc_id"), "text")
+            .unionByName(shared_ids.select(vertex(True, F.col(spare["row"])).alias("doc_id"), "text")))
+    gone = saved(classes(both, n, percent).where(~F.col("kept")).select("doc_id.*"), "dropped")
+    gone_ids = gone.where("not repeated").select(F.col("id").alias(spare["id"]))
+    gone_rows = gone.where("repeated").select(F.col("row").alias(spare["row"]))
+    return (single.join(gone_ids, F.col("doc_id") == F.col(spare["id"]), "left_anti")
+            .unionByName(shared_ids.join(gone_rows, spare["row"], "left_anti").select(*docs.columns)))
