@@ -11,23 +11,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.llm import byte_bpe, decontaminate, language_profiles, near_dedup, queries, secret_scan
-from strata.llm.store import saved
+from strata.llm.store import saved, spare_names
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a letter, or farther from the nearest language than its own documents of that length.
 
-    Nothing is held out: languages and limits are learned from all labelled documents.
+    Nothing is held out: languages and limits are learned from all labelled
+    documents.  Without a labelled document nothing tells languages apart, and
+    every document with a letter stays.
     """
     profiles = saved(language_profiles.learn(docs), "pipeline-profiles")
-    least = language_profiles.limits(docs, profiles)
+    if profiles.isEmpty():
+        return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    name = spare_names(docs, "guess", "lang", "length", "least")
+    least = language_profiles.limits(docs, profiles).select(
+        F.col("lang").alias(name["lang"]), F.col("length").alias(name["length"]), F.col("least").alias(name["least"]))
     predict = language_profiles.predictor(spark, profiles)
-    mark = "strata_language"
-    guessed = docs.withColumn(mark, predict(F.col("text")))
-    near = guessed.join(F.broadcast(least.select(F.col("lang").alias("strata_lang"), "length", "least")),
-                        (F.col(f"{mark}.lang") == F.col("strata_lang"))
-                        & (language_profiles.length_class(F.col("text")) == F.col("length")))
-    return near.where(F.col(f"{mark}.score") >= F.col("least")).select(*[docs[c] for c in docs.columns])
+    guessed = docs.withColumn(name["guess"], predict(F.col("text")))
+    near = guessed.join(F.broadcast(least), (F.col(f"{name['guess']}.lang") == F.col(name["lang"]))
+                        & (language_profiles.length_class(F.col("text")) == F.col(name["length"])))
+    return near.where(F.col(f"{name['guess']}.score") >= F.col(name["least"])).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
