@@ -96,7 +96,7 @@ def changes(current: DataFrame, incoming: DataFrame, keys: Sequence[str], attrs:
     t = stored.select(*keys, F.col(sk).alias("_sk"), version.alias("_version"), F.col(HASH_DIFF).alias("_hash"),
                       F.lit(True).alias("_here"))
     changed = F.col(change_time) if change_time else F.lit(None).cast("timestamp")
-    s = incoming.select(*keys, hash_diff(attrs, encoding).alias("_hash"), changed.alias("_changed"), F.lit(True).alias("_here"))
+    s = incoming.select(*keys, hash_diff(attrs, encoding, incoming.schema).alias("_hash"), changed.alias("_changed"), F.lit(True).alias("_here"))
     j = t.alias("t").join(s.alias("s"), _key_cond(keys), "full_outer")
     status = (F.when(F.col("t._here").isNull(), "insert").when(F.col("s._here").isNull(), "retained")
                .when(~F.col("t._hash").eqNullSafe(F.col("s._hash")), "update"))
@@ -126,7 +126,7 @@ def _delivered(incoming: DataFrame, todo: DataFrame, keys: Sequence[str], attrs:
     """Incoming rows of the keys in ``todo``, with its columns ``names`` and their fingerprint."""
     j = incoming.alias("s").join(todo.alias("t"), _key_cond(keys))
     rows = j.select(*[F.col(f"s.{c}").alias(c) for c in _carried(keys, attrs)], *[F.col(f"t.{n}").alias(n) for n in names])
-    return rows.withColumn(HASH_DIFF, hash_diff(attrs, encoding))
+    return rows.withColumn(HASH_DIFF, hash_diff(attrs, encoding, rows.schema))
 
 
 def scd1(current: DataFrame, incoming: DataFrame, keys: Sequence[str], attrs: Sequence[str],
@@ -246,7 +246,7 @@ def scd2_replay(states: DataFrame, keys: Sequence[str], attrs: Sequence[str],
     ct = F.col(change_time).cast(ts_type) if change_time else F.lit(None).cast(ts_type)
     s = states.select(*cols, F.col(load_col).alias("_load"),
                       F.col(load_ts_col).cast(ts_type).alias("_load_ts"), ct.alias("_change_ts"))
-    s = s.withColumn(HASH_DIFF, hash_diff(attrs, encoding))
+    s = s.withColumn(HASH_DIFF, hash_diff(attrs, encoding, s.schema))
     w = Window.partitionBy(*keys).orderBy("_load")
     v = (s.withColumn("_prev", F.lag(HASH_DIFF).over(w))
           .where(F.col("_prev").isNull() | (F.col("_prev") != F.col(HASH_DIFF)))

@@ -62,6 +62,13 @@ def _lp(cols: list[str]) -> str:
     return f"sha256(concat_ws('|', {', '.join(pieces)}))"
 
 
+def _typed_text(cols: list[str], strings: set[str]) -> str:
+    """The ``typed`` fingerprint: the length stands before strings alone."""
+    pieces = [f"coalesce(CAST(length({c}) AS VARCHAR) || ':' || {c}, '#')" if c in strings
+              else f"coalesce(CAST({c} AS VARCHAR), '#')" for c in cols]
+    return f"sha256(concat_ws('|', {', '.join(pieces)}))"
+
+
 def _plain(cols: list[str]) -> str:
     pieces = [f"coalesce(CAST({c} AS VARCHAR), '~')" for c in cols]
     return f"sha256(concat_ws('||', {', '.join(pieces)}))"
@@ -195,6 +202,13 @@ LINEITEM_ATTRS = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_
 _LINEITEM_MONEY = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
+def _typed_lineitem(spark, sf):
+    t = table(spark, sf, "lineitem")
+    return t.select(*[F.col(c).cast(DecimalType(18, 2)).alias(c) if c in _LINEITEM_MONEY
+                      else F.col(c).cast("date").alias(c) if c == "l_shipdate" else F.col(c)
+                      for c in t.columns])
+
+
 @workload("hash_diff_lineitem", f"""
 WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
                   {', '.join(f'CAST({c} AS DECIMAL(18,2)) AS {c}' for c in _LINEITEM_MONEY)},
@@ -203,13 +217,22 @@ SELECT l_orderkey, l_linenumber, {_lp(LINEITEM_ATTRS)} AS hash_diff FROM t
 """)
 def hash_diff_lineitem(spark, sf):
     """Fingerprint of every non-key attribute of the largest table."""
-    t = table(spark, sf, "lineitem")
-    t = t.select(*[F.col(c).cast(DecimalType(18, 2)).alias(c) if c in _LINEITEM_MONEY
-                   else F.col(c).cast("date").alias(c) if c == "l_shipdate" else F.col(c)
-                   for c in t.columns])
+    t = _typed_lineitem(spark, sf)
     return t.select(*LINEITEM_KEY, hash_diff(LINEITEM_ATTRS).alias("hash_diff"))
 
 
+@workload("hash_diff_lineitem_typed", f"""
+WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                  {', '.join(f'CAST({c} AS DECIMAL(18,2)) AS {c}' for c in _LINEITEM_MONEY)},
+                  l_returnflag, l_linestatus, CAST(l_shipdate AS DATE) AS l_shipdate FROM lineitem)
+SELECT l_orderkey, l_linenumber, {_typed_text(LINEITEM_ATTRS, {"l_returnflag", "l_linestatus"})} AS hash_diff FROM t
+""")
+def hash_diff_lineitem_typed(spark, sf):
+    """The same attributes with the encoding that writes lengths for strings alone."""
+    t = _typed_lineitem(spark, sf)
+    return t.select(*LINEITEM_KEY, hash_diff(LINEITEM_ATTRS, "typed", t.schema).alias("hash_diff"))
+
+
 @workload("surrogate_key_customer", """
 SELECT *, row_number() OVER (ORDER BY c_custkey) AS customer_sk FROM customer
 """)
@@ -779,3 +802,85 @@ def gold_dimension_contents(spark, sf):
     """The SCD2 dimension as three loads through the tables left it: active and closed parts together."""
     layout, specs, _ = _three_cycles(spark, sf)
     return spark.table(layout.gold(specs[0]))
+
+
+@workload("bronze_reload_empty", f"""
+SELECT CAST(ts AS DATE) AS bronze_ingest_date, count(*) AS n_rows FROM events
+WHERE CAST(ts AS DATE) <> DATE '{LATE_DAY}' GROUP BY ALL
+""")
+def bronze_reload_empty(spark, sf):
+    """One date is loaded again without a row; the table is dropped and declared anew from what is on storage."""
+    layout, fact = _staged_bronze(spark, sf, "empty")
+    bronze.load(spark, fact, layout)
+    name = layout.bronze(fact)
+    tables.replace_partitions(spark, name, spark.createDataFrame([], fact.bronze_schema()), silver.BRONZE_DATE, [LATE_DAY])
+    spark.sql(f"DROP TABLE {name}")
+    runner.declare(spark, layout, event_entities())
+    return spark.table(name).groupBy(silver.BRONZE_DATE).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@workload("bronze_pending_null_date", f"""
+SELECT DISTINCT CAST(ts AS DATE) AS bronze_ingest_date FROM events WHERE CAST(ts AS DATE) > DATE '{LOADED_UPTO}'
+""")
+def bronze_pending_null_date(spark, sf):
+    """Loaded dates hold a NULL, which must not hide any pending date."""
+    found = table(spark, sf, "events").select(F.to_date("ts").alias(silver.BRONZE_DATE))
+    loaded = found.where(F.col(silver.BRONZE_DATE) <= F.lit(LOADED_UPTO).cast("date")).unionByName(
+        found.select(F.lit(None).cast("date").alias(silver.BRONZE_DATE)))
+    return bronze.pending_dates(found, loaded)
+
+
+_CLEAN_PART = ", ".join(f"{_clean(c)} AS {c}" for c in ("p_name", "p_brand", "p_type"))
+
+
+@workload("gold_type1_contents", f"""
+WITH typed AS (SELECT p_partkey, {_CLEAN_PART}, p_size, CAST(p_retailprice AS DECIMAL(12,2)) AS p_retailprice FROM part),
+prev AS (SELECT * REPLACE (CAST(CASE WHEN p_partkey % 3 = 0 THEN p_retailprice + 1 ELSE p_retailprice END AS DECIMAL(12,2))
+                           AS p_retailprice) FROM typed WHERE p_partkey % 5 <> 0),
+cur AS (SELECT row_number() OVER (ORDER BY p_partkey) AS part_sk, *, {_lp(PART_ATTRS)} AS hash_diff FROM prev),
+inc AS (SELECT *, {_lp(PART_ATTRS)} AS hash_diff FROM typed)
+SELECT coalesce(c.part_sk, (SELECT max(part_sk) FROM cur) + row_number() OVER (PARTITION BY c.part_sk IS NULL ORDER BY i.p_partkey)) AS part_sk,
+       i.*, CASE WHEN c.hash_diff = i.hash_diff THEN TIMESTAMP '{T_PREV}' ELSE TIMESTAMP '{T_NEXT}' END AS gold_load_ts
+FROM inc i LEFT JOIN cur c USING (p_partkey)
+""")
+def gold_type1_contents(spark, sf):
+    """A type-1 dimension as two loads through the tables left it; a row without a key stays out."""
+    typed = _typed_part(spark, sf)
+    spec = EntitySpec(name="part", keys=" p_partkey , ", schema=typed.schema, kind="dimension", scd_type=1, sk="part_sk",
+                      gold_table="dim_part", change_time=None, ts_type=TimestampNTZType())
+    layout, k = _layout(spark, "type1"), F.col("p_partkey")
+    runner.declare(spark, layout, [spec])
+    prev = typed.where(k % 5 != 0).withColumn("p_retailprice", F.when(k % 3 == 0, F.col("p_retailprice") + 1)
+                                              .otherwise(F.col("p_retailprice")).cast(DecimalType(12, 2)))
+    keyless = typed.where(k == 1).withColumn("p_partkey", F.lit(None).cast("bigint"))
+    for load_ts, rows in ((T_PREV, prev), (T_NEXT, typed.unionByName(keyless))):
+        landing.write_landing(rows, layout.landing_dir(spec), F.lit(load_ts).cast("timestamp").cast("date"))
+        runner.run(spark, layout, [spec], load_ts)
+    return spark.table(layout.gold(spec))
+
+
+@workload("gold_fact_contents", f"""
+WITH src AS (SELECT event_id, ts, CASE WHEN event_id % 50 = 0 THEN NULL ELSE user_id END AS user_id,
+                    {_clean('event_type')} AS event_type, value, {_clean('props')} AS props FROM events),
+last AS (SELECT * FROM src WHERE user_id IS NOT NULL
+         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY {_EVENTS_ORDER}) = 1),
+dim AS (SELECT row_number() OVER (ORDER BY user_id) AS user_sk, user_id, ts AS start FROM last)
+SELECT f.event_id, f.user_id, dim.user_sk, f.event_type, f.value, CAST(f.ts AS DATE) AS event_date,
+       TIMESTAMP '{T_NEXT}' AS gold_load_ts, CAST(1 AS BIGINT) AS least_sk, (SELECT count(*) FROM events) AS greatest_sk,
+       (SELECT count(*) FROM events) AS distinct_sk
+FROM src f LEFT JOIN dim ON f.user_id = dim.user_id AND CAST(f.ts AS DATE) >= dim.start
+""")
+def gold_fact_contents(spark, sf):
+    """Facts as a load left them: a NULL key is kept without a version, fact keys are dense."""
+    layout, (user, event) = _layout(spark, "facts"), event_entities()
+    event = replace(event, keys="event_id, ")
+    runner.declare(spark, layout, [user, event])
+    ev = table(spark, sf, "events").withColumn("event_date", F.to_date("ts")).withColumn(
+        "user_id", F.when(F.col("event_id") % 50 != 0, F.col("user_id")))
+    landing.write_landing(ev, layout.landing_dir(event), "event_date")
+    runner.run(spark, layout, [user, event], T_NEXT)
+    facts = spark.table(layout.gold(event))
+    keys = facts.agg(F.min("event_sk").alias("least_sk"), F.max("event_sk").alias("greatest_sk"),
+                     F.count_distinct("event_sk").alias("distinct_sk"))
+    return facts.crossJoin(keys).select("event_id", "user_id", "user_sk", "event_type", "value", "event_date", "gold_load_ts",
+                                        "least_sk", "greatest_sk", "distinct_sk")
