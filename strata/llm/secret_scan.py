@@ -11,8 +11,8 @@ kind of character that its class needs.  Places that match the allow list
 before the candidates are looked for, so what stands beside them in the same
 run is judged all the same; base spans are never suppressed.
 
-Matches come with their places by splitting a text at the pattern: the pieces
-between the matches give the starts.  Everything is evaluated row by row, in
+Matches come with their places from ``places``, in time that grows with their
+number.  Everything is evaluated row by row, in
 the JVM; nothing is shuffled.
 
 Defined results: a null text is empty and has no span; places are code points,
@@ -25,6 +25,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from strata.llm.places import matches
+
 #: The base patterns with the least length of the group that is judged.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ASSIGN_LEAST = 12
@@ -65,18 +67,11 @@ ALLOW = (
 
 def _runs(text: Column, pattern: str, group: int = 0) -> Column:
     """Non-overlapping matches from the left: array of (start, word, judged group)."""
-    words = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    judged = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else words
-    rows = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), words.alias("word"), judged.alias("judged"))
-    none = F.array().cast("array<struct<start:int,word:string,judged:string>>")
-    at = F.aggregate(
-        F.slice(rows, F.lit(1), F.size(words)), F.struct(F.lit(0).alias("end"), none.alias("found")),
-        lambda state, row: F.struct(
-            (state["end"] + F.length(row["gap"]) + F.length(row["word"])).alias("end"),
-            F.concat(state["found"], F.array(F.struct((state["end"] + F.length(row["gap"])).alias("start"),
-                                                      row["word"].alias("word"), row["judged"].alias("judged")))).alias("found")),
-        lambda state: state["found"])
-    return F.when(F.size(words) > 0, at).otherwise(none)
+    found = matches(text, pattern)
+    if not group:
+        return F.transform(found, lambda m: F.struct(m["start"].alias("start"), m["word"].alias("word"), m["word"].alias("judged")))
+    return F.zip_with(found, F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), lambda m, judged: F.struct(
+        m["start"].alias("start"), m["word"].alias("word"), judged.alias("judged")))
 
 
 def _marked(text: Column, kind: str, order: int, runs: Column) -> Column:
@@ -94,8 +89,12 @@ def dense_windows(word: Column, cls: CharClass, window: int = WINDOW) -> Column:
     """Merged spans (start, end) of the windows of a run whose entropy reaches the class's limit."""
     chars = F.split(word, "")
     moves = F.arrays_zip(chars.alias("enters"), F.concat(F.array_repeat(F.lit(None).cast("string"), window), chars).alias("leaves"))
+    none = F.array().cast("array<struct<start:int,end:int>>")
     empty = F.struct(F.lit(0).alias("at"), F.array_repeat(F.lit(0), len(cls.alphabet)).alias("counts"),
-                     F.lit(0.0).alias("sum"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
+                     F.lit(0.0).alias("sum"), F.lit(-1).alias("start"), F.lit(-1).alias("end"), none.alias("spans"))
+    # the span that grows is two numbers: an array is copied when a span ends, not at every step
+    ended = lambda state: F.when(state["start"] >= 0, F.concat(state["spans"], F.array(F.struct(
+        state["start"].alias("start"), state["end"].alias("end"))))).otherwise(state["spans"])
 
     def move(state: Column, step: Column) -> Column:
         enters, leaves = F.instr(F.lit(cls.alphabet), step["enters"]), F.instr(F.lit(cls.alphabet), step["leaves"])
@@ -108,15 +107,13 @@ def dense_windows(word: Column, cls: CharClass, window: int = WINDOW) -> Column:
             state["counts"], lambda n, k: n + (k == enters - 1).cast("int") - F.coalesce((k == leaves - 1).cast("int"), F.lit(0))))
         at = state["at"] + 1
         dense = (at >= window) & (F.log2(F.lit(float(window))) - total / window >= cls.bits)
-        last = F.element_at(state["spans"], -1)
-        touches = F.coalesce(F.size(state["spans"]) > 0, F.lit(False)) & (last["end"] >= at - window)
-        grown = F.concat(F.slice(state["spans"], F.lit(1), F.size(state["spans"]) - 1),
-                         F.array(F.struct(last["start"].alias("start"), at.alias("end"))))
-        added = F.concat(state["spans"], F.array(F.struct((at - window).alias("start"), at.alias("end"))))
-        spans = F.when(~dense, state["spans"]).when(touches, grown).otherwise(added)
-        return F.struct(at.alias("at"), counts.alias("counts"), total.alias("sum"), spans.alias("spans"))
+        begins = dense & ((state["start"] < 0) | (state["end"] < at - window))
+        return F.struct(at.alias("at"), counts.alias("counts"), total.alias("sum"),
+                        F.when(begins, at - window).otherwise(state["start"]).alias("start"),
+                        F.when(dense, at).otherwise(state["end"]).alias("end"),
+                        F.when(begins, ended(state)).otherwise(state["spans"]).alias("spans"))
     steps = F.slice(moves, F.lit(1), F.size(chars))
-    return F.aggregate(steps, empty, move, lambda state: state["spans"])
+    return F.aggregate(steps, empty, move, ended)
 
 
 def _blanked(text: Column, allow: tuple[str, ...]) -> Column:
