@@ -96,7 +96,7 @@ def resolve(facts: DataFrame, dim: DataFrame, key: str, event_col: str,
             strategy: str = "auto", broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
             hot_factor: float = 4.0, partitions: int | None = None, salt_buckets: int | None = None,
             dim_cols: list[str] | dict[str, str] | None = None,
-            salt_cols: list[str] | None = None) -> DataFrame:
+            salt_cols: list[str] | None = None, key_rows: DataFrame | None = None) -> DataFrame:
     """Facts with ``sk`` of the dimension version valid at ``event_col``.
 
     ``dim_cols`` brings further version attributes along (a dict renames
@@ -104,7 +104,9 @@ def resolve(facts: DataFrame, dim: DataFrame, key: str, event_col: str,
     fact column) feed the hot-key salt; the fact's grain key is enough.
     ``partitions`` is the number of partitions that hot keys are measured by
     (default: the session's shuffle partitions); ``salt_buckets`` fixes the
-    bucket count of every hot key.
+    bucket count of every hot key.  ``key_rows`` (default: the facts) is what hot
+    keys are counted in: give the bare table if the facts are the result of more
+    work on it.
 
     ``strategy``: ``auto`` (measure, then broadcast or asof), ``broadcast`` (an
     error beyond ``broadcast_limit``), ``shuffle`` (plain shuffle join), ``salted``
@@ -138,7 +140,7 @@ def resolve(facts: DataFrame, dim: DataFrame, key: str, event_col: str,
     elif strategy == "shuffle":
         j = facts.join(d.hint("shuffle_hash"), match & in_range, "left")
     elif strategy in ("salted", "asof"):
-        hot = hot_keys(facts, key, hot_factor, partitions)
+        hot = hot_keys(facts if key_rows is None else key_rows, key, hot_factor, partitions)
         b = F.broadcast(hot.withColumn("_h_n", F.lit(salt_buckets).cast("int")) if salt_buckets else hot)
         salted_by = [F.col(c) for c in (salt_cols or cols)]
         # a NULL key meets no version, but its rows are spread like those of any other frequent key
