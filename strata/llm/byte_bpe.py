@@ -37,6 +37,8 @@ import regex
 import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from strata.llm.text import give_back
+
 CHUNK, OVERLAP = 20_000, 500
 _CACHE = 50_000  # pre-tokens whose ids a worker remembers; on reaching it the memory is emptied
 _INNER = "strata_bpe_"
@@ -90,6 +92,7 @@ class Codec:
         """Free the encoder and what it remembers: a Python worker lives on and serves other work."""
         for made in ("bpe", "split", "known", "raw"):
             self.__dict__.pop(made, None)
+        give_back()
 
     def decode(self, ids: bytes) -> bytes:
         if not hasattr(self, "raw"):  # a worker that only decodes makes no encoder

@@ -31,6 +31,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from strata.llm.text import give_back
+
 SIZE, MAX_LANGUAGES = 300, 1000
 UNKNOWN = "und"
 _BLANK, _BITS = 32, 21  # n-grams are packed as three code points of 21 bits
@@ -102,6 +104,8 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", size: int = S
                             yield from frames()
                             held, size = {}, 0
         yield from frames()
+        held.clear()
+        give_back()
 
     known = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).dropna()
     totals = (known.mapInPandas(count, "lang string, ngram bigint, n bigint")
@@ -153,6 +157,8 @@ def predictor(spark: SparkSession, profiles: DataFrame, size: int = SIZE):
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             yield pd.DataFrame([model.value.predict(t) for t in texts], columns=["lang", "score"])
+            del texts
+        give_back()
     return predict
 
 
@@ -209,6 +215,8 @@ def limits(docs: DataFrame, profiles: DataFrame, text: str = "text", lang: str =
     def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for texts, names in batches:
             yield pd.Series([model.value.score(t, n) for t, n in zip(texts, names)], dtype="float64")
+            del texts, names
+        give_back()
 
     steps = (docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).dropna()
              .select("lang", length_class(F.col("text")).alias("length"), score("text", "lang").alias("score"))

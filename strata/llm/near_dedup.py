@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from strata.llm.components import components
 from strata.llm.store import saved, spare_names
-from strata.llm.text import space_words, window_hashes, word_hashes
+from strata.llm.text import give_back, space_words, window_hashes, word_hashes
 
 K, MISS = 64, 1e-9
 
@@ -85,7 +85,10 @@ def _signatures(docs: DataFrame, n: int, k: int) -> DataFrame:
             for text in texts:
                 own = shingles(text, n)
                 rows.append((len(own), xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None, own[:k]))
+            del texts
             yield pd.DataFrame(rows, columns=["n", "twin", "sketch"])
+            del rows
+        give_back()
     return docs.select("doc_id", sign("text").alias("s")).select("doc_id", F.col("s.n").alias("n_shingles"), "s.twin",
                                                                   "s.sketch")
 
@@ -221,6 +224,8 @@ def _full_sets(docs: DataFrame, n: int) -> DataFrame:
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([shingles(t, n) for t in texts], dtype=object)
+            del texts
+        give_back()
     sets = docs.select("id", cut("text").alias("set")).select("id", "set", F.size("set").cast("bigint").alias("size"))
     return sets.select(F.explode("set").alias("value"), "id", "size")
 

@@ -7,7 +7,10 @@ splitting characters give the same words.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -71,3 +74,15 @@ def covered(starts: np.ndarray, n: int, length: int) -> np.ndarray:
     np.add.at(step, starts, 1)
     np.add.at(step, starts + n, -1)
     return np.cumsum(step[:-1]) > 0
+
+
+def give_back() -> None:
+    """Return freed memory to the system, at the end of a task.
+
+    Python workers are used again by later stages, and they share one limit with
+    the executor's JVM: what a task has freed would else stay with its worker.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim is not None:
+        trim(0)
