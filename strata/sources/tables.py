@@ -33,8 +33,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import CharType, DataType, DecimalType, StructField, StructType, VarcharType
 
+from strata.session import written
+
 ROOT_PROPERTY = "strata.root"
 ACCEPTED = "_ACCEPTED"
+#: In a state that replaced a whole history: the closed versions, to which later loads add.
+HISTORY = "history"
 
 
 def _q(name: str) -> str:
@@ -72,8 +76,8 @@ def _fs(spark: SparkSession, path: str):
     return jpath, jpath.getFileSystem(sc._jsc.hadoopConfiguration())
 
 
-def latest_version(spark: SparkSession, root: str) -> str | None:
-    """Newest accepted state directory under ``root`` (one listing call)."""
+def latest_version(spark: SparkSession, root: str, holding: str = "") -> str | None:
+    """Newest accepted state directory under ``root`` (one listing call), that has the folder ``holding``."""
     jpath, fs = _fs(spark, root)
     if not fs.exists(jpath):
         return None
@@ -81,7 +85,8 @@ def latest_version(spark: SparkSession, root: str) -> str | None:
     for st in fs.listStatus(jpath):
         p = st.getPath()
         if st.isDirectory() and p.getName().startswith("v-"):
-            if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, ACCEPTED)):
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+            if fs.exists(path(p, ACCEPTED)) and (not holding or fs.exists(path(p, holding))):
                 done.append(p.toString())
     return max(done, key=lambda x: x.rsplit("/", 1)[1]) if done else None
 
@@ -245,15 +250,27 @@ def replace(spark: SparkSession, name: str, df: DataFrame, observe=None, helpers
         obs = Observation(f"replace_{uuid.uuid4().hex[:8]}")
         df = df.observe(obs, *observe)
     schema = StructType([*schema.fields, *new])
-    target = _new_version(_root(spark, name))
-    align(df, schema).write.mode("errorifexists").parquet(target)
+    target, flag = _new_version(_root(spark, name)), history_flag(spark, name)
+    state = align(df, schema)
+    if flag is None:
+        state.write.mode("errorifexists").parquet(target)
+        stored = spark.read.schema(schema).parquet(target)
+    else:  # both parts anew: what was closed before is no longer shown
+        state = written(state, "history")
+        is_on, bare = F.coalesce(F.col(flag), F.lit(False)), [f.name for f in schema.fields if f.name != flag]
+        for part, rows in (("active", state.where(is_on)), (HISTORY, state.where(~is_on))):
+            rows.select(*bare).write.parquet(f"{target}/{part}")
+        stored = state
     if check is not None:
-        check(spark.read.schema(schema).parquet(target))
+        check(stored)
     path, fs = _fs(spark, f"{target}/{ACCEPTED}")
     fs.create(path).close()
     if new:
         spark.sql(f"ALTER TABLE {_q(name)} ADD COLUMNS ({_ddl(new)})")
-    spark.sql(f"ALTER TABLE {_q(name)} SET LOCATION {_text(target)}")
+    if flag is None:
+        spark.sql(f"ALTER TABLE {_q(name)} SET LOCATION {_text(target)}")
+    else:
+        settle(spark, name, flag)
     spark.catalog.refreshTable(name)
     if obs is not None:
         metrics = dict(obs.get)
@@ -273,6 +290,12 @@ def declare_history(spark: SparkSession, name: str, schema: StructType, root: st
     settle(spark, name, flag)
 
 
+def history_flag(spark: SparkSession, name: str) -> str | None:
+    """The flag that a table of active and closed versions is partitioned by; None for any other table."""
+    parts = [c for c in spark.catalog.listColumns(name) if c.isPartition]
+    return parts[0].name if len(parts) == 1 and parts[0].dataType == "boolean" else None
+
+
 def part_location(spark: SparkSession, name: str, flag: str, value: bool) -> str | None:
     """Where the active or the closed versions of a table are; None before the first load."""
     spec = f"`{flag}` = {str(value).lower()}"
@@ -294,7 +317,8 @@ def settle(spark: SparkSession, name: str, flag: str) -> None:
     state = latest_version(spark, root)
     if state is None:
         return
-    active, closed = f"{state}/active", f"{root.rstrip('/')}/closed"
+    whole = latest_version(spark, root, HISTORY)
+    active, closed = f"{state}/active", f"{whole}/{HISTORY}" if whole else f"{root.rstrip('/')}/closed"
     if part_location(spark, name, flag, True) is None:
         spark.sql(f"ALTER TABLE {_q(name)} ADD PARTITION (`{flag}` = true) LOCATION {_text(active)}")
     else:
@@ -309,8 +333,11 @@ def settle(spark: SparkSession, name: str, flag: str) -> None:
             # a unique name: the state's, so that a repeated move finds nothing left to do
             if not fs.rename(st.getPath(), path(jclosed, f"part-{state.rsplit('/', 1)[1]}-{file}")):
                 raise OSError(f"{st.getPath().toString()} could not be moved to {closed}")
-    if part_location(spark, name, flag, False) is None:
+    now = part_location(spark, name, flag, False)
+    if now is None:
         spark.sql(f"ALTER TABLE {_q(name)} ADD PARTITION (`{flag}` = false) LOCATION {_text(closed)}")
+    elif not now.endswith(closed.split(":", 1)[-1]):
+        spark.sql(f"ALTER TABLE {_q(name)} PARTITION (`{flag}` = false) SET LOCATION {_text(closed)}")
     spark.catalog.refreshTable(name)
 
 

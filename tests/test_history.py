@@ -128,3 +128,20 @@ def test_chained_loads_neither_multiply_partitions_nor_estimates(spark):
     assert len(str(dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 40
     kept = written(dim, "state")
     assert int(str(kept._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 1_000_000
+
+
+def test_a_whole_history_can_be_replaced_and_is_found_again(spark, layout, user):
+    gold = layout.gold(user)
+    for day, changed in ((8, ()), (9, {1})):
+        silver(spark, layout, user, range(4), changed=changed, day=day)
+        dimensions.load(spark, user, layout, f"2024-07-{day:02d} 12:00:00")
+    whole = spark.table(gold)
+    tables.replace(spark, gold, whole.where(F.col("user_id") != 2))
+    assert (spark.table(gold).count(), spark.table(gold).where(ACTIVE).count()) == (4, 3)
+    silver(spark, layout, user, range(4), changed={1, 3}, day=10)
+    out = dimensions.load(spark, user, layout, "2024-07-10 12:00:00")
+    assert (out["inserted"], out["updated"], out["rows"], out["active"]) == (1, 1, 6, 4)
+    rows = sorted(map(str, spark.table(gold).collect()))
+    spark.sql(f"DROP TABLE {gold}")
+    runner.declare(spark, layout, event_entities())
+    assert sorted(map(str, spark.table(gold).collect())) == rows and len(rows) == 6
