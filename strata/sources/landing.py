@@ -87,9 +87,11 @@ def delivered_files(spark: SparkSession, root: str, dates: Sequence[str], date_c
     if not dates:
         return spark.createDataFrame([], schema)
     paths = [f"{root.rstrip('/')}/{partition}={d}" for d in dates]
-    files = spark.read.format("binaryFile").option("basePath", root).option("pathGlobFilter", "*.parquet").load(paths)
-    return files.select(F.col(partition).cast("date").alias(date_col), "path", F.col("length").alias("size"),
-                        F.col("modificationTime").alias("modified"))
+    # the date is taken from the path: a folder without a file gives no partition column
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.parquet").load(paths))
+    date = F.regexp_extract("path", f"/{partition}=([0-9-]+)/", 1).cast("date")
+    return files.select(date.alias(date_col), "path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
 
 
 def write_landing(df: DataFrame, root: str, date_col: Column | str, partition: str = PARTITION,

@@ -104,6 +104,11 @@ def test_added_changed_and_removed_files_are_listed_and_reloaded(spark, layout,
     assert spark.table(layout.bronze(user)).count() == 4
     with pytest.raises(ValueError, match="late"):
         bronze.load(spark, user, layout, late="maybe")
+    # a date whose files are all gone is late as well
+    jpath, fs = tables._fs(spark, f"{layout.landing_dir(user)}/ingest_date=2024-07-09")
+    for st in fs.listStatus(jpath):
+        fs.delete(st.getPath(), False)
+    assert {(str(r[0]), r.change) for r in bronze.late_files(spark, user, layout).collect()} == {("2024-07-09", "removed")}
 
 
 # ------------------------------------------------------------------- outcomes
