@@ -6,9 +6,13 @@ holds.  A document's windows are hashed the same way, looked up, and each hit
 is compared word by word before it counts, so a hash collision cannot mark a
 clean document.  One pass over the documents, no shuffle.
 
-The benchmark is broadcast in parts of at most ``part_bytes`` of text.  A
-usual benchmark is one part; a larger one takes one pass over the documents
-for each part, with the hits of earlier passes kept in a written table.
+The benchmark is broadcast in parts of about ``part_windows`` windows.  Items
+are first cut into units of at most ``UNIT_WINDOWS`` windows, equal units are
+kept once with the ids of all their items, and units are dealt to parts by
+hash: neither a long item nor many copies of one make a part larger (the ids
+of a unit are split beyond ``UNIT_ITEMS``).  A usual benchmark is one part; a
+larger one takes one pass over the documents for each part, with the hits of
+earlier passes kept in a written table.
 
 Defined results: a null or wordless text has no words and no hits; an item
 without words has no window; an item with a null id marks words but is not
@@ -25,58 +29,88 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from strata.llm.store import saved
 from strata.llm.text import alnum_spans, alnum_words, combine, covered
 from strata.session import scratch_root
 
-PART_BYTES = 32 << 20
+PART_WINDOWS, UNIT_WINDOWS, UNIT_ITEMS = 1 << 20, 1 << 12, 1 << 16
 HITS = "struct<n_words:bigint,hits:array<struct<first:int,last:int>>,items:array<string>>"
 
 
+def units(benchmark: DataFrame, n: int, unit_windows: int = UNIT_WINDOWS, unit_items: int = UNIT_ITEMS) -> DataFrame:
+    """The distinct pieces of all items: words (blank between), windows, items (ids, a bounded share of them a row)."""
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for item, text in zip(batch["item"], batch["text"]):
+                words = alnum_words(text)
+                for at in range(0, max(1, len(words) - n + 1) if words else 0, unit_windows):
+                    piece = words[at:at + unit_windows + n - 1]
+                    rows.append((item, b" ".join(piece).decode(), max(1, len(piece) - n + 1)))
+            yield pd.DataFrame(rows, columns=["item", "words", "windows"])
+
+    pieces = (benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").alias("text"))
+              .mapInPandas(cut, "item string, words string, windows bigint").distinct())
+    most = pieces.groupBy("words").agg(F.count("item").alias("n")).agg(F.max("n")).first()[0] or 0
+    share = F.pmod(F.xxhash64("item"), F.lit(max(1, -(-most // unit_items))))
+    return (pieces.groupBy("words", share.alias("share"))
+            .agg(F.max("windows").alias("windows"), F.collect_set("item").alias("items")))
+
+
 class Windows:
-    """The windows of some benchmark items, ready to be looked up."""
+    """The windows of some units, ready to be looked up: sorted hashes, where each stands, and the units it stands in."""
 
-    def __init__(self, items: list[tuple[str | None, str | None]], n: int):
+    def __init__(self, pieces: list[tuple[str, list[str]]], n: int):
         self.vocabulary: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set[str]] = {}
-        for item, text in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in alnum_words(text)]
-            size = min(n, len(ids))
-            for at in range(len(ids) - size + 1 if ids else 0):
-                found = owners.setdefault(tuple(ids[at:at + size]), set())
-                if item is not None:
-                    found.add(item)
+        number = lambda w: self.vocabulary.setdefault(w, len(self.vocabulary) + 1)
+        texts = [np.fromiter(map(number, words.encode().split()), np.uint32) for words, _ in pieces]
+        self.items = [items for _, items in pieces]
+        self.tokens = np.concatenate([np.zeros(0, np.uint32), *texts])
+        lengths = np.array([len(t) for t in texts], np.int64)
+        begin = np.cumsum(lengths) - lengths
         self.by_size = {}
-        for size in sorted({len(w) for w in owners}):
-            words = [w for w in owners if len(w) == size]
-            rows = np.array(words, np.uint64)
+        for size in map(int, np.unique(np.minimum(lengths, n))):
+            of = np.flatnonzero(np.minimum(lengths, n) == size)
+            counts = lengths[of] - size + 1
+            inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            starts, owners = np.repeat(begin[of], counts) + inside, np.repeat(of, counts).astype(np.int32)
             seed = 0
             while True:  # another seed if two windows share a hash
-                hashes = combine(rows.T, len(rows), seed)
-                if len(np.unique(hashes)) == len(hashes):
+                hashes = combine((self.tokens[starts + k] for k in range(size)), len(starts), seed)
+                order = np.argsort(hashes, kind="stable")
+                hashes, at = hashes[order], starts[order]
+                new = np.concatenate(([True], hashes[1:] != hashes[:-1]))
+                again = np.flatnonzero(~new)
+                if all((self.tokens[at[again] + k] == self.tokens[at[again - 1] + k]).all() for k in range(size)):
                     break
                 seed += 1
-            order = np.argsort(hashes)
-            self.by_size[size] = (seed, hashes[order], rows[order], [sorted(owners[words[k]]) for k in order])
+            bounds = np.append(np.flatnonzero(new), len(new))
+            self.by_size[size] = (seed, hashes[new], at[new], bounds, owners[order])
 
     def find(self, words: list[bytes]) -> tuple[np.ndarray, set[str]]:
         """Which words are inside an occurrence, and the items that occur."""
         get = self.vocabulary.get
-        ids = np.fromiter((get(w, 0) for w in words), np.uint64, len(words))
+        ids = np.fromiter((get(w, 0) for w in words), np.uint32, len(words))
         hit, items = np.zeros(len(ids), bool), set()
         known = np.concatenate(([0], np.cumsum(ids > 0)))
-        for size, (seed, hashes, rows, owners) in self.by_size.items():
+        for size, (seed, hashes, starts, bounds, owners) in self.by_size.items():
             if len(ids) < size:
                 continue
             full = np.flatnonzero(known[size:] - known[:-size] == size)
             if not len(full):
                 continue
-            runs = np.lib.stride_tricks.sliding_window_view(ids, size)[full]
-            at = np.minimum(np.searchsorted(hashes, combine(runs.T, len(runs), seed)), len(hashes) - 1)
-            same = (rows[at] == runs).all(axis=1)
+            own = combine((ids[full + k] for k in range(size)), len(full), seed)
+            at = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
+            like = np.flatnonzero(hashes[at] == own)
+            full, at = full[like], at[like]
+            same = np.ones(len(full), bool)
+            for k in range(size):
+                same &= self.tokens[starts[at] + k] == ids[full + k]
             if same.any():
                 hit |= covered(full[same], size, len(ids))
-                for k in np.unique(at[same]):
-                    items.update(owners[k])
+                within = [owners[bounds[k]:bounds[k + 1]] for k in np.unique(at[same])]
+                for unit in np.unique(np.concatenate(within)):
+                    items.update(self.items[unit])
         return hit, items
 
 
@@ -85,8 +119,8 @@ def _spans(hit: np.ndarray) -> list[dict]:
     return [{"first": int(a), "last": int(b) - 1} for a, b in zip(edges[0::2], edges[1::2])]
 
 
-def _pass(docs: DataFrame, items: list, n: int, earlier: str | None, out: str, text: str) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(Windows(items, n))
+def _pass(docs: DataFrame, pieces: list, n: int, earlier: str | None, out: str, text: str) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(Windows(pieces, n))
 
     def look(texts: pd.Series, before: pd.DataFrame | None) -> pd.DataFrame:
         rows = []
@@ -114,17 +148,17 @@ def _pass(docs: DataFrame, items: list, n: int, earlier: str | None, out: str, t
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str = "text", out: str = "found",
-              part_bytes: int = PART_BYTES) -> DataFrame:
+              part_windows: int = PART_WINDOWS) -> DataFrame:
     """``docs`` with a struct column ``out``: n_words, hits (word ranges), items (ids of occurring items)."""
     if out in docs.columns:
         raise ValueError(f"the documents already have a column {out}")
-    size = benchmark.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    parts = max(1, -(-size // part_bytes))
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").alias("words"),
-                             F.pmod(F.xxhash64("text"), F.lit(parts)).alias("part"))
+    pieces = saved(units(benchmark, n), "benchmark")
+    size = pieces.agg(F.coalesce(F.sum(F.col("windows") + F.size("items")), F.lit(0))).first()[0]
+    parts = max(1, -(-size // part_windows))
+    part_of = F.pmod(F.xxhash64("words", "share"), F.lit(parts))
     state, earlier = docs, None
     for part in range(parts):
-        rows = [(r.item, r.words) for r in items.where(F.col("part") == part).select("item", "words").collect()]
+        rows = [(r.words, r["items"]) for r in pieces.where(part_of == part).select("words", "items").toLocalIterator()]
         into = out if part == parts - 1 else f"{out}_{part}"
         state = _pass(state, rows, n, earlier, into, text)
         state = state.drop(earlier) if earlier else state
@@ -136,9 +170,9 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str = "t
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_id",
-                  part_bytes: int = PART_BYTES) -> DataFrame:
+                  part_windows: int = PART_WINDOWS) -> DataFrame:
     """Per document: words, hit words, the occurring items and their digest, the hit word ranges."""
-    found = find_hits(docs.select(id_col, "text"), benchmark, n, part_bytes=part_bytes)
+    found = find_hits(docs.select(id_col, "text"), benchmark, n, part_windows=part_windows)
     n_hit = F.aggregate("found.hits", F.lit(0).cast("bigint"),
                         lambda total, span: total + span["last"] - span["first"] + 1)
     return found.select(
@@ -149,12 +183,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: st
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, remove: str = "documents",
-                  part_bytes: int = PART_BYTES) -> DataFrame:
+                  part_windows: int = PART_WINDOWS) -> DataFrame:
     """Remove contaminated documents, or (``remove="spans"``) the hit passages out of their texts."""
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
     mark = "strata_found_hits"
-    found = find_hits(docs, benchmark, n, out=mark, part_bytes=part_bytes)
+    found = find_hits(docs, benchmark, n, out=mark, part_windows=part_windows)
     if remove == "documents":
         return found.where(F.size(f"{mark}.hits") == 0).select(*docs.columns)
 

@@ -1,9 +1,10 @@
 """Quality rules on repetition: how much of a text lies in n-grams and lines that repeat.
 
-For every n-gram length a rolling hash of the words is computed in numpy; the
-characters of words inside an n-gram that occurs twice or more in the text
-(its first place included) are counted once, and set against all word
-characters.  Short n-grams (2 to 4) are judged by their single most frequent
+One rolling hash runs over the words in numpy: the hashes of all n-grams come
+from those of n - 1 words in one step, and only n-grams whose two parts of
+n - 1 words both repeat are sorted.  The characters of words inside an n-gram
+that occurs twice or more in the text (its first place included) are counted
+once, and set against all word characters.  Short n-grams (2 to 4) are judged by their single most frequent
 n-gram, long ones (5 to 10) by all repeated ones together, lines by the
 characters of those equal to an earlier line.  The work is one pass over the
 rows; nothing is shuffled.
@@ -21,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from strata.llm.text import covered, raw, space_words, window_hashes
+from strata.llm.text import covered, mix, raw, space_words
 
 #: Most per cent of word characters in the most frequent n-gram, by n (fixed values of the published rules).
 TOP_NGRAM = {2: 20, 3: 18, 4: 16}
@@ -30,6 +31,7 @@ DUP_NGRAM = {5: 15, 6: 14, 7: 13, 8: 12, 9: 11, 10: 10}
 #: Most per cent of word characters in lines equal to an earlier one, and of such lines.
 DUP_LINE_CHARS, DUP_LINES = 20, 30
 MIN_WORDS, MAX_REPEATED = 50, 50
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 _SYMBOLS = b"#*$%&|<>"
 _NOT_SYMBOLS = bytes(c for c in range(256) if c not in _SYMBOLS)
 SCHEMA = ("struct<n_words:bigint,word_chars:bigint,n_symbols:bigint,n_dup_lines:bigint,n_repeat_words:bigint,"
@@ -40,13 +42,48 @@ def _chars(word: bytes) -> int:
     return len(word) if word.isascii() else len(word.decode("utf-8", "surrogatepass"))
 
 
-def _repeated(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start of every window that occurs twice or more; windows of the most frequent one (first on ties)."""
+def _repeated(keys: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of windows at ``starts``: those that occur twice or more, and those equal to the most frequent (first on ties)."""
+    if not len(keys):
+        return starts, starts
     _, first, which, counts = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-    many = counts[which] > 1
-    top = np.flatnonzero(counts == counts.max())
-    best = top[first[top].argmin()] if many.any() else -1
-    return np.flatnonzero(many), np.flatnonzero(which == best)
+    most = counts.max()
+    if most == 1:
+        return starts[:0], starts[:0]
+    best = first[counts == most].min()
+    return starts[counts[which] > 1], starts[which == which[best]]
+
+
+def _longer(starts: np.ndarray) -> np.ndarray:
+    """Where a window of one word more can repeat: its first and its last words both repeat."""
+    return starts[:-1][np.diff(starts) == 1]
+
+
+def _repeats(ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For n = 2, 3, ... the starts of repeated windows of n words, and of the most frequent one."""
+    values = mix(ids.astype(np.uint64) + np.uint64(1))
+    rolled, starts = values, np.flatnonzero(np.bincount(ids)[ids] > 1) if len(ids) else ids
+    for n in range(2, max(DUP_NGRAM) + 1):
+        rolled = rolled[:max(0, len(ids) - n + 1)] * _BASE + values[n - 1:]
+        starts = _longer(starts)
+        starts, top = _repeated(rolled[starts], starts)
+        yield starts, top
+
+
+def _repeated_threes(ids: np.ndarray) -> np.ndarray:
+    """Starts of 3-word windows that occur twice or more, by exact keys: a number for each pair, then for pair and word."""
+    if not len(ids):
+        return ids
+    counts = np.bincount(ids)
+    size, starts, number = len(counts), np.flatnonzero(counts[ids] > 1), ids
+    for k in (1, 2):
+        starts = _longer(starts)
+        keys = number[starts] * size + ids[starts + k]
+        _, which, found = np.unique(keys, return_inverse=True, return_counts=True)
+        number = np.zeros(len(ids), np.int64)
+        number[starts] = which
+        starts = starts[found[which] > 1]
+    return starts
 
 
 def measure(text) -> tuple:
@@ -64,28 +101,12 @@ def measure(text) -> tuple:
                 dup_lines += 1
                 dup_chars += sum(map(_chars, content))
             seen.add(line)
-    size, exact = max(1, len(index)), ids
-    for k in (1, 2):  # exact keys of 3-word windows: a number for each pair, then for pair and word
-        pairs = exact[:max(0, len(ids) - k)] * size + ids[k:]
-        exact = np.unique(pairs, return_inverse=True)[1].reshape(-1) if len(pairs) else pairs
-    repeat = covered(_repeated(exact)[0], 3, len(ids)).sum() if len(exact) else 0
+    repeat = covered(_repeated_threes(ids), 3, len(ids)).sum()
     base = (len(words), int(sizes.sum()), len(data.translate(None, _NOT_SYMBOLS)), dup_lines, int(repeat), lines,
             dup_chars)
-    top, dup = [], []
-    for n in TOP_NGRAM:
-        keys = window_hashes(ids, n)
-        at = _repeated(keys)[1] if len(keys) else np.zeros(0, np.int64)
-        top.append(int(sizes[covered(at, n, len(ids))].sum()) if len(at) else 0)
-        if not len(at):  # longer windows cannot repeat either
-            return (*base, top + [0] * (len(TOP_NGRAM) - len(top)), [0] * len(DUP_NGRAM))
-    for n in DUP_NGRAM:
-        keys = window_hashes(ids, n)
-        at = _repeated(keys)[0] if len(keys) else np.zeros(0, np.int64)
-        dup.append(int(sizes[covered(at, n, len(ids))].sum()) if len(at) else 0)
-        if not len(at):
-            dup += [0] * (len(DUP_NGRAM) - len(dup))
-            break
-    return (*base, top, dup)
+    inside = lambda starts, n: int(sizes[covered(starts, n, len(ids))].sum()) if len(starts) else 0
+    found = dict(enumerate(_repeats(ids), start=2))
+    return (*base, [inside(found[n][1], n) for n in TOP_NGRAM], [inside(found[n][0], n) for n in DUP_NGRAM])
 
 
 def _measured(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -70,9 +70,7 @@ def window_hashes(values: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
 
 def covered(starts: np.ndarray, n: int, length: int) -> np.ndarray:
     """Which of ``length`` positions lie in a window of ``n`` that begins at one of ``starts``."""
-    step = np.zeros(length + 1, np.int64)
-    np.add.at(step, starts, 1)
-    np.add.at(step, starts + n, -1)
+    step = np.bincount(starts, minlength=length + 1) - np.bincount(starts + n, minlength=length + 1)
     return np.cumsum(step[:-1]) > 0
 
 

@@ -55,7 +55,7 @@ def test_decontamination(spark, edge, empty):
     assert got[5].n_hit == 1 and got[5].items_sha256 == hashlib.sha256(b"2").hexdigest()
     assert got[6].n_hit == 11 * 2000
     assert all((got[k].n_words, got[k].contaminated) == (0, False) for k in (2, 3, 4, 7))
-    many = decontaminate.contamination(edge, items, part_bytes=40)      # several passes, same result
+    many = decontaminate.contamination(edge, items, part_windows=4)     # several passes, same result
     assert sorted(map(str, many.collect())) == sorted(map(str, out.collect()))
     kept = decontaminate.decontaminate(edge, items)
     assert kept.columns == edge.columns and {r.doc_id for r in kept.collect()} == {2, 3, 4, 7, 8, 9}
