@@ -1,13 +1,16 @@
 """Operators against plain Python that goes over everything, on small random tables."""
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, repetition
+from strata.llm import decontaminate, interpolation, repetition
 from tests.llm.test_llm import WORDS, bench, by_id, docs
 
 
@@ -103,3 +106,89 @@ def test_repetition_against_plain_python(spark):
     for k, w in enumerate(want):
         r = got[k + 1]
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.broken, r.base_failed, r.kept) == w
+
+
+def interpolated_by_hand(tokens, fold, order):
+    """log10 probabilities of token lists, learned from those whose fold is not 2, with fold 3 for EM."""
+    def counted(ids):
+        runs = [Counter() for _ in range(order + 1)]
+        for i in ids:
+            own = ["<s>"] * order + tokens[i]
+            for at in range(order, len(own)):
+                for k in range(1, order + 1):
+                    runs[k][tuple(own[at - k + 1:at + 1])] += 1
+            for k in range(1, order):                                      # a context of nothing but the start
+                runs[k][("<s>",) * k] += 1
+        return runs, sum(len(tokens[i]) for i in ids), len({w for i in ids for w in tokens[i]})
+
+    def estimates(model, own, at):
+        runs, n, v = model
+        contexts = [runs[k - 1][tuple(own[at - k + 1:at])] for k in range(2, order + 1)]
+        parts = [runs[1][(own[at],)] / max(n, 1), 1 / (v + 1)]
+        for k, context in enumerate(contexts, start=2):
+            parts.insert(0, runs[k][tuple(own[at - k + 1:at + 1])] / context if context else None)
+        seen = [(k, math.floor(math.log2(c))) for k, c in enumerate(contexts) if c]
+        return parts, 64 * seen[-1][0] + 1 + seen[-1][1] if seen else 0
+
+    learned = [i for i in range(len(tokens)) if fold[i] != 2]
+    model = counted([i for i in learned if fold[i] != 3])
+    held = [estimates(model, ["<s>"] * order + tokens[i], at + order)
+            for i in learned if fold[i] == 3 for at in range(len(tokens[i]))]
+    even = [1 / (order + 1)] * (order + 1)
+    weights = {b: even for _, b in held}
+    for _ in range(15):
+        new = {}
+        for bucket in weights:
+            sums, of = [0.0] * (order + 1), [p for p, b in held if b == bucket]
+            for parts in of:
+                shares = [w * (p or 0) for w, p in zip(weights[bucket], parts)]
+                sums = [s + x / sum(shares) for s, x in zip(sums, shares)]
+            raised = [max(1e-6, s / len(of)) for s in sums]
+            new[bucket] = [x / sum(raised) for x in raised]
+        moved = max(abs(a - b) for k in new for a, b in zip(new[k], weights[k]))
+        weights = new
+        if moved < 1e-3:
+            break
+    model, out = counted(learned), []
+    for own in tokens:
+        total = 0.0
+        for at in range(len(own)):
+            parts, bucket = estimates(model, ["<s>"] * order + own, at + order)
+            end = 0 if bucket == 0 else (bucket + 63) // 64 * 64
+            top = max((b for b in weights if b <= end), default=-1)
+            mix = weights[top] if 0 <= top < bucket else weights.get(bucket, even)
+            given = [(w, p) for w, p in zip(mix, parts) if p is not None]
+            total += math.log10(sum(w * p for w, p in given) / sum(w for w, _ in given))
+        out.append(total)
+    return out
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_interpolation_scores_against_plain_python(spark, order):
+    rng = np.random.default_rng(21)
+    texts = [" ".join(rng.choice(WORDS[:int(rng.choice([3, 8, 22]))], rng.integers(0, 50))) for _ in range(70)]
+    texts += [None, "Unseen Word here", "alpha Unseen beta"]
+    fold = [zlib.crc32(str(k).encode()) % 7 for k in range(len(texts))]
+    want = interpolated_by_hand([lowered(t).split() + ["</s>"] for t in texts], fold, order)
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    own = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7))
+    got = by_id(interpolation.score(d, own != 2, own == 3, block_bytes=700, order=order))
+    assert len(got) == len(texts)
+    for k, score in enumerate(want):
+        assert got[k].score == pytest.approx(score, rel=1e-9), (k, texts[k])
+
+
+def test_counts_beyond_32_bits_stay_whole():
+    for counts in ([], [0, 255], [256, 0], [70_000, 1], [(1 << 33) + 1, 5, 0], [(1 << 53) + 1]):
+        values = np.array(counts, np.int64)
+        assert interpolation._unpack_counts(interpolation._pack_counts(values)).tolist() == counts
+
+
+def test_totals_beyond_32_bits_stay_whole(spark):
+    pack, counts = interpolation._pack, interpolation._pack_counts
+    steps = pack(np.array([5, 4], np.uint64), "<u8")                       # the hashes 5 and 9
+    big = (1 << 53) + 1
+    rows = [(block, False, 0, 0, steps, counts(np.array([big, 1], np.int64))) for block in (0, 1)]
+    asked = spark.createDataFrame(rows, "block long, held boolean, kind int, bucket int, hashes binary, counts binary")
+    for r in interpolation._answers(asked).where("block >= 0").collect():
+        assert interpolation._unpack_counts(bytes(r["all"])).tolist() == [2 * big, 2]
