@@ -214,3 +214,25 @@ def without(text, hits) -> str | None:
 def digest(ids) -> str:
     """The digest of a set of item ids, as ``contamination`` returns it."""
     return hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
+
+
+def sql(n: int = 10) -> str:
+    """``contamination`` without the word ranges, as DuckDB SQL over ``documents`` and ``benchmark``."""
+    words = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+             r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents),
+items AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, {words} AS w FROM benchmark),
+starts AS (SELECT item, w, least({n}, len(w)) AS size, unnest(range(1, greatest(1, len(w) - {n - 1}) + 1)) AS k
+           FROM items WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item, size, array_to_string(w[k:k + size - 1], ' ') AS run FROM starts),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS k FROM docs, sizes WHERE len(w) >= size),
+found AS (SELECT r, k, size, item
+          FROM (SELECT r, k, size, array_to_string(w[k:k + size - 1], ' ') AS run FROM places) JOIN windows USING (size, run)),
+hit AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(k, k + size)) AS place FROM found) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+          FROM (SELECT DISTINCT r, item FROM found WHERE item IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)"""

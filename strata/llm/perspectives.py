@@ -78,3 +78,26 @@ def rendered(turns: DataFrame) -> DataFrame:
             .withColumn("mask", F.concat(F.repeat(F.lit("0"), F.length("header")),
                                          F.when(trained, F.repeat(F.lit("1"), body))
                                          .otherwise(F.repeat(F.lit("0"), body)))))
+
+
+def sql() -> str:
+    """``rendered`` as DuckDB SQL over ``conversations``."""
+    return f"""
+WITH said AS (SELECT conv_id, turn, coalesce(role, '{UNKNOWN}') AS speaker, coalesce(text, '') AS said
+              FROM conversations WHERE conv_id IS NOT NULL),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, speaker, said) - 1 AS position FROM said),
+people AS (SELECT DISTINCT conv_id, speaker AS perspective FROM said),
+others AS (SELECT conv_id, bool_or(perspective <> '{INSTRUCTION}') AS others FROM people GROUP BY conv_id),
+seen AS (SELECT placed.*, perspective, speaker = perspective AS own,
+                '<|' || CASE WHEN speaker = perspective THEN 'assistant' WHEN speaker = '{INSTRUCTION}' THEN speaker
+                             ELSE 'user name=' || speaker END || '|>' || chr(10) AS header,
+                said || '<|end|>' || chr(10) AS body
+         FROM placed JOIN people USING (conv_id) JOIN others USING (conv_id)
+         WHERE perspective <> '{INSTRUCTION}' OR NOT others),
+ends AS (SELECT *, CAST(sum(length(header) + length(body))
+                        OVER (PARTITION BY conv_id, perspective ORDER BY position) AS BIGINT) AS upto FROM seen)
+SELECT conv_id, perspective, position, turn, header || body AS rendered,
+       repeat('0', length(header)) || repeat(CASE WHEN own THEN '1' ELSE '0' END, length(body)) AS mask,
+       upto - length(header) - length(body) AS "start", upto AS "end",
+       CASE WHEN own THEN upto - length(body) END AS mask_start, CASE WHEN own THEN upto END AS mask_end
+FROM ends"""

@@ -19,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_decontamination(spark, sf_dir):
-    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("hits")
 
 
 def op2_url_filter(spark, sf_dir):
@@ -86,4 +86,5 @@ def op13_centroids(spark, sf_dir):
 SPARK = {f.__name__: f for f in (op1_decontamination, op2_url_filter, op3_lm_score, op4_language_id, op5_perspectives,
                                  op6_byte_bpe, op7_near_dedup, op8_license_scan, op9_secret_scan, op10_repetition,
                                  op11_personal_data, op12_spelling_variants, op13_centroids)}
-SQL: dict[str, str] = {"op13_centroids": centroids.sql()}
+SQL: dict[str, str] = {"op1_decontamination": decontaminate.sql(), "op5_perspectives": perspectives.sql(),
+                       "op13_centroids": centroids.sql()}

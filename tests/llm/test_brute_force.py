@@ -10,8 +10,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, interpolation, repetition
+from strata.llm import decontaminate, interpolation, language_profiles, queries, repetition, url_filter
+from tests.conftest import SF_SMALL
 from tests.llm.test_llm import WORDS, bench, by_id, docs
+from tests.oracle_harness import compare, duck
 
 
 def lowered(text):
@@ -192,3 +194,94 @@ def test_totals_beyond_32_bits_stay_whole(spark):
     asked = spark.createDataFrame(rows, "block long, held boolean, kind int, bucket int, hashes binary, counts binary")
     for r in interpolation._answers(asked).where("block >= 0").collect():
         assert interpolation._unpack_counts(bytes(r["all"])).tolist() == [2 * big, 2]
+
+
+@pytest.mark.parametrize("name", ["op1_decontamination", "op5_perspectives"])
+def test_query_matches_its_sql(spark, name):
+    r = compare(spark, SF_SMALL, name, duck(SF_SMALL))
+    assert r.get("values_match"), r
+
+
+def test_perspectives_sql_on_odd_rows(spark):
+    import duckdb
+    from strata.llm import perspectives
+    rng = np.random.default_rng(2)
+    names = ["system", "ann", "bob", None, "Zoë"]
+    rows = [(int(rng.integers(1, 6)), int(rng.integers(0, 900)), names[int(rng.integers(5))], str(rng.choice(["", "hi", "ä\nb"])))
+            for _ in range(300)]
+    rows += [*rows[:9], (7, None, "ann", None), (7, 1, "ann", "x"), (8, 3, "system", "only"), (None, 1, "ann", "lost")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    con = duckdb.connect()
+    con.register("conversations", turns.toArrow())
+    want = con.execute(perspectives.sql()).fetchall()
+    names = [c[0] for c in con.description]
+    got = [tuple(r) for r in perspectives.rendered(turns).select(*names).collect()]
+    assert Counter(got) == Counter(want)
+
+
+def grams_by_hand(text):
+    """Counts of one to three letters, by a key that orders as the n-grams do."""
+    padded = " " + " ".join("".join(c if c.isalpha() else " " for c in (text or "").lower()).split()) + " "
+    if padded == "  ":
+        return Counter()
+    found = [padded[k:k + n] for n in (1, 2, 3) for k in range(len(padded) - n + 1)]
+    found = [g for g in found if g != " " and (len(g) < 3 or g[1] != " ")]
+    return Counter(sum(ord(c) << 21 * k for k, c in enumerate(g)) for g in found)
+
+
+def test_language_profiles_against_plain_python(spark):
+    taught = queries.table(spark, SF_SMALL, "documents").select("doc_id", "text", "lang").collect()
+    rows = [(r.doc_id, r.text, r.lang) for r in taught] + [(10**9, "Ä ö ß", None), (10**9 + 1, None, "en"), (10**9 + 2, "12 #", "en")]
+    ranked = lambda c: [g for g, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:300]]
+    fold = {k: zlib.crc32(str(k).encode()) % 4 == 2 for k, _, _ in rows}
+    totals = defaultdict(Counter)
+    for k, text, lang in rows:
+        if not fold[k] and lang is not None and text is not None:
+            totals[lang] += grams_by_hand(text)
+    profiles = {lang: {g: at for at, g in enumerate(ranked(c))} for lang, c in sorted(totals.items()) if c}
+    got = by_id(language_profiles.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")))
+    for k, text, _ in rows:
+        own = ranked(grams_by_hand(text))
+        away = {lang: sum(abs(p[g] - at) if g in p else 300 for at, g in enumerate(own)) for lang, p in profiles.items()}
+        best = min(away, key=away.get) if own else "und"
+        assert (got[k].lang_pred, got[k].held_out) == (best, fold[k])
+        assert got[k].score == pytest.approx(1 - away[best] / (300 * len(own)) if own else 0.0)
+
+
+def test_url_filter_against_search(spark):
+    rng = np.random.default_rng(17)
+    hosts = ["a.org", "b.org", "x.example.com", "www.example.com", "q.net", "net", "ok.com", "c.org"]
+    paths = ["/en/1", "/es/2", "/fr/", "/z", "/en"]
+    spots = [(h, p) for h in hosts for p in paths]
+    pages, near = [], defaultdict(set)
+    for k in range(60):
+        here, there = (spots[int(x)] for x in rng.integers(0, len(spots), 2))
+        html = f'<link rel="canonical" href="http://{there[0]}{there[1]}">' if k % 3 else None
+        pages.append((k, f"HTTP://{here[0].upper()}{here[1]}#f", html))
+        if html:
+            near[here].add(there)
+            near[there].add(here)
+
+    def rule(spot):
+        fits = [(len(h + p), h + p, v) for v, h, p in queries.RULES
+                if (spot[0] == h or spot[0].endswith("." + h)) and spot[1].startswith(p)]
+        return max(fits)[1:] if fits else (None, None)
+
+    def verdict(spot):
+        if rule(spot)[1]:
+            return rule(spot)[1]
+        seen, todo = {spot}, [spot]
+        while todo:
+            for other in near[todo.pop()] - seen:
+                seen.add(other)
+                todo.append(other)
+        given = {rule(s)[1] for s in seen}
+        return "block" if "block" in given and "allow" not in given else "allow"
+
+    rules = spark.createDataFrame(queries.RULES, "verdict string, host string, path string")
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r for r in url_filter.judge(table, rules).collect()}
+    assert {r.verdict for r in got.values()} == {"allow", "block"}
+    for k, url, _ in pages:
+        spot = next(s for s in spots if url == f"HTTP://{s[0].upper()}{s[1]}#f")
+        assert (got[k].host, got[k].path, got[k].rule, got[k].verdict) == (*spot, rule(spot)[0], verdict(spot))
