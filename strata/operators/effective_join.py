@@ -24,8 +24,12 @@ bounds the work; the interval is a residual condition.  Strategy:
   match and skip the shuffle.  AQE's skew-join split stays on as a second
   line of defence.
 
-``asof`` splits hot keys in the same way, with the versions repeated in every
-salt bucket.  It gives at most one version: validity must not overlap, as
+``asof`` cuts the rows of a hot key into ranges of time instead: at approximate
+quantiles of all times of the key, so ranges hold about as many rows, and at most
+``MAX_RANGES`` of them.  Every fact and every version is in one range, and each
+range also begins with one row more, the last version of the ranges before it.
+Facts at one and the same time, however many, are dealt by the salt columns over
+the ranges that end there.  It gives at most one version: validity must not overlap, as
 ``checks.history`` asserts for every dimension load.  Versions that end where they
 start are never valid.  ``end=None`` means that a version is valid until the
 next one of its key starts; of versions that start together the one with the
@@ -44,6 +48,8 @@ from strata.session import written
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 #: Versions of one key up to which every fact of the key may be compared with each of them.
 MANY_VERSIONS = 64
+#: Ranges of time that the rows of one hot key are cut into at most.
+MAX_RANGES = 256
 _ROW_OVERHEAD = 32
 # Bytes per value of fixed-width types (Spark's in-memory sizes).
 _WIDTH = {"long": 8, "integer": 4, "short": 2, "byte": 1, "double": 8, "float": 4, "boolean": 1,
@@ -106,7 +112,7 @@ def resolve(facts: DataFrame, dim: DataFrame, key: str, event_col: str,
     (default: the session's shuffle partitions); ``salt_buckets`` fixes the
     bucket count of every hot key.  ``key_rows`` (default: the facts) is what hot
     keys are counted in: give the bare table if the facts are the result of more
-    work on it.
+    work on it (with ``event_col``, or ``asof`` takes the times from the facts).
 
     ``strategy``: ``auto`` (measure, then broadcast or asof), ``broadcast`` (an
     error beyond ``broadcast_limit``), ``shuffle`` (plain shuffle join), ``salted``
@@ -141,7 +147,16 @@ def resolve(facts: DataFrame, dim: DataFrame, key: str, event_col: str,
         j = facts.join(d.hint("shuffle_hash"), match & in_range, "left")
     elif strategy in ("salted", "asof"):
         hot = hot_keys(facts if key_rows is None else key_rows, key, hot_factor, partitions)
-        b = F.broadcast(hot.withColumn("_h_n", F.lit(salt_buckets).cast("int")) if salt_buckets else hot)
+        if salt_buckets:
+            hot = hot.withColumn("_h_n", F.lit(salt_buckets).cast("int"))
+        b = F.broadcast(hot)
+        if strategy == "asof":
+            cuts, ranges = None, hot.agg(F.max("_h_n")).first()[0] or 1
+            if ranges > 1:
+                d = written(d, "versions")
+                seen = key_rows if key_rows is not None and {key, event_col} <= set(key_rows.columns) else facts
+                cuts = _cuts(seen.select(F.col(key).alias("_k"), ev.alias("_t")).union(d.select("_d_key", "_d_start")), hot, ranges)
+            return _carried_forward(facts, d, key, ev, bool(end), cuts, list(salt_cols or cols)).select(*out_cols)
         salted_by = [F.col(c) for c in (salt_cols or cols)]
         # a NULL key meets no version, but its rows are spread like those of any other frequent key
         f2 = (facts.join(b, F.col(key).eqNullSafe(F.col("_h_key")), "left")
@@ -152,32 +167,79 @@ def resolve(facts: DataFrame, dim: DataFrame, key: str, event_col: str,
               .withColumn("_d_salt", F.explode(F.when(F.col("_h_n").isNull(), F.array(F.lit(0)))
                                                .otherwise(F.sequence(F.lit(0), F.col("_h_n") - 1))))
               .drop("_h_key", "_h_n"))
-        if strategy == "asof":
-            return _carried_forward(f2, d2, key, ev, bool(end)).select(*out_cols)
         j = f2.join(d2, match & (F.col("_salt") == F.col("_d_salt")) & in_range, "left")
     else:
         raise ValueError(f"unknown join strategy {strategy!r}")
     return j.select(*out_cols)
 
 
-def _carried_forward(facts: DataFrame, versions: DataFrame, key: str, event, ends: bool) -> DataFrame:
-    """Facts (with ``_salt``) and the version columns ``_d_*`` valid at ``event``: one sort by (key, salt, time).
+def _cuts(times: DataFrame, hot: DataFrame, ranges: int) -> DataFrame:
+    """(_h_key, _h_cuts): the sorted times at which the rows (_k, _t) of each hot key are cut into ``_h_n`` ranges."""
+    n = min(ranges, MAX_RANGES)
+    own = F.least(F.col("_h_n"), F.lit(n))
+    chosen = F.transform(F.sequence(F.lit(1), own - 1), lambda i: F.get("_all", F.floor(i * n / own).cast("int") - 1))
+    found = (times.where("_t IS NOT NULL").join(F.broadcast(hot), F.col("_k") == F.col("_h_key")).groupBy("_h_key", "_h_n")
+             .agg(F.percentile_approx("_t", [i / n for i in range(1, n)], 10_000).alias("_all")))
+    return written(found.select("_h_key", chosen.alias("_h_cuts")), "time-cuts")
 
-    Facts whose key is NULL, and versions that can never be valid, do not enter
-    the sort; the former are added again at the end.
+
+def _passed(cuts, time, at: bool):
+    """How many of the sorted ``cuts`` lie before ``time``, or ``at`` it too: by halving; 0 for a NULL."""
+    def one(n, step):
+        cut = F.get(cuts, n + step - 1)
+        return F.when(cut <= time if at else cut < time, n + step).otherwise(n)
+    return F.aggregate(F.array(*[F.lit(1 << i) for i in reversed(range((MAX_RANGES - 1).bit_length()))]), F.lit(0), one)
+
+
+def _timeline(facts: DataFrame, versions: DataFrame, key: str, event, ends: bool,
+              cuts: DataFrame | None, salt_cols: list[str]) -> DataFrame:
+    """(_k, _s, _t, _side, _v, _f): versions (side 0) and facts (1) by key, range and time.
+
+    With ``cuts``, a version is in the range that its start first fits, and a fact in any
+    range that its time fits: no version that starts later is before it, and all
+    others are in its range or an earlier one, whose last version begins its range.
     """
-    held = [c for c in versions.columns if c not in ("_d_key", "_d_salt")]
+    held = [c for c in versions.columns if c != "_d_key"]
     usable = F.col("_d_key").isNotNull() & F.col("_d_start").isNotNull()
     if ends:
         usable = usable & (F.col("_d_end").isNull() | (F.col("_d_end") > F.col("_d_start")))
+    fact, version = F.struct(*[F.col(c) for c in facts.columns]), F.struct(*held)
+    no_fact = F.lit(None).cast(facts.select(fact.alias("f")).schema[0].dataType).alias("_f")
+    no_version = F.lit(None).cast(versions.select(version.alias("v")).schema[0].dataType).alias("_v")
+    v = versions.where(usable).select(F.col("_d_key").alias("_k"), F.col("_d_start").alias("_t"), version.alias("_v"))
+    f = facts.where(F.col(key).isNotNull()).select(F.col(key).alias("_k"), event.alias("_t"), fact.alias("_f"))
+    if cuts is None:
+        v, f = v.withColumn("_s", F.lit(0)), f.withColumn("_s", F.lit(0))
+    else:
+        cut = lambda rows: rows.join(F.broadcast(cuts), F.col("_k") == F.col("_h_key"), "left")
+        v = cut(v).withColumn("_s", _passed(F.col("_h_cuts"), F.col("_t"), False))
+        first, last = _passed(F.col("_h_cuts"), F.col("_t"), False), _passed(F.col("_h_cuts"), F.col("_t"), True)
+        # a NULL time meets no version in any range
+        last = F.when(F.col("_t").isNull(), F.coalesce(F.size("_h_cuts"), F.lit(0))).otherwise(last)
+        f = cut(f).withColumn("_s", first).withColumn("_s", (F.col("_s") + F.pmod(
+            F.xxhash64(*[F.col("_f")[c] for c in salt_cols]), last - F.col("_s") + 1)).cast("int"))
+        newest = F.max_by(F.struct("_t", "_v"), F.struct("_t", F.col("_v._d_end").isNull(), "_v._d_end", "_v._d_sk"))
+        of_range = v.where("_h_key IS NOT NULL").groupBy("_k", "_s").agg(newest.alias("_last"))
+        earlier = Window.partitionBy("_k").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+        begin = (cuts.select(F.col("_h_key").alias("_k"), F.explode(F.sequence(F.lit(0), F.size("_h_cuts"))).alias("_s"))
+                 .join(of_range, ["_k", "_s"], "left")
+                 .select("_k", "_s", F.last("_last", ignorenulls=True).over(earlier).alias("_last")).where("_last IS NOT NULL"))
+        v = v.select("_k", "_t", "_v", "_s").union(begin.select("_k", "_last._t", "_last._v", "_s"))
+    return (v.select("_k", "_s", "_t", F.lit(0).alias("_side"), "_v", no_fact)
+            .union(f.select("_k", "_s", "_t", F.lit(1), no_version, "_f")))
+
+
+def _carried_forward(facts: DataFrame, versions: DataFrame, key: str, event, ends: bool,
+                     cuts: DataFrame | None, salt_cols: list[str]) -> DataFrame:
+    """Facts and the version columns ``_d_*`` valid at ``event``: one sort by (key, range, time).
+
+    Facts whose key is NULL, and versions that can never be valid, do not enter
+    the sort; the former are added again at the end.
+    """
+    held = [c for c in versions.columns if c != "_d_key"]
     none = [F.lit(None).cast(versions.schema[c].dataType).alias(c) for c in held]
-    fact = F.struct(*[F.col(c) for c in facts.columns])
+    rows = _timeline(facts, versions, key, event, ends, cuts, salt_cols)
     # versions come before facts of the same time; of versions that start together the last to end, then the greatest
-    rows = (versions.where(usable).select(
-        F.col("_d_key").alias("_k"), F.col("_d_salt").alias("_s"), F.col("_d_start").alias("_t"), F.lit(0).alias("_side"),
-        F.struct(*held).alias("_v"), F.lit(None).cast(facts.select(fact.alias("f")).schema[0].dataType).alias("_f"))
-        .union(facts.where(F.col(key).isNotNull()).select(
-            F.col(key), F.col("_salt"), event, F.lit(1), F.lit(None).cast(versions.select(F.struct(*held).alias("v")).schema[0].dataType), fact)))
     along = Window.partitionBy("_k", "_s").orderBy(
         F.col("_t"), "_side", F.col("_v._d_end").asc_nulls_last(), F.col("_v._d_sk")).rowsBetween(Window.unboundedPreceding, 0)
     last = rows.select("_side", "_t", "_f", F.last("_v", ignorenulls=True).over(along).alias("_v")).where("_side = 1")

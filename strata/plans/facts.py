@@ -33,7 +33,7 @@ def load(spark: SparkSession, spec: EntitySpec, dim: EntitySpec, layout: Layout,
     silver = spark.table(layout.silver(spec))
     link = spec.link_key or dim.keys[0]
     out = resolve(number_scan(silver.select(*carried), spec.sk), spark.table(layout.gold(dim)), link, spec.event_date,
-                  sk=dim.sk, dim_key=link, strategy=strategy, salt_cols=list(spec.keys), key_rows=silver.select(link))
+                  sk=dim.sk, dim_key=link, strategy=strategy, salt_cols=list(spec.keys), key_rows=silver.select(link, spec.event_date))
     out = out.withColumn(LOAD_TS, ts_literal(load_ts, spec.ts_type))
     counts: dict = {}
 

@@ -700,7 +700,7 @@ SELECT f.event_id, f.event_type, f.at, v.version_id, v.value AS last_value
 FROM f ASOF LEFT JOIN v ON f.event_type = v.event_type AND f.at >= v.ts
 """)
 def fact_asof_many_versions(spark, sf):
-    """Each event with the newest event of its type half an hour later; every key is hot and split by salt."""
+    """Each event with the newest event of its type half an hour later; every key is hot and cut into ranges of time."""
     facts, versions = _stream(spark, sf)
     return resolve(facts, versions, "event_type", "at", sk="version_id", start="ts", end=None, dim_cols=["last_value"],
                    strategy="asof", hot_factor=1, partitions=_table_rows(spark, sf, "events") // 500 + 1, salt_cols=["event_id"])

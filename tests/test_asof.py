@@ -74,3 +74,30 @@ def test_empty_sides(spark):
     v, f = spark.createDataFrame([], DIM), spark.createDataFrame([("x", at(1)), (None, at(1))], "k string, t timestamp")
     assert [r.sk for r in resolve(f, v, "k", "t", sk="sk", start="s", end="e", strategy="asof").collect()] == [None, None]
     assert resolve(f.limit(0), v, "k", "t", sk="sk", start="s", end="e", strategy="asof").count() == 0
+
+
+@pytest.mark.parametrize("event", ["t", "d"])
+def test_ranges_of_time_equal_the_interval_join(spark, event):
+    """One frequent key: many facts at one time, NULL times, facts before the first version and long after the last."""
+    hours = [None] * 40 + [7] * 300 + [0, 1, 2] * 5 + list(range(300)) + [10**5] * 40
+    facts = spark.createDataFrame([(i, "a" if i % 9 else "b", at(h)) for i, h in enumerate(hours)],
+                                  "id long, k string, t timestamp").withColumn("d", F.to_date("t"))
+    dim = spark.createDataFrame([(h + 1, "a", at(h), at(h + (0 if h % 7 == 0 else 2 if h % 5 else 1))) for h in range(2, 250, 2)]
+                                + [(900, "a", at(260), None), (901, "b", at(5), None)], DIM)
+    plain = resolve(facts, dim, "k", event, sk="sk", start="s", end="e", strategy="shuffle")
+    for how in ({"partitions": 40}, {"partitions": 10**4}, {"salt_buckets": 3}, {"salt_buckets": 1}):
+        got = resolve(facts, dim, "k", event, sk="sk", start="s", end="e", strategy="asof", hot_factor=1, salt_cols=["id"], **how)
+        assert sorted(got.collect(), key=lambda r: r.id) == sorted(plain.collect(), key=lambda r: r.id)
+
+
+def test_versions_of_a_hot_key_are_not_repeated_in_every_range(spark, monkeypatch):
+    n, seen = 2_000, []
+    inner = effective_join._timeline
+    monkeypatch.setattr(effective_join, "_timeline", lambda *a: seen.append(inner(*a)) or seen[-1])
+    v = spark.range(n).select((F.col("id") + 1).alias("sk"), F.lit("x").alias("k"),
+                              (F.lit(T0) + F.make_interval(secs=F.col("id") * 60)).alias("s"))
+    f = spark.range(n).select("id", F.lit("x").alias("k"), (F.lit(T0) + F.make_interval(secs=F.col("id") * 60 + 30)).alias("t"))
+    got = resolve(f, v, "k", "t", sk="sk", start="s", end=None, strategy="asof", hot_factor=1, partitions=200)
+    assert got.where(F.col("sk") == F.col("id") + 1).count() == n
+    sizes = [r["count"] for r in seen[0].groupBy("_k", "_s").count().collect()]
+    assert len(sizes) == 200 and sum(sizes) == 2 * n + 199 and max(sizes) < 3 * 2 * n / 200
