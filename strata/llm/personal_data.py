@@ -15,9 +15,10 @@ They are the seeds of a bootstrap over all documents:
    one with an ``@`` can only be an e-mail address, any other none.
 
 A pattern is trusted with a confidence of ``LEAST`` if ``SUPPORT`` different seeds
-of the kind, and at least one in ``SHARE`` of all seeds, stand in it.  As a seed has
-three patterns, there are never more than ``3 * SHARE`` trusted ones: that bounds
-what is broadcast.  Scores are whole thousandths, so no result depends on the
+of the kind stand in it, whatever the number of documents; with a ``share``, at least
+one in ``share`` of all seeds must do so too.  Trusted patterns may be as many as the seeds
+allow, so Spark decides by their size whether they are broadcast; rows in a frequent pattern
+are dealt to ``_SALT`` places.  Scores are whole thousandths, so no result depends on the
 order of additions.  No text is shuffled: occurrences are written once, with a row
 number, and only those in a trusted pattern are grouped by row.
 
@@ -49,7 +50,7 @@ _PART = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 #: A candidate begins after a blank or one of ``:=<"'[`` and takes following tokens that begin with a digit or bracket.
 CANDIDATE = r"""(?<![^\s:=<"'\[])[^\s0-9@:=<"'\[]*+[0-9@]\S*+(?:\x20[0-9(]\S*+)*+"""
 LEAST_DIGITS, AROUND = 6, 60
-ROUNDS, LEAST, SUPPORT, SHARE = 3, 800, 5, 100_000
+ROUNDS, LEAST, SUPPORT = 3, 800, 5
 _SALT = 16
 
 
@@ -135,14 +136,22 @@ def _may_be(mail: Column, kind: Column) -> Column:
     return mail == (kind == KINDS.index("email"))
 
 
-def trusted(edges: DataFrame, rounds: int = ROUNDS, least: int = LEAST, support: int = SUPPORT, share: int = SHARE) -> DataFrame:
+def _in_trusted(rows: DataFrame, best: DataFrame, dealt: Column) -> DataFrame:
+    """The rows whose pattern is trusted for a kind that they may be, with that kind and its confidence."""
+    salted = best.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALT - 1))))
+    return (rows.withColumn("salt", F.pmod(dealt, F.lit(_SALT)).cast("int")).join(salted, ["pattern", "salt"]).drop("salt")
+            .where(_may_be(F.col("mail"), F.col("kind"))))
+
+
+def trusted(edges: DataFrame, rounds: int = ROUNDS, least: int = LEAST, support: int = SUPPORT, share: int | None = None) -> DataFrame:
     """(pattern, kind, confidence in thousandths) from edges (pattern, instance, seed, mail); seed is -1 for candidates."""
     sums = lambda of: [F.sum(F.when(F.col("kind") == k, of).otherwise(0)).alias(f"s{k}") for k in range(len(KINDS))]
     own = edges.withColumn("kind", F.col("seed"))
     seeds = saved(own.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), *sums(F.lit(1000)))
                   .where(F.greatest(*[F.col(f"s{k}") for k in range(len(KINDS))]) >= 1000 * support), "pii-patterns")
-    number = edges.where("seed >= 0").select("instance").distinct().count()
-    needed = max(support, -(-number // share))
+    needed = support
+    if share:
+        needed = max(support, -(-edges.where("seed >= 0").select("instance").distinct().count() // share))
     waiting = edges.where("seed < 0").select("pattern", "instance", "mail")
 
     def chosen(totals: DataFrame) -> DataFrame:
@@ -153,9 +162,8 @@ def trusted(edges: DataFrame, rounds: int = ROUNDS, least: int = LEAST, support:
                 .select("pattern", "kind", confidence.cast("int").alias("confidence")).where(F.col("confidence") >= least))
     best = saved(chosen(seeds.select("*", *[F.col(f"s{k}").alias(f"t{k}") for k in range(len(KINDS))])), "pii-trusted")
     for _ in range(rounds - 1):
-        # the trusted patterns are at most 3 * share: no edge is shuffled by a frequent pattern
         doubt = F.floor(-1e6 * F.log(1 - F.col("confidence") / 1000))
-        held = (waiting.join(F.broadcast(best), "pattern").where(_may_be(F.col("mail"), F.col("kind")))
+        held = (_in_trusted(waiting, best, F.col("instance"))
                 .groupBy("instance", "kind").agg(F.sum(doubt).alias("doubt"))
                 .select("instance", "kind", F.floor(1000 - 1000 * F.exp(-F.col("doubt") / 1e6)).alias("score")))
         # an instance may have a large share of all edges: its score is sent to _SALT places
@@ -168,14 +176,14 @@ def trusted(edges: DataFrame, rounds: int = ROUNDS, least: int = LEAST, support:
     return best
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", support: int = SUPPORT, share: int = SHARE) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", support: int = SUPPORT, share: int | None = None) -> DataFrame:
     """Per document: base matches by kind, the digest of the base spans, all spans as text."""
     rows = saved(occurrences(docs, id_col, text), "pii-occurrences")
     each = rows.select("row", F.explode("found").alias("f")).select("row", "f.*")
     pairs = each.select("row", "seed", "start", "end", "mail", "instance", F.explode("patterns").alias("pattern"))
     edges = saved(pairs.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"), F.max("mail").alias("mail")), "pii-edges")
     best = trusted(edges, support=support, share=share)
-    hits = (pairs.where("seed < 0").join(F.broadcast(best), "pattern").where(_may_be(F.col("mail"), F.col("kind")))
+    hits = (_in_trusted(pairs.where("seed < 0"), best, F.xxhash64("row", "start"))
             .groupBy("row", "start", "end").agg(F.max(F.struct("confidence", (-F.col("kind")).alias("k"))).alias("b"))
             .groupBy("row").agg(F.array_sort(F.collect_list(F.struct((-F.col("b.k")).alias("kind"), "start", "end"))).alias("more")))
     listed = lambda name, array: F.transform(array, lambda m: F.concat_ws(

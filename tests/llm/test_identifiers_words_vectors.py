@@ -112,6 +112,16 @@ def test_scores_equal_plain_python(spark, seed):
     assert {(r.pattern, r.kind): r.confidence for r in got.collect()} == brute_trusted(edges, 3, 500, 2, 1000)
 
 
+@pytest.mark.parametrize("others", [0, 600_000])
+def test_a_context_is_trusted_whatever_the_number_of_other_seeds(spark, others):
+    """Five seeds are enough; so are the scores of the candidates that stand with them."""
+    few = spark.createDataFrame([(-1, -i, 3, False) for i in range(1, 6)] + [(-1, -9, -1, False)] + [(-2, -i, 3, False) for i in range(11, 15)],
+                                "pattern long, instance long, seed int, mail boolean")
+    more = spark.range(others).select(F.col("id").alias("pattern"), F.col("id").alias("instance"), F.lit(3).alias("seed"), F.lit(False).alias("mail"))
+    got = personal_data.trusted(few.union(more)).collect()
+    assert [(r.pattern, r.kind, r.confidence) for r in got] == [(-1, 3, 995)]
+
+
 @pytest.mark.parametrize("text", ["a" * 200_000, "a@" * 80_000, "x@" + "a." * 100_000, "9" * 200_000, "9 " * 80_000, "+1" + "(" * 200_000,
                                   "1" + "!" * 200_000, "1.2.3.4 " * 20_000])
 def test_very_long_texts_end(spark, text):
